@@ -8,10 +8,8 @@ exchange small tables only; no cohort is ever gathered in one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 QUARTILES = (0.25, 0.5, 0.75)
 SLICES = 128
@@ -89,71 +87,60 @@ def histogram(
     return table if density else table.drop("density")
 
 
-def _ranks(total: Column, p: float) -> tuple[Column, Column]:
-    """The two 0-based ranks a linearly interpolated quantile lies between."""
-    position = (total - 1) * F.lit(float(p))
-    return F.floor(position), F.ceil(position)
-
-
 def quantiles(counts: DataFrame, by: str, probs: Sequence[float] = QUARTILES) -> DataFrame:
-    """Exact quantiles of a :func:`value_counts` table: (by, total, q1, q2, ...).
+    """Exact, linearly interpolated quantiles of a :func:`value_counts` table:
+    (by, total, q1, q2, ...).
 
     Approximate quantiles cut each cohort into slices of about equal size; how
     good they are changes the balance only, not the result. Slice sizes tell
     which slices hold the wanted ranks, and only these are sorted.
     """
-    cuts = [i / SLICES for i in range(1, SLICES)]
+    cuts = ", ".join(f"{i / SLICES}D" for i in range(1, SLICES))
     stats = counts.groupBy(by).agg(
-        F.sum("n").alias("total"), F.percentile_approx("v", cuts, 10_000).alias("cuts")
+        F.sum("n").alias("total"), F.expr(f"percentile_approx(v, array({cuts}), 10000) AS cuts")
     )
     sliced = _per_cohort(counts, stats, by).withColumn(
-        "slice", F.size(F.filter("cuts", lambda cut: cut < F.col("v")))
+        "slice", F.expr("size(filter(cuts, cut -> cut < v))")
     )
-
-    def holds(rank: Column) -> Column:
-        return (F.col("start") <= rank) & (rank < F.col("start") + F.col("n"))
-
     before = Window.partitionBy(by).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = (
         sliced.groupBy(by, "slice")
         .agg(F.sum("n").alias("n"), F.max("total").alias("total"))
-        .withColumn("start", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        .withColumn("start", F.sum("n").over(before))
+        .fillna(0, ["start"])
     )
-    ranks = [r for p in probs for r in _ranks(F.col("total"), p)]
+    # A quantile lies between two 0-based ranks; rows hold the ranks from start to start + n.
+    positions = [f"(total - 1) * {float(p)}D" for p in probs]
+    ranks = [f"{end}({position})" for position in positions for end in ("floor", "ceil")]
+    holds = "start <= {0} AND {0} < start + n"
     # at most two slices per quantile and cohort
-    wanted = slices.where(reduce(or_, [holds(r) for r in ranks])).select(
-        F.col(by).alias("cohort"), F.col("slice").alias("wanted_slice"), F.col("start").alias("base")
+    wanted = slices.where(" OR ".join(holds.format(r) for r in ranks)).select(
+        F.col(by).alias("cohort"), F.col("slice").alias("wanted"), F.col("start").alias("base")
     )
     side = F.broadcast(wanted) if by == CHURN_FLAG else wanted
-    in_slice = F.col(by).eqNullSafe(F.col("cohort")) & (F.col("slice") == F.col("wanted_slice"))
+    in_slice = F.col(by).eqNullSafe(F.col("cohort")) & (F.col("slice") == F.col("wanted"))
     smaller = (
-        Window.partitionBy(by, "slice")
-        .orderBy("v")
-        .rowsBetween(Window.unboundedPreceding, -1)
+        Window.partitionBy(by, "slice").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     )
-    ranked = sliced.join(side, in_slice).withColumn(
-        "start", F.col("base") + F.coalesce(F.sum("n").over(smaller), F.lit(0))
+    ranked = (
+        sliced.join(side, in_slice)
+        .select(by, "v", "n", "total", "base", F.sum("n").over(smaller).alias("start"))
+        .fillna(0, ["start"])
+        .withColumn("start", F.col("base") + F.col("start"))
     )
-
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when(holds(rank), F.col("v")))
-
     found = ranked.groupBy(by).agg(
         F.max("total").alias("total"),
+        *[F.expr(f"max(CASE WHEN {holds.format(r)} THEN v END) AS v{i}") for i, r in enumerate(ranks)],
+    )
+    return found.select(
+        by,
+        "total",
         *[
-            value_at(r).alias(f"{side}_{i}")
-            for i, p in enumerate(probs, 1)
-            for side, r in zip(("below", "above"), _ranks(F.col("total"), p))
+            F.expr(f"v{2 * i} + (v{2 * i + 1} - v{2 * i}) * ({p} - floor({p})) AS q{i + 1}")
+            for i, p in enumerate(positions)
         ],
     )
 
-    def between(i: int, p: float) -> Column:
-        weight = (F.col("total") - 1) * F.lit(float(p)) - _ranks(F.col("total"), p)[0]
-        below, above = F.col(f"below_{i}"), F.col(f"above_{i}")
-        return (below + (above - below) * weight).alias(f"q{i}")
-
-    return found.select(by, "total", *[between(i, p) for i, p in enumerate(probs, 1)])
-
 
 def box_stats(
     df: DataFrame, value: str, by: str = CHURN_FLAG, approx: bool = False
@@ -175,19 +162,19 @@ def box_stats(
         quartiles = sketch.select(by, "total", *[F.col("q")[i].alias(f"q{i + 1}") for i in range(3)])
     else:
         quartiles = quantiles(counts, by)
-    reach = (F.col("q3") - F.col("q1")) * 1.5
-    fences = quartiles.withColumns({"low": F.col("q1") - reach, "high": F.col("q3") + reach})
-    inside = F.col("v").between(F.col("low"), F.col("high"))
+    fences = quartiles.selectExpr(
+        "*", "q1 - (q3 - q1) * 1.5 AS low", "q3 + (q3 - q1) * 1.5 AS high"
+    )
     return (
         _per_cohort(counts, fences, by)
         .groupBy(by)
         .agg(
-            F.max("total").alias("n"),
-            F.max("q1").alias("q1"),
-            F.max("q2").alias("median"),
-            F.max("q3").alias("q3"),
-            F.least(F.max("q1"), F.min(F.when(inside, F.col("v")))).alias("whisker_lo"),
-            F.greatest(F.max("q3"), F.max(F.when(inside, F.col("v")))).alias("whisker_hi"),
-            F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("n_outliers"),
+            F.expr("max(total) AS n"),
+            F.expr("max(q1) AS q1"),
+            F.expr("max(q2) AS median"),
+            F.expr("max(q3) AS q3"),
+            F.expr("least(max(q1), min(CASE WHEN v BETWEEN low AND high THEN v END)) AS whisker_lo"),
+            F.expr("greatest(max(q3), max(CASE WHEN v BETWEEN low AND high THEN v END)) AS whisker_hi"),
+            F.expr("sum(CASE WHEN v BETWEEN low AND high THEN 0 ELSE n END) AS n_outliers"),
         )
     )
