@@ -31,9 +31,9 @@ def _per_cohort(counts: DataFrame, stats: DataFrame, by: str) -> DataFrame:
     The churn flag has two values, so its statistics are broadcast; for any other
     cohort column Spark decides by the size it finds.
     """
-    stats = stats.withColumnRenamed(by, "cohort")
+    stats = stats.withColumnRenamed(by, "_cohort")
     side = F.broadcast(stats) if by == CHURN_FLAG else stats
-    return counts.join(side, F.col(by).eqNullSafe(F.col("cohort"))).drop("cohort")
+    return counts.join(side, F.col(by).eqNullSafe(F.col("_cohort"))).drop("_cohort")
 
 
 def histogram(
@@ -69,13 +69,13 @@ def histogram(
     bucket = F.least(F.width_bucket("v", "v_lo", "v_hi", F.lit(bins)), F.lit(bins).cast("long"))
     filled = (
         _per_cohort(counts, edges, by)
-        .groupBy(F.col(by).alias("cohort"), bucket.cast("int").alias("filled_bin"))
+        .groupBy(F.col(by).alias("_cohort"), bucket.cast("int").alias("filled_bin"))
         .agg(F.sum("n").alias("filled"))
     )
     width = (F.col("v_hi") - F.col("v_lo")) / bins
     grid = edges.withColumn("bin", F.explode(F.sequence(F.lit(1), F.lit(bins))))
     n = F.coalesce("filled", F.lit(0))
-    same_bin = F.col(by).eqNullSafe(F.col("cohort")) & (F.col("bin") == F.col("filled_bin"))
+    same_bin = F.col(by).eqNullSafe(F.col("_cohort")) & (F.col("bin") == F.col("filled_bin"))
     table = grid.join(filled, same_bin, "left").select(
         by,
         "bin",
@@ -115,10 +115,10 @@ def quantiles(counts: DataFrame, by: str, probs: Sequence[float] = QUARTILES) ->
     holds = "start <= {0} AND {0} < start + n"
     # at most two slices per quantile and cohort
     wanted = slices.where(" OR ".join(holds.format(r) for r in ranks)).select(
-        F.col(by).alias("cohort"), F.col("slice").alias("wanted"), F.col("start").alias("base")
+        F.col(by).alias("_cohort"), F.col("slice").alias("wanted"), F.col("start").alias("base")
     )
     side = F.broadcast(wanted) if by == CHURN_FLAG else wanted
-    in_slice = F.col(by).eqNullSafe(F.col("cohort")) & (F.col("slice") == F.col("wanted"))
+    in_slice = F.col(by).eqNullSafe(F.col("_cohort")) & (F.col("slice") == F.col("wanted"))
     smaller = (
         Window.partitionBy(by, "slice").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from math import ceil
 
 from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Model, PipelineModel
@@ -19,8 +20,8 @@ from stayline.operators.features import fit_features
 from stayline.operators.split import FOLDS, SEED, split_users, with_fold
 
 MODELS = ("logistic_regression", "linear_svm", "decision_tree")
-# Spark keeps a status record per job; a dozen fits at a time fill a driver's threads well enough.
-PARALLELISM = 8
+PARALLELISM = 8  # fits at a time; each is a chain of small jobs with pauses between them
+ROWS_PER_TASK = 100_000
 
 
 @dataclass
@@ -101,9 +102,13 @@ def f1_evaluator(weight: str | None = None) -> MulticlassClassificationEvaluator
 
 
 def _needed(df: DataFrame, weight: str | None) -> DataFrame:
-    """The columns a fit reads."""
+    """The columns a fit reads, in no more partitions than the rows are worth.
+
+    A fit runs dozens of jobs over the same rows, so tiny partitions cost a lot.
+    """
     extra = [weight] if weight else []
-    return df.select("features1", "features", "label", "fold", *extra)
+    partitions = ceil(max(df.count(), 1) / ROWS_PER_TASK)
+    return df.select("features1", "features", "label", "fold", *extra).coalesce(partitions)
 
 
 @dataclass
@@ -137,6 +142,7 @@ def tune(
     models = candidates(weight=weight) if models is None else models
     evaluator = f1_evaluator(weight)
     train = _needed(prepared.part("train"), weight).persist(StorageLevel.MEMORY_AND_DISK)
+    in_session = inheritable_thread_target(train.sparkSession)
     fitting = [train.where(F.col("fold") != k) for k in range(folds)]
     held_out = [train.where(F.col("fold") == k) for k in range(folds)]
 
@@ -150,16 +156,15 @@ def tune(
         return model.estimator.fit(train, model.grid[pos])
 
     try:
-        train.count()
         jobs = [(m, pos, k) for m in models for pos in range(len(m.grid)) for k in range(folds)]
         with ThreadPoolExecutor(parallelism) as pool:
-            scores = list(pool.map(inheritable_thread_target(fold_score), jobs))
+            scores = list(pool.map(in_session(fold_score), jobs))
             means: dict[tuple[str, int], float] = {}
             for (m, pos, _), score in zip(jobs, scores):
                 means[m.name, pos] = means.get((m.name, pos), 0.0) + score / folds
             # max() keeps the first of equals, which is grid order
             top = [(m, max(range(len(m.grid)), key=lambda p: means[m.name, p])) for m in models]
-            fitted = list(pool.map(inheritable_thread_target(refit), top))
+            fitted = list(pool.map(in_session(refit), top))
     finally:
         train.unpersist()
     rows = [

@@ -482,3 +482,14 @@ def validation_scores(t: Tables) -> DataFrame:
 def final_test_score(t: Tables) -> DataFrame:
     return t.study().final_table()
 
+
+
+@query
+def grain_scores(t: Tables) -> DataFrame:
+    """Validation scores where a user counts once, and where it counts once per event."""
+    facts = durable(t.facts())
+    tables = [
+        model_study(facts, grain=grain).validation_table().select(F.lit(grain).alias("grain"), "*")
+        for grain in ("user", "event")
+    ]
+    return tables[0].unionByName(tables[1])
