@@ -16,10 +16,12 @@ from stayline.functions import (
     share,
 )
 from stayline.operators.skew import (
+    BROADCAST_ROWS,
     HEAVY_ROWS,
     MAX_HEAVY_KEYS,
     heavy_keys,
     heavy_of,
+    is_small,
     join_lookup,
 )
 
@@ -252,14 +254,19 @@ def attach_facts(
     columns: Sequence[str],
     how: str = "inner",
     heavy: DataFrame | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
     """Log rows with facts of their user.
 
-    ``heavy`` comes from :func:`heavy_users` where facts of all users are stored;
-    without it the log is scanned once more, for its user ids.
+    ``facts`` should be stored (:func:`stayline.session.durable`), as its size is
+    checked first. ``heavy`` comes from :func:`heavy_users`; without it the user
+    ids of the log are scanned once more if the facts are too many to broadcast.
     """
+    lookup = facts.select("userId", *columns)
+    if is_small(lookup, broadcast_rows):
+        return log.join(F.broadcast(lookup), "userId", how)
     heavy = heavy_keys(log, "userId") if heavy is None else heavy
-    return join_lookup(log, facts.select("userId", *columns), "userId", heavy, how)
+    return join_lookup(log, lookup, "userId", heavy, how)
 
 
 def with_plays(
@@ -289,9 +296,17 @@ def enrich(
     zero_plays: str = "drop",
     churn_page: str = CHURN_PAGE,
     heavy: DataFrame | None = None,
+    broadcast_rows: int = BROADCAST_ROWS,
 ) -> DataFrame:
-    """The wide log: event columns, dates, the churn marker and the user's facts."""
-    events = log.withColumns(
+    """The wide log: event columns, dates, the churn marker and the user's facts.
+
+    ``registration`` and ``location`` are taken from ``facts`` where the log does
+    not carry them, so that one join brings all that belongs to the user.
+    """
+    wanted = ["latest_date", "delta_time", "song_nums", "churn_users"]
+    wanted += [c for c in ("registration", "location") if c not in log.columns]
+    users = keep_players(facts, zero_plays)
+    return attach_facts(log, users, wanted, "inner", heavy, broadcast_rows).withColumns(
         {
             "event_date": date_of("ts"),
             "registration_date": date_of("registration"),
@@ -299,5 +314,3 @@ def enrich(
             "churn": page_is(churn_page),
         }
     )
-    wanted = ["latest_date", "delta_time", "song_nums", "churn_users"]
-    return attach_facts(events, keep_players(facts, zero_plays), wanted, "inner", heavy)

@@ -1,9 +1,10 @@
 """Joining log rows with a table that has one row per key, whatever the key distribution.
 
-A shuffle join sends all rows of one key to one task. The keys that are too
-heavy for that are few by a counting argument, so their side of the lookup
-table is small enough to broadcast and their rows never move; all other keys
-take the usual join, where Spark picks the strategy.
+A small lookup table is broadcast after a check of its size. Beyond that a join
+has to shuffle, which sends all rows of one key to one task. The keys that are
+too heavy for it are few by a counting argument, so their part of the lookup
+table can be broadcast and their rows never move; all other keys take the usual
+join, where Spark picks the strategy.
 """
 
 from __future__ import annotations
@@ -14,6 +15,16 @@ from pyspark.sql import DataFrame, functions as F
 
 HEAVY_ROWS = 5_000_000
 MAX_HEAVY_KEYS = 20_000
+BROADCAST_ROWS = 100_000  # at some 200 bytes a row, 20 MB for each executor
+
+
+def is_small(stored: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a stored table has few enough rows to be sent to every executor.
+
+    Runs a job that reads no more than ``max_rows`` rows; a table that is not
+    stored would be computed for it.
+    """
+    return stored.limit(max_rows + 1).count() <= max_rows
 
 
 def heavy_keys(

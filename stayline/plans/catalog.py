@@ -19,7 +19,7 @@ from stayline.functions import (
 from stayline.operators.models import Prepared
 from stayline.plans.study import PLAYS_BINS, TENURE_BINS, ModelStudy, model_study, prepare_models
 from stayline.session import configure, durable, scratch_path
-from stayline.sources import EVENT_SCHEMA, events, preview, read_events, star, write_table
+from stayline.sources import events, preview, read_events, star, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -108,10 +108,9 @@ def clean_log(t: Tables) -> DataFrame:
 
 @query
 def enriched_log(t: Tables) -> DataFrame:
-    facts = durable(t.facts())
-    return op.enrich(
-        t.clean(*EVENT_SCHEMA.fieldNames()), facts, heavy=op.heavy_users(facts)
-    )
+    profile = star.user_profile(t.spark, t.sf_dir).select("userId", "registration", "location")
+    users = durable(t.facts().join(profile, "userId", "left"))
+    return op.enrich(t.clean("level", "status", "gender"), users, heavy=op.heavy_users(users))
 
 
 @query

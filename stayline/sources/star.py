@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stayline.operators.skew import heavy_keys, join_lookup
+from stayline.operators.skew import heavy_keys, is_small, join_lookup
 from stayline.sources.events import EVENT_SCHEMA, map_columns
 
 # How each log column is derived from the tables.
@@ -76,9 +76,11 @@ def event_log(
     names = EVENT_SCHEMA.fieldNames() if columns is None else list(columns)
     source = _table(spark, sf_dir, "events")
     if set(names) & set(USER_COLUMNS):
-        source = join_lookup(
-            source, _users(spark, sf_dir), "user_id", heavy_keys(source, "user_id"), "left"
-        )
+        users = _users(spark, sf_dir)
+        if is_small(_table(spark, sf_dir, "customer").select("c_custkey")):
+            source = source.join(F.broadcast(users), "user_id", "left")
+        else:
+            source = join_lookup(source, users, "user_id", heavy_keys(source, "user_id"), "left")
     return map_columns(source, {c: EVENT_COLUMNS[c] for c in names})
 
 

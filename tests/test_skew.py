@@ -72,6 +72,20 @@ def test_running_churn_of_heavy_users(skewed, min_rows):
     assert plain.agg(F.max("churn_running")).first()[0] > 5
 
 
+def test_small_facts_are_broadcast_and_large_ones_are_not(skewed):
+    users = op.user_activity(skewed).persist()
+    heavy = op.heavy_users(users, min_rows=500)
+    results = []
+    for rows in (100_000, 10):
+        joined = op.attach_facts(
+            skewed, users, ["song_nums"], heavy=heavy, broadcast_rows=rows
+        )
+        unions = joined._jdf.queryExecution().executedPlan().toString().count("Union")
+        assert (unions > 0) == (rows == 10)
+        results.append(bag(joined))
+    assert results[0] == results[1]
+
+
 def test_facts_do_not_depend_on_partitioning(log, facts):
     for n in (1, 7):
         assert bag(op.user_facts(log.repartition(n))) == bag(facts)
@@ -82,7 +96,9 @@ def test_empty_heavy_branch_is_not_scanned(spark, skewed, tmp_path):
     skewed.write.parquet(path)
     log = spark.read.parquet(path)
     users = op.user_activity(skewed).persist()
-    joined = op.attach_facts(log, users, ["song_nums"], heavy=op.heavy_users(users))
+    joined = op.attach_facts(
+        log, users, ["song_nums"], heavy=op.heavy_users(users), broadcast_rows=0
+    )
     joined.collect()
     final = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     assert final.count("FileScan") == 1
