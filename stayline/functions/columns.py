@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+# The pages that stand for a play and for a cancelled account.
 PLAY_PAGE = "NextSong"
 CHURN_PAGE = "Cancellation Confirmation"
 

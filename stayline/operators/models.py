@@ -46,6 +46,7 @@ def candidates(
     gender still are marked as categories; ``max_bins`` then has to be at least
     the number of areas.
     """
+    # Iterations and grids.
     lr = LogisticRegression(maxIter=20)
     svm = LinearSVC(maxIter=5)
     tree = DecisionTreeClassifier(featuresCol=tree_input, maxBins=max_bins, seed=seed)

@@ -10,7 +10,6 @@ from stayline import operators as op
 from stayline.functions import (
     CHURN_PAGE,
     PLAY_PAGE,
-    area_of,
     date_of,
     date_text_of,
     days_between,
@@ -168,18 +167,19 @@ def tenure_days(t: Tables) -> DataFrame:
 @query
 def tenure_from_text(t: Tables) -> DataFrame:
     """Tenure by way of date text, as for logs that store days as text."""
-    text = t.clean("registration").select(
-        "userId", date_text_of("registration").alias("start"), date_text_of("ts").alias("day")
+    last = t.clean().groupBy("userId").agg(F.max("ts").alias("latest"))
+    profile = star.user_profile(t.spark, t.sf_dir).select("userId", "registration")
+    text = last.join(profile, "userId", "left").select(
+        "userId", date_text_of("registration").alias("start"), date_text_of("latest").alias("day")
     )
-    users = text.groupBy("userId").agg(F.min("start").alias("start"), F.max("day").alias("day"))
-    return users.select(
+    return text.select(
         "userId", days_between(parse_date("start"), parse_date("day")).alias("delta_time")
     )
 
 
 @query
 def user_area(t: Tables) -> DataFrame:
-    return t.clean("location").select("userId", area_of("location").alias("area")).distinct()
+    return t.facts().select("userId", "area")
 
 
 @query
