@@ -4,14 +4,32 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
-def configure(spark: SparkSession, time_zone: str = "UTC") -> SparkSession:
-    """Set what the operators rely on: one explicit zone for dates, and AQE."""
+SHUFFLE_BYTES = 128 * 1024**2
+MAX_SHUFFLE_PARTITIONS = 100_000
+
+
+def configure(
+    spark: SparkSession, time_zone: str = "UTC", input_bytes: int | None = None
+) -> SparkSession:
+    """Set what the operators rely on: one explicit zone for dates, and AQE.
+
+    AQE merges small shuffle partitions but does not add any, so for a large log
+    ``input_bytes`` sets how many it starts from.
+    """
+    if input_bytes is not None:
+        at_least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        wanted = min(ceil(input_bytes / SHUFFLE_BYTES), MAX_SHUFFLE_PARTITIONS)
+        spark.conf.set(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+            str(max(at_least, wanted)),
+        )
     spark.conf.set("spark.sql.session.timeZone", time_zone)
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")

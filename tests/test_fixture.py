@@ -7,6 +7,7 @@ import pytest
 
 from stayline import operators as op
 from stayline.functions import area_of, as_int, date_of, days_between, hour_of, parse_date
+from stayline.session import configure
 from tests.conftest import DAY, OCT_1
 
 
@@ -202,6 +203,27 @@ def test_scalar_functions(spark):
     assert tuple(got) == (date(2018, 9, 30), 23, 3, None)
 
 
+def test_dates_follow_the_session_zone(spark, log):
+    try:
+        configure(spark, "Asia/Shanghai")
+        late = op.user_activity(log).where("userId = '14'").first()
+        (hour,) = log.where("userId = '14' AND level = 'free'").select(hour_of("ts")).first()
+    finally:
+        configure(spark)
+    assert (late.latest_date, hour) == (date(2018, 10, 2), 7)
+
+
+def test_shuffles_are_sized_by_the_input(spark):
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    try:
+        configure(spark, input_bytes=100 * 1024**4)
+        assert spark.conf.get(key) == "100000"
+        configure(spark, input_bytes=1)
+        assert spark.conf.get(key) == "8"
+    finally:
+        spark.conf.unset(key)
+
+
 def test_lookup_of_one_user(raw):
     assert op.events_of_user(raw, 14).count() == 2
     assert op.with_user_number(raw).where("user_number IS NULL").count() == 4
