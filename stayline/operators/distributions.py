@@ -11,8 +11,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from stayline.operators.skew import is_small
+
 QUARTILES = (0.25, 0.5, 0.75)
 SLICES = 128
+MAX_COHORTS = 10_000  # a row of cuts takes about 1 KB
 CHURN_FLAG = "churn_users"
 
 
@@ -25,14 +28,19 @@ def value_counts(df: DataFrame, value: str, by: str) -> DataFrame:
     )
 
 
-def _per_cohort(counts: DataFrame, stats: DataFrame, by: str) -> DataFrame:
-    """``counts`` with its cohort's row of ``stats``.
+def _few_cohorts(df: DataFrame, by: str) -> bool:
+    """Whether tables with some rows per cohort can be broadcast.
 
-    The churn flag has two values, so its statistics are broadcast; for any other
-    cohort column Spark decides by the size it finds.
+    The churn flag has two values; for any other column the values are counted,
+    and where they are many Spark picks the join.
     """
+    return by == CHURN_FLAG or is_small(df.select(by).distinct(), MAX_COHORTS)
+
+
+def _per_cohort(counts: DataFrame, stats: DataFrame, by: str, few: bool) -> DataFrame:
+    """``counts`` with its cohort's row of ``stats``."""
     stats = stats.withColumnRenamed(by, "_cohort")
-    side = F.broadcast(stats) if by == CHURN_FLAG else stats
+    side = F.broadcast(stats) if few else stats
     return counts.join(side, F.col(by).eqNullSafe(F.col("_cohort"))).drop("_cohort")
 
 
@@ -68,7 +76,7 @@ def histogram(
     )
     bucket = F.least(F.width_bucket("v", "v_lo", "v_hi", F.lit(bins)), F.lit(bins).cast("long"))
     filled = (
-        _per_cohort(counts, edges, by)
+        _per_cohort(counts, edges, by, _few_cohorts(df, by))
         .groupBy(F.col(by).alias("_cohort"), bucket.cast("int").alias("filled_bin"))
         .agg(F.sum("n").alias("filled"))
     )
@@ -99,7 +107,8 @@ def quantiles(counts: DataFrame, by: str, probs: Sequence[float] = QUARTILES) ->
     stats = counts.groupBy(by).agg(
         F.sum("n").alias("total"), F.expr(f"percentile_approx(v, array({cuts}), 10000) AS cuts")
     )
-    sliced = _per_cohort(counts, stats, by).withColumn(
+    few = _few_cohorts(counts, by)
+    sliced = _per_cohort(counts, stats, by, few).withColumn(
         "slice", F.expr("size(filter(cuts, cut -> cut < v))")
     )
     before = Window.partitionBy(by).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
@@ -117,7 +126,7 @@ def quantiles(counts: DataFrame, by: str, probs: Sequence[float] = QUARTILES) ->
     wanted = slices.where(" OR ".join(holds.format(r) for r in ranks)).select(
         F.col(by).alias("_cohort"), F.col("slice").alias("wanted"), F.col("start").alias("base")
     )
-    side = F.broadcast(wanted) if by == CHURN_FLAG else wanted
+    side = F.broadcast(wanted) if few else wanted
     in_slice = F.col(by).eqNullSafe(F.col("_cohort")) & (F.col("slice") == F.col("wanted"))
     smaller = (
         Window.partitionBy(by, "slice").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
@@ -166,7 +175,7 @@ def box_stats(
         "*", "q1 - (q3 - q1) * 1.5 AS low", "q3 + (q3 - q1) * 1.5 AS high"
     )
     return (
-        _per_cohort(counts, fences, by)
+        _per_cohort(counts, fences, by, _few_cohorts(df, by))
         .groupBy(by)
         .agg(
             F.expr("max(total) AS n"),

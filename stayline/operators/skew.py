@@ -65,12 +65,12 @@ def join_lookup(
     """
     keys = [key] if isinstance(key, str) else list(key)
     few = F.broadcast(heavy.select(*keys))
-    hot_rows = rows.join(few, keys, "left_semi")
     hot_lookup = F.broadcast(lookup.join(few, keys, "left_semi"))
     cold_rows = rows.join(few, keys, "left_anti")
-    hot = hot_rows.join(hot_lookup, keys, how)
     if how in ("inner", "left_semi"):
+        hot = rows.join(hot_lookup, keys, how)
         return hot.unionByName(cold_rows.join(lookup, keys, how))
+    hot = rows.join(few, keys, "left_semi").join(hot_lookup, keys, how)
     # Rows without a key match nothing: they go around the join instead of meeting in one task.
     keyless = F.lit(False)
     for k in keys:
