@@ -22,7 +22,7 @@ def spark():
         SparkSession.builder.master("local[8]")
         .appName("stayline-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.driver.memory", "6g")
         .getOrCreate()
     )

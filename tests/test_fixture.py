@@ -219,7 +219,7 @@ def test_shuffles_are_sized_by_the_input(spark):
         configure(spark, input_bytes=100 * 1024**4)
         assert spark.conf.get(key) == "100000"
         configure(spark, input_bytes=1)
-        assert spark.conf.get(key) == "8"
+        assert spark.conf.get(key) == "4"
     finally:
         spark.conf.unset(key)
 
