@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from stayline.functions import CHURN_PAGE
 from stayline.operators.facts import mark_churn
-from stayline.operators.skew import HEAVY_ROWS, MAX_HEAVY_KEYS, heavy_keys, join_lookup
+from stayline.operators.skew import HEAVY_ROWS, MAX_HEAVY_KEYS, heavy_keys, heavy_of, join_lookup
 
 HOUR = 3_600_000
+BEFORE_ALL = -(2**63)
 
 
 def churn_phase(
@@ -20,36 +21,41 @@ def churn_phase(
     """The log with ``churn_running``: the user's marker rows at or after this event.
 
     Above 0 up to the marker, 0 after the last one. Users of ordinary size take
-    a window; a heavy user would fill one task, so its rows take
-    :func:`_heavy_phase` instead.
+    a window. A heavy user would fill one task: without a marker all its rows
+    are 0 and stay where they are, with one they take :func:`_heavy_phase`.
     """
     marked = mark_churn(log, churn_page)
-    heavy = heavy_keys(log, "userId", min_rows, max_keys)
-    few = F.broadcast(heavy)
+    counts = marked.groupBy("userId").agg(
+        F.count("*").alias("n_events"), F.sum("churn").alias("marks")
+    )
+    heavy = heavy_of(counts, "n_events", min_rows, max_keys)
+
+    def rows_of(users: DataFrame, how: str = "left_semi") -> DataFrame:
+        return marked.join(F.broadcast(users.select("userId")), "userId", how)
+
     latest_first = (
         Window.partitionBy("userId")
         .orderBy(F.desc("ts"))
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    light = marked.join(few, "userId", "left_anti").withColumn(
-        "churn_running", F.sum("churn").over(latest_first)
-    )
-    return light.unionByName(
-        _heavy_phase(marked.join(few, "userId", "left_semi"), min_rows, max_keys)
-    )
+    light = rows_of(heavy, "left_anti").withColumn("churn_running", F.sum("churn").over(latest_first))
+    silent = rows_of(heavy.where("marks = 0")).withColumn("churn_running", F.lit(0).cast("long"))
+    others = _heavy_phase(rows_of(heavy.where("marks > 0")), min_rows, max_keys)
+    return light.unionByName(silent).unionByName(others)
 
 
 def _heavy_phase(marked: DataFrame, min_rows: int, max_keys: int) -> DataFrame:
     """The same count without holding a user's rows in one task.
 
-    Rows are condensed to moments (user, ts) and summed within each hour, where
-    at most 3.6 million distinct moments fit; the markers of later hours are
-    added from a table with one row per user and hour.
+    Rows are condensed to moments and summed within each hour, where at most
+    3.6 million distinct moments fit; the markers of later hours are added from a
+    table with one row per user and hour. Events without a time count as earliest.
     """
+    timed = marked.withColumn("moment", F.coalesce("ts", F.lit(BEFORE_ALL)))
     moments = (
-        marked.groupBy("userId", "ts")
+        timed.groupBy("userId", "moment")
         .agg(F.sum("churn").alias("marks"))
-        .withColumn("hour", F.floor(F.col("ts") / HOUR))
+        .withColumn("hour", F.floor(F.col("moment") / HOUR))
     )
     hours = moments.groupBy("userId", "hour").agg(F.sum("marks").alias("hour_marks"))
     later_hours = (
@@ -59,7 +65,7 @@ def _heavy_phase(marked: DataFrame, min_rows: int, max_keys: int) -> DataFrame:
     )
     within_hour = (
         Window.partitionBy("userId", "hour")
-        .orderBy(F.desc("ts"))
+        .orderBy(F.desc("moment"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     later = hours.select(
@@ -67,8 +73,9 @@ def _heavy_phase(marked: DataFrame, min_rows: int, max_keys: int) -> DataFrame:
     )
     running = moments.join(later, ["userId", "hour"]).select(
         "userId",
-        "ts",
+        "moment",
         (F.col("later") + F.sum("marks").over(within_hour)).alias("churn_running"),
     )
-    key = ["userId", "ts"]
-    return join_lookup(marked, running, key, heavy_keys(marked, key, min_rows, max_keys))
+    key = ["userId", "moment"]
+    heavy = heavy_keys(timed, key, min_rows, max_keys)
+    return join_lookup(timed, running, key, heavy).drop("moment")
