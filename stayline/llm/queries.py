@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stayline.llm import bytepairs, contamination, divergence, tokenfile
+from stayline.llm import bytepairs, contamination, divergence, passages, tokenfile
 from stayline.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,16 @@ def op1_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.quality_rules(table(spark, sf_dir, "documents"))
 
 
+@query
+def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"]).select(
+        "doc_id",
+        "n_words",
+        "n_removed",
+        F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op6_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), LIBRARY_TOKENIZER)

@@ -105,12 +105,29 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 def window_hashes(hashes: np.ndarray, width: int, factor: int = 0x9E3779B97F4A7C15) -> np.ndarray:
-    """A 64-bit hash of each run of ``width`` neighbours, at its first place."""
+    """A 64-bit hash of each run of ``width`` neighbours, at its first place.
+
+    Polynomials of runs of 1, 2, 4, ... neighbours are put together, so the work grows with the
+    logarithm of ``width``.
+    """
     n = max(0, len(hashes) - width + 1)
-    out = np.zeros(n, np.uint64)
-    for k in range(width):
-        out = out * np.uint64(factor) + hashes[k : k + n]
-    return mixed(out)
+    out, power, size = hashes, factor, 1
+    done, done_size = None, 0
+    left = width
+    while left:
+        if left & 1:
+            if done is None:
+                done = out
+            else:
+                m = max(0, len(hashes) - done_size - size + 1)
+                done = done[:m] * np.uint64(power) + out[done_size : done_size + m]
+            done_size += size
+        left >>= 1
+        if left:
+            m = max(0, len(hashes) - 2 * size + 1)
+            out = out[:m] * np.uint64(power) + out[size : size + m]
+            power, size = power * power % (1 << 64), 2 * size
+    return mixed(done[:n])
 
 
 def pieces(batch: pa.RecordBatch, column: str, size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
