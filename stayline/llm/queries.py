@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stayline.llm import bytepairs, contamination, divergence, passages, tokenfile
+from stayline.llm import bytepairs, contamination, divergence, oddsketch, passages, tokenfile
 from stayline.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,11 @@ def op1_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.quality_rules(table(spark, sf_dir, "documents"))
 
 
+@query
+def op3_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return oddsketch.near_duplicates(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
 @query
 def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"]).select(
