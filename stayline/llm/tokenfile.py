@@ -80,12 +80,12 @@ class LibraryTokenizer:
             text = b"".join(group).decode()
             made = self.tokenizer.encode(text, add_special_tokens=False)
             ends = np.cumsum([len(p.decode()) for p in group])
-            until = np.array([b for _, b in made.offsets])
+            ids, until = made.ids, np.array([b for _, b in made.offsets])
             after = np.searchsorted(until, ends, side="right")
             if len(until) and (until[after - 1] == ends).all() and (np.diff(after) > 0).all():
                 before = np.concatenate([[0], after[:-1]])
                 for piece, a, b in zip(group, before.tolist(), after.tolist(), strict=True):
-                    known[piece] = made.ids[a:b]
+                    known[piece] = ids[a:b]
             else:
                 other.extend(group)
         texts = [p.decode() for p in other]
