@@ -19,7 +19,6 @@ left out. An empty table gives a file without blocks.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -37,10 +36,9 @@ END_ID = 2
 BLOCK_IDS = 1 << 18
 PART_BYTES = 32 << 20
 MAX_SENT_PARTS = 500_000  # rows of the table of parts that are broadcast
-CACHED = 400_000  # distinct pre-tokens that a Python worker remembers
+CACHED = 1_200_000  # distinct pre-tokens that a Python worker remembers
 
 
-@dataclass
 class LibraryTokenizer:
     """A tokenizer file of the ``tokenizers`` library with a byte-level pre-tokenizer.
 
@@ -49,20 +47,34 @@ class LibraryTokenizer:
     that Unicode versions disagree on goes to the library as it is.
     """
 
-    config: str
-    known: dict[bytes, list[int]] = field(default_factory=dict)
-    _tokenizer: Tokenizer | None = None
+    def __init__(self, config: str) -> None:
+        self.config = config
+        self._tokenizer: Tokenizer | None = None
+        self._forget()
 
-    def __getstate__(self) -> dict:
-        return {"config": self.config, "known": {}, "_tokenizer": None}
+    def __getstate__(self) -> str:
+        return self.config
+
+    def __setstate__(self, config: str) -> None:
+        self.__init__(config)
+
+    def _forget(self) -> None:
+        self.slot: dict[bytes, int] = {}  # of each known pre-token
+        self.flat = np.zeros(0, np.uint32)  # ids, slot after slot
+        self.begins = np.zeros(1, np.int64)
 
     @property
     def tokenizer(self) -> Tokenizer:
         if self._tokenizer is None:
-            self._tokenizer = Tokenizer.from_str(self.config)
-            self._tokenizer.encode_special_tokens = True
-            self._tokenizer.no_padding()
-            self._tokenizer.no_truncation()
+            made = Tokenizer.from_str(self.config)
+            made.encode_special_tokens = True
+            made.no_padding()
+            made.no_truncation()
+            names = made.get_vocab(with_added_tokens=True)
+            self.size = np.zeros(max(names.values()) + 1, np.int64)
+            for name, k in names.items():  # a character for each byte
+                self.size[k] = len(name)
+            self._tokenizer = made
         return self._tokenizer
 
     def _whole(self, texts: list[str]) -> list[list[int]]:
@@ -72,36 +84,41 @@ class LibraryTokenizer:
     def _learn(self, pieces: list[bytes]) -> None:
         joined, other = [], []
         for piece in pieces:
-            plain = len(piece) > 1 and piece[0] == 0x20 and piece[1:].decode().isalpha()
-            (joined if plain else other).append(piece)
-        known = self.known
-        for k in range(0, len(joined), 500):
-            group = joined[k : k + 500]
-            text = b"".join(group).decode()
-            made = self.tokenizer.encode(text, add_special_tokens=False)
-            ends = np.cumsum([len(p.decode()) for p in group])
-            ids, until = made.ids, np.array([b for _, b in made.offsets])
-            after = np.searchsorted(until, ends, side="right")
-            if len(until) and (until[after - 1] == ends).all() and (np.diff(after) > 0).all():
-                before = np.concatenate([[0], after[:-1]])
-                for piece, a, b in zip(group, before.tolist(), after.tolist(), strict=True):
-                    known[piece] = ids[a:b]
+            (joined if piece[0] == 0x20 and _letters(piece[1:]) else other).append(piece)
+        groups = [joined[k : k + 500] for k in range(0, len(joined), 500)]
+        made = self._whole([b"".join(g).decode() for g in groups])
+        learned, flat, counts = [], [], []
+        for group, ids in zip(groups, made, strict=True):
+            own = np.array(ids, np.uint32)
+            until = np.cumsum(self.size[own])
+            ends = np.cumsum([len(p) for p in group])
+            after = np.searchsorted(until, ends) + 1
+            if until[-1] == ends[-1] and (until[after - 1] == ends).all():
+                learned += group
+                flat.append(own)
+                counts.append(np.diff(after, prepend=0))
             else:
-                other.extend(group)
-        texts = [p.decode() for p in other]
-        known.update(zip(other, self._whole(texts), strict=True))
+                other += group
+        for piece, ids in zip(other, self._whole([p.decode() for p in other]), strict=True):
+            learned.append(piece)
+            flat.append(np.array(ids, np.uint32))
+            counts.append(np.array([len(ids)]))
+        self.slot.update(zip(learned, range(len(self.slot), len(self.slot) + len(learned))))
+        self.flat = np.concatenate([self.flat, *flat])
+        ends = np.cumsum(np.concatenate([self.begins[-1:], *counts]))
+        self.begins = np.concatenate([self.begins[:-1], ends])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and where each text begins."""
         found = pretokens_of(texts)
         pieces = found.distinct.to_pylist()
-        if len(self.known) > CACHED:
-            self.known.clear()
-        self._learn([p for p in pieces if p not in self.known])
-        lists = [self.known[p] for p in pieces]
-        begins = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
-        ids = np.fromiter((i for x in lists for i in x), np.int64, int(begins[-1]))
-        flat, at = gather(ids, begins, found.codes, found.offsets)
+        if len(self.slot) > CACHED:
+            self._forget()
+        known = self.slot
+        self._learn([p for p in pieces if p not in known])
+        slots = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        codes = slots[found.codes] if len(pieces) else slots
+        flat, at = gather(self.flat, self.begins, codes, found.offsets)
         if not len(found.unsure):
             return flat, at
         parts = np.split(flat, at[1:-1])
@@ -111,6 +128,10 @@ class LibraryTokenizer:
         return np.concatenate(parts), np.concatenate([[0], np.cumsum([len(p) for p in parts])])
 
 
+def _letters(piece: bytes) -> bool:
+    return piece.isalpha() or (not piece.isascii() and piece.decode().isalpha())
+
+
 def _lengths() -> np.ndarray:
     codes = np.arange(256)
     return np.stack([(codes >> (2 * k) & 3) + 1 for k in range(4)], axis=1)
@@ -161,7 +182,7 @@ def encode(df: DataFrame, path: str, end_id: int = END_ID) -> DataFrame:
         n = pa.array(np.diff(at) + 1, pa.int64())
         return [n, pa.array(packed, pa.binary())]
 
-    return annotate(df, "n_tokens long, packed binary", run, ["doc_id"])
+    return annotate(df, "n_tokens long, packed binary", run, ["doc_id"], size=6 << 20)
 
 
 def _narrow(ids: np.ndarray) -> np.ndarray:
