@@ -7,7 +7,16 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stayline.llm import bytepairs, contamination, divergence, oddsketch, passages, tokenfile
+from stayline.llm import (
+    bytepairs,
+    contamination,
+    divergence,
+    gru,
+    nbsvm,
+    oddsketch,
+    passages,
+    tokenfile,
+)
 from stayline.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +42,12 @@ def op1_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.quality_rules(table(spark, sf_dir, "documents"))
 
 
+@query
+def op2_nb_support_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return nbsvm.quality_scores(documents, labels, ["doc_id"])
+
+
 @query
 def op3_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return oddsketch.near_duplicates(table(spark, sf_dir, "documents"), ["doc_id"])
@@ -48,6 +63,12 @@ def op4_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op5_gated_network(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = (table(spark, sf_dir, t) for t in ("documents", "labels"))
+    return gru.toxicity_scores(documents, labels, ["doc_id"])
+
+
 @query
 def op6_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), LIBRARY_TOKENIZER)
