@@ -1,8 +1,78 @@
-"""A corpus from raw documents to token ids."""
+"""A corpus from raw documents to token ids, as five stages.
 
-STAGES = []
+Each stage takes the documents its predecessor kept and returns what it keeps of them, with the
+columns of ``documents``; the last returns token ids. ``run`` writes every stage to the shared
+folder and reads it again, so a lost executor costs one stage's tasks at most.
+
+* ``quality``: documents that the classifier takes for label 0 go.
+* ``near_duplicates``: of each group of linked documents the one with the smallest doc_id stays.
+* ``repeated_passages``: words of passages that recur are taken out, and ``n_chars`` follows; texts
+  without such words stay as they are, and no document goes.
+* ``decontamination``: documents with any window of a benchmark item go.
+* ``tokens``: doc_id, number of ids, and the ids as little-endian unsigned 32-bit integers.
+
+A null text is an empty one to the classifier, stays null until the last stage, and has no ids.
+Documents without a doc_id pass as they are described in each operator. An empty table gives
+empty results.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from stayline.llm import bytepairs, contamination, nbsvm, oddsketch, passages
+from stayline.llm.queries import RANKS
+from stayline.session import configure, durable
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = nbsvm.quality_scores(docs, labels)
+    return scored.where(F.col("predicted") == 1).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return oddsketch.near_duplicates(docs).where("kept").select(*docs.columns)
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = passages.remove_repeats(docs)
+    changed = F.col("n_removed") > 0
+    text = F.when(changed, F.col("kept_text")).otherwise(F.col("text"))
+    out = found.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        n_chars = F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+        out = out.withColumn("n_chars", n_chars)
+    return out.select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return contamination.decontaminate(docs, items)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    return bytepairs.encode(docs, RANKS, ["doc_id"]).select("doc_id", n_tokens, "ids")
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", quality),
+    ("near_duplicates", near_duplicates),
+    ("repeated_passages", repeated_passages),
+    ("decontamination", decontamination),
+    ("tokens", tokens),
+]
+
+#: Models, sketches and byte pairs have no SQL; each stage is tested against brute force instead.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = configure(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES:
+        docs = durable(stage(spark, docs, sf_dir))
+    return docs
