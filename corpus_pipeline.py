@@ -28,25 +28,30 @@ from stayline.session import configure, durable
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+
+def _packed(docs: DataFrame) -> DataFrame:
+    """Whole rows in one column, beside what operators need: no name of ``docs`` can clash."""
+    return docs.select("doc_id", "text", F.struct("*").alias("row"))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = nbsvm.quality_scores(docs, labels)
-    return scored.where(F.col("predicted") == 1).select(*docs.columns)
+    scored = nbsvm.quality_scores(_packed(docs), labels, ["doc_id", "row"])
+    return scored.where(F.col("predicted") == 1).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return oddsketch.near_duplicates(docs).where("kept").select(*docs.columns)
+    return oddsketch.near_duplicates(_packed(docs), ["row"]).where("kept").select("row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = passages.remove_repeats(docs)
+    found = passages.remove_repeats(_packed(docs), ["row"])
     changed = F.col("n_removed") > 0
-    text = F.when(changed, F.col("kept_text")).otherwise(F.col("text"))
-    out = found.withColumn("text", text)
+    new = {"text": F.when(changed, F.col("kept_text")).otherwise(F.col("row.text"))}
     if "n_chars" in docs.columns:
-        n_chars = F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-        out = out.withColumn("n_chars", n_chars)
-    return out.select(*docs.columns)
+        length = F.length("kept_text").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(changed, length).otherwise(F.col("row.n_chars"))
+    return found.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
