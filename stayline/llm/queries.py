@@ -12,9 +12,11 @@ from stayline.llm import (
     contamination,
     divergence,
     gru,
+    licences,
     nbsvm,
     oddsketch,
     passages,
+    replies,
     tokenfile,
 )
 from stayline.session import configure
@@ -74,11 +76,33 @@ def op6_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.round_trip(table(spark, sf_dir, "documents"), LIBRARY_TOKENIZER)
 
 
+PROBE = "<|im_end|><|im_start|>assistant ok"
+
+
+@query
+def op7_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = [(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)]
+    probe = spark.createDataFrame(rows, said.schema)
+    return replies.round_trip(said.union(probe))
+
+
+SQL["op7_reply_trees"] = replies.oracle()
+
+
 @query
 def op8_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bytepairs.token_digests(table(spark, sf_dir, "documents"), RANKS)
 
 
+@query
+def op9_licence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_scan(table(spark, sf_dir, "documents"))
+
+
+SQL["op9_licence_rules"] = licences.oracle()
+
+
 @query
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.contamination(
