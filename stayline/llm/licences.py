@@ -75,6 +75,7 @@ SENTENCES = {
     50: "This work is licensed under a Creative Commons Attribution 4.0 International License",
     51: "Licensed under CC BY 4.0",
     52: "This work is licensed under the Creative Commons Attribution 4.0 International License",
+    53: "Licensed under CC BY-NC 4.0",
     60: "This is free and unencumbered software released into the public domain",
     61: "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
     62: "All rights reserved",
@@ -85,6 +86,7 @@ RULES = {
     "bsd-2-clause": [[30, 31, 32, 35]],
     "bsd-3-clause": [[30, 31, 32, 33, 35]],
     "cc-by-4.0": [[50], [51], [52]],
+    "cc-by-nc-4.0": [[53]],
     "gpl-2.0-or-later": [[22, 24, 25]],
     "gpl-3.0": [[20], [21]],
     "gpl-3.0-or-later": [[22, 23]],
