@@ -5,7 +5,8 @@ class, and one of each class goes on. MinHash samples, four to a band, put class
 sets with a Jaccard similarity of 0.85 share none of 24 bands with probability 2e-8. Buckets
 with the same members are one.
 
-In a bucket the pairs are not written out. A thousand MinHash samples of each set are folded into
+In a bucket the pairs are not written out, and each pair is looked at in one of the buckets it
+shares. A thousand MinHash samples of each set are folded into
 a parity bitmap, the odd sketch; the population count of the XOR of two estimates their
 similarity, with a deviation of 0.012 at 0.85. Pairs estimated below the limit less five
 deviations are let go. Of the rest, the first round proposes the three nearest of each set. What
@@ -154,6 +155,8 @@ def _compare(table: pa.Table, limit: float, ranks: tuple[int, int] | None) -> pa
     if low == high:
         fit = np.triu(fit, 1)
     x, y = np.nonzero(fit)
+    here = _owned(table, a[x], b[y])
+    x, y = x[here], y[here]
     score = like[x, y]
     u, v = np.minimum(rep[a[x]], rep[b[y]]), np.maximum(rep[a[x]], rep[b[y]])
     if ranks is None:
@@ -178,6 +181,19 @@ def _compare(table: pa.Table, limit: float, ranks: tuple[int, int] | None) -> pa
     )
 
 
+def _owned(table: pa.Table, u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Whether this bucket is the first that both members of a pair are in."""
+    bands = table["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+    used = table["used"].to_numpy()[:, None] >> np.arange(BANDS) & 1
+    bucket = table["bucket"][0].as_py()
+    out = np.empty(len(u), bool)
+    for k in range(0, len(u), 1 << 16):
+        i, j = u[k : k + (1 << 16)], v[k : k + (1 << 16)]
+        common = (bands[i] == bands[j]) & (used[i] == 1)
+        out[k : k + len(i)] = bands[i, common.argmax(axis=1)] == bucket
+    return out
+
+
 def _rank(group: np.ndarray, score: np.ndarray, u: np.ndarray, v: np.ndarray) -> np.ndarray:
     """The place of each pair in its group, the highest score first."""
     order = np.lexsort((v, u, -score, group))
@@ -196,7 +212,8 @@ def _proposals(
     dealt = members.withColumn("block", F.pmod(F.xxhash64("rep"), blocks).cast("long"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), (blocks - 1).cast("long")))
     dealt = dealt.withColumn("other", other)
-    dealt = dealt.join(sets.select("rep", "n_shingles", "sketch"), "rep").select(
+    of_set = sets.select("rep", "n_shingles", "sketch", "bands", "used")
+    dealt = dealt.join(of_set, "rep").select(
         "bucket",
         F.least("block", "other").alias("i"),
         F.greatest("block", "other").alias("j"),
@@ -205,6 +222,8 @@ def _proposals(
         "label",
         "block",
         "sketch",
+        "bands",
+        "used",
     )
     return dealt.groupBy("bucket", "i", "j").applyInArrow(
         lambda table: _compare(table, limit, ranks), "bucket long, u long, v long, rank long"
@@ -278,7 +297,7 @@ def near_duplicates(
 
 def _link_classes(df: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Components (node, root) of classes that are linked with another one."""
-    held = classes.select("rep", F.explode("bands").alias("bucket"))
+    held = classes.select("rep", F.posexplode("bands").alias("band", "bucket"))
     mark = [F.bit_xor(F.xxhash64("rep", F.lit(k))).alias(f"mark{k}") for k in range(2)]
     buckets = held.groupBy("bucket").agg(F.count("*").alias("n"), *mark).where("n > 1")
     buckets = buckets.groupBy("n", "mark0", "mark1").agg(F.min("bucket").alias("bucket"))
@@ -289,8 +308,10 @@ def _link_classes(df: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     found = found.select("rep", F.col("digest").alias("wanted"), "text")
     sets = annotate(found, "digest binary, sketch binary", _sketches)
     sets = sets.where("digest = wanted").dropDuplicates(["rep"])
-    sets = sets.join(classes.select("rep", "n_shingles"), "rep").drop("digest", "wanted")
-    sets = durable(sets)
+    # Which of its bands have a bucket that counts: a pair is looked at in the first it shares.
+    used = members.groupBy("rep").agg(F.bit_or(F.expr("shiftleft(1L, band)")).alias("used"))
+    sets = sets.join(classes.select("rep", "n_shingles", "bands"), "rep").join(used, "rep")
+    sets = durable(sets.drop("digest", "wanted"))
 
     limit = percent / 100
     alone = members.withColumn("label", F.col("rep"))
