@@ -31,8 +31,8 @@ from stayline.llm.nbsvm import calibrate, fold
 from stayline.llm.words import Words, annotate, mixed, text_buffer, words_of
 from stayline.session import durable
 
-SAMPLE = 4000
-SAMPLE_BYTES = 48 << 20
+SAMPLE = 2000
+SAMPLE_BYTES = 10 << 20
 LENGTH, STRIDE = 24, 16
 BUCKETS = 1 << 16  # of words, and of character n-grams
 WIDTH = 6  # of learned vectors
@@ -61,19 +61,19 @@ def inputs_of(vocabulary: pa.Array) -> Inputs:
     marked = pa.array([b"<" + w.lower() + b">" for w in words], pa.large_binary())
     data, at = text_buffer(marked)
     codes, grams, owners = data.astype(np.uint64) + np.uint64(1), [], []
-    owner = np.repeat(np.arange(len(words)), np.diff(at))
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), np.diff(at))
     for n in GRAMS:
         m = max(0, len(codes) - n + 1)
         key = np.full(m, n, np.uint64)
         for k in range(n):
             key = key * np.uint64(1099511628211) + codes[k : k + m]
         whole = owner[:m] == owner[n - 1 :]
-        grams.append((mixed(key) % np.uint64(BUCKETS)).astype(np.int64)[whole])
+        grams.append((mixed(key) % np.uint64(BUCKETS)).astype(np.int32)[whole])
         owners.append(owner[:m][whole])
     gram, of_word = np.concatenate(grams), np.concatenate(owners)
     order = np.argsort(of_word, kind="stable")
     begins = np.searchsorted(of_word[order], np.arange(len(words)))
-    return Inputs((hashes % np.uint64(BUCKETS)).astype(np.int64), gram[order], begins)
+    return Inputs((hashes % np.uint64(BUCKETS)).astype(np.int32), gram[order], begins)
 
 
 def windows_of(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -184,18 +184,17 @@ class Ratios:
 def count_classes(words: Words, labels: np.ndarray) -> tuple[Ratios, Ratios]:
     """Ratios of word buckets and of n-gram buckets."""
     inputs = inputs_of(words.vocabulary)
-    doc = words.doc_of()
-    pairs = np.unique(doc * (1 << 32) + words.codes)
-    doc, code = pairs >> 32, pairs & 0xFFFFFFFF
-    reps = np.diff(np.append(inputs.begins, len(inputs.gram)))[code]
-    at = np.repeat(inputs.begins[code] - np.cumsum(reps) + reps, reps) + np.arange(reps.sum())
-    out = []
-    for d, bucket in ((doc, inputs.word[code]), (np.repeat(doc, reps), inputs.gram[at])):
-        once = np.unique(d * BUCKETS + bucket)
-        key = labels[once // BUCKETS] * BUCKETS + once % BUCKETS
-        seen = np.bincount(key, minlength=2 * BUCKETS).reshape(2, BUCKETS)
-        out.append(Ratios(seen, np.bincount(labels, minlength=2)))
-    return out[0], out[1]
+    size = np.diff(np.append(inputs.begins, len(inputs.gram)))
+    seen = [np.zeros(2 * BUCKETS, np.int64) for _ in range(2)]
+    for d in range(len(labels)):
+        code = np.unique(words.codes[words.offsets[d] : words.offsets[d + 1]])
+        reps = size[code]
+        at = np.repeat(inputs.begins[code] - np.cumsum(reps) + reps, reps)
+        gram = inputs.gram[at + np.arange(reps.sum())]
+        for total, bucket in zip(seen, (inputs.word[code], gram), strict=True):
+            total[labels[d] * BUCKETS + np.unique(bucket).astype(np.int64)] += 1
+    texts = np.bincount(labels, minlength=2)
+    return Ratios(seen[0].reshape(2, -1), texts), Ratios(seen[1].reshape(2, -1), texts)
 
 
 def new_network(word_ratio: np.ndarray, gram_ratio: np.ndarray) -> Network:
