@@ -19,6 +19,7 @@ left out. An empty table gives a file without blocks.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +37,7 @@ END_ID = 2
 BLOCK_IDS = 1 << 18
 PART_BYTES = 32 << 20
 MAX_SENT_PARTS = 500_000  # rows of the table of parts that are broadcast
-CACHED = 600_000  # distinct pre-tokens that a Python worker remembers
+CACHED = 1_000_000  # distinct pre-tokens that a Python worker remembers
 
 
 class LibraryTokenizer:
@@ -114,9 +115,11 @@ class LibraryTokenizer:
         pieces = found.distinct.to_pylist()
         if len(self.slot) > CACHED:
             self._forget()
-        known = self.slot
-        self._learn([p for p in pieces if p not in known])
-        slots = np.fromiter(map(known.__getitem__, pieces), np.int64, len(pieces))
+        slots = np.fromiter(map(self.slot.get, pieces, repeat(-1)), np.int64, len(pieces))
+        new = np.flatnonzero(slots < 0)
+        unknown = [pieces[i] for i in new.tolist()]
+        self._learn(unknown)
+        slots[new] = np.fromiter(map(self.slot.__getitem__, unknown), np.int64, len(new))
         codes = slots[found.codes] if len(pieces) else slots
         flat, at = gather(self.flat, self.begins, codes, found.offsets)
         if not len(found.unsure):
