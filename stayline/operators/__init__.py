@@ -13,12 +13,12 @@ from stayline.operators.clean import (
 from stayline.operators.cohorts import churn_by, cohort_share, users_by
 from stayline.operators.distributions import box_stats, histogram, quantiles, value_counts
 from stayline.operators.facts import (
+    actions_in_window,
     attach_facts,
     churn_summary,
     enrich,
     events_by_status,
     events_per_user,
-    heavy_users,
     keep_players,
     mark_churn,
     normal_visit_ratio,
@@ -33,15 +33,19 @@ from stayline.operators.facts import (
     with_plays,
 )
 from stayline.operators.features import (
-    feature_pipeline,
+    complete_rows,
     feature_table,
     fit_features,
+    incomplete_rows,
+    label_index,
     vector_columns,
+    vector_slots,
 )
 from stayline.operators.metrics import class_metrics, classification_metrics, confusion
 from stayline.operators.models import (
     best_params,
     candidates,
+    majority,
     predictions,
     prepare,
     score,
@@ -50,10 +54,11 @@ from stayline.operators.models import (
     tune,
 )
 from stayline.operators.phases import churn_phase
-from stayline.operators.skew import heavy_keys, join_lookup
+from stayline.operators.skew import is_small, join_lookup
 from stayline.operators.split import split_users, with_fold
 
 __all__ = [
+    "actions_in_window",
     "attach_facts",
     "best_params",
     "box_stats",
@@ -64,6 +69,7 @@ __all__ = [
     "class_metrics",
     "classification_metrics",
     "cohort_share",
+    "complete_rows",
     "confusion",
     "date_range",
     "distinct_users",
@@ -76,14 +82,15 @@ __all__ = [
     "events_on_page",
     "events_per_user",
     "events_where",
-    "feature_pipeline",
     "feature_table",
     "fit_features",
-    "heavy_keys",
-    "heavy_users",
     "histogram",
+    "incomplete_rows",
+    "is_small",
     "join_lookup",
     "keep_players",
+    "label_index",
+    "majority",
     "mark_churn",
     "normal_visit_ratio",
     "plays_per_user",
@@ -106,6 +113,7 @@ __all__ = [
     "users_by",
     "value_counts",
     "vector_columns",
+    "vector_slots",
     "with_fold",
     "with_plays",
     "with_user_number",

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from stayline.functions import as_int, date_of, hour_of
 
+CORRUPT = "_corrupt_record"
+
 IDS = ("userId", "sessionId")
 BLANK_IDS = ("userId",)
 
@@ -18,29 +20,46 @@ def _all(conditions: Sequence[Column]) -> Column:
     return reduce(and_, conditions, F.lit(True))
 
 
+def _corrupt(log: DataFrame) -> Column:
+    """Whether a row comes from a malformed line; only a log read with its corrupt lines knows."""
+    return F.col(CORRUPT).isNotNull() if CORRUPT in log.columns else F.lit(False)
+
+
 def drop_invalid(
-    log: DataFrame, ids: Sequence[str] = IDS, blank_ids: Sequence[str] = BLANK_IDS
+    log: DataFrame,
+    ids: Sequence[str] = IDS,
+    blank_ids: Sequence[str] = BLANK_IDS,
+    drop_corrupt: bool = False,
 ) -> DataFrame:
     """Keep rows where no id is NULL and no text id is blank.
 
+    A malformed line may have its ids all the same: ``drop_corrupt`` removes such rows, and the
+    column that tells them, from a log read with ``keep_corrupt``.
+
     Written as plain predicates, as these reach a parquet scan and ``dropna``
     does not.
     """
     present = [F.col(c).isNotNull() for c in ids]
     filled = [F.col(c) != "" for c in blank_ids]
-    return log.where(_all([*present, *filled]))
+    kept = log.where(_all([*present, *filled]))
+    return kept.where(~_corrupt(log)).drop(CORRUPT) if drop_corrupt else kept
 
 
 def quality_audit(
     log: DataFrame, ids: Sequence[str] = IDS, blank_ids: Sequence[str] = BLANK_IDS
 ) -> DataFrame:
-    """One row of counts: all rows, NULL and blank ids, rows kept and removed, in one pass."""
+    """One row of counts: all rows, NULL and blank ids, rows kept and removed, in one pass.
+
+    ``n_corrupt`` are rows of malformed lines, of a log read with ``keep_corrupt``; they count as
+    kept where their ids are whole, as :func:`drop_invalid` keeps them unless told otherwise.
+    """
     no_null = _all([F.col(c).isNotNull() for c in ids])
     kept = _all([no_null, *[F.coalesce(F.col(c) != "", F.lit(False)) for c in blank_ids]])
     return log.agg(
         F.count("*").alias("n_rows"),
         *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in ids],
         *[F.count_if(F.col(c) == "").alias(f"blank_{c}") for c in blank_ids],
+        F.count_if(_corrupt(log)).alias("n_corrupt"),
         F.count_if(no_null).alias("n_without_nulls"),
         F.count_if(kept).alias("n_kept"),
         F.count_if(~kept).alias("n_removed"),
@@ -81,9 +100,13 @@ def events_where(log: DataFrame, predicate: str) -> DataFrame:
     return log.where(predicate)
 
 
-def events_of_user(log: DataFrame, user: int) -> DataFrame:
-    """Rows of one user, given as a number; ids that are no number match nothing."""
-    return log.where(as_int("userId") == user)
+def events_of_user(log: DataFrame, user: int, cast: bool = False) -> DataFrame:
+    """Rows of one user, given as a number.
+
+    Ids are compared as text, which a scan can filter by. ``cast`` compares numbers instead, so
+    that ``08`` is user 8 as well; ids that are no number match nothing.
+    """
+    return log.where(as_int("userId") == user if cast else F.col("userId") == str(user))
 
 
 def with_user_number(log: DataFrame) -> DataFrame:

@@ -15,15 +15,7 @@ from stayline.functions import (
     page_is,
     share,
 )
-from stayline.operators.skew import (
-    BROADCAST_ROWS,
-    HEAVY_ROWS,
-    MAX_HEAVY_KEYS,
-    heavy_keys,
-    heavy_of,
-    is_small,
-    join_lookup,
-)
+from stayline.operators.skew import join_lookup
 
 NORMAL_STATUS = (200,)
 PROBLEM_STATUS = (404,)
@@ -90,6 +82,7 @@ def user_facts(
     normal: Sequence[int] = NORMAL_STATUS,
     problem: Sequence[int] = PROBLEM_STATUS,
     trim_area: bool = False,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """One row per user of a cleaned log.
 
@@ -97,7 +90,8 @@ def user_facts(
     has one (ties: the greater value), registration is the earliest seen. Where
     these live in a table of their own, pass it as ``profile`` (``userId``,
     ``gender``, ``location``, ``registration``): it is joined after the log is
-    condensed, so no event row is shuffled for it.
+    condensed, so no event row is shuffled for it. ``keep`` names attributes (``registration``,
+    ``location``) to stay beside the facts made of them.
     """
     measures = _measures(play_page, churn_page, normal, problem)
     if profile is not None:
@@ -115,8 +109,9 @@ def user_facts(
         date_of("latest").alias("latest_date"),
         *ACTIVITY_COLUMNS,
         _churn_flag(),
+        *keep,
     ).withColumn("delta_time", days_between("registration_date", "latest_date"))
-    return facts.select(*FACT_COLUMNS)
+    return facts.select(*FACT_COLUMNS, *keep)
 
 
 def _with_attributes(log: DataFrame, measures: list[Column]) -> DataFrame:
@@ -227,6 +222,46 @@ def events_per_user(facts: DataFrame) -> DataFrame:
     return facts.select("userId", "n_events").orderBy("userId")
 
 
+def actions_in_window(
+    log: DataFrame,
+    page: str,
+    days: int,
+    *,
+    churn_page: str = CHURN_PAGE,
+) -> DataFrame:
+    """Per cohort, the users and their events on ``page`` in the last ``days`` days of each user:
+    (churn_users, users, acting_users, actions, actions_per_user).
+
+    Events without a time lie in no window. Events are condensed to days before anything is
+    joined, so no user's rows meet in one task; the days of a user are few.
+    """
+    day = F.floor(F.col("ts") / 86_400_000)
+    by_day = log.groupBy("userId", day.alias("day")).agg(
+        F.max("ts").alias("latest"),
+        F.count_if(F.col("page") == churn_page).alias("marks"),
+        F.count_if(F.col("page") == page).alias("on_page"),
+    )
+    users = by_day.groupBy("userId").agg(
+        F.max("latest").alias("end"), (F.sum("marks") > 0).cast("int").alias("churn_users")
+    )
+    bounds = users.withColumn("begin", F.col("end") - days * 86_400_000)
+    # Whole days inside the window from the day table, the day it begins in from the events.
+    begin_day = F.floor(F.col("begin") / 86_400_000)
+    whole = by_day.join(bounds, "userId").where(F.col("day") > begin_day)
+    whole = whole.select("userId", F.col("on_page").alias("n"))
+    edge = log.where(F.col("page") == page).join(bounds, "userId")
+    edge = edge.where((day == begin_day) & (F.col("ts") > F.col("begin")))
+    edge = edge.groupBy("userId").agg(F.count("*").alias("n"))
+    acted = whole.unionByName(edge).groupBy("userId").agg(F.sum("n").alias("n"))
+    per_user = users.join(acted, "userId", "left").fillna(0, ["n"])
+    return per_user.groupBy("churn_users").agg(
+        F.count("*").alias("users"),
+        F.count_if(F.col("n") > 0).alias("acting_users"),
+        F.sum("n").alias("actions"),
+        share(F.sum("n"), F.count("*")).alias("actions_per_user"),
+    )
+
+
 def churn_summary(facts: DataFrame) -> DataFrame:
     """Marker rows and churned users; they differ where a user cancelled twice."""
     return facts.agg(
@@ -241,53 +276,40 @@ def mark_churn(log: DataFrame, churn_page: str = CHURN_PAGE) -> DataFrame:
     return log.withColumn("churn", page_is(churn_page))
 
 
-def heavy_users(
-    facts: DataFrame, min_rows: int = HEAVY_ROWS, max_keys: int = MAX_HEAVY_KEYS
-) -> DataFrame:
-    """Users with too many events for one task, read off stored facts of all users."""
-    return heavy_of(facts, "n_events", min_rows, max_keys).select("userId")
-
-
 def attach_facts(
     log: DataFrame,
     facts: DataFrame,
     columns: Sequence[str],
     how: str = "inner",
-    heavy: DataFrame | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    small: bool = False,
 ) -> DataFrame:
-    """Log rows with facts of their user.
+    """Log rows with facts of their user; starts no job.
 
-    ``facts`` should be stored (:func:`stayline.session.durable`), as its size is
-    checked first. ``heavy`` comes from :func:`heavy_users`; without it the user
-    ids of the log are scanned once more if the facts are too many to broadcast.
+    ``small`` says that the facts were stored and their size checked
+    (:func:`stayline.operators.skew.is_small`): they are broadcast then.
     """
-    lookup = facts.select("userId", *columns)
-    if is_small(lookup, broadcast_rows):
-        return log.join(F.broadcast(lookup), "userId", how)
-    heavy = heavy_keys(log, "userId") if heavy is None else heavy
-    return join_lookup(log, lookup, "userId", heavy, how)
+    return join_lookup(log, facts.select("userId", *columns), "userId", how, small)
 
 
 def with_plays(
-    log: DataFrame, plays: DataFrame, zero_plays: str = "drop", heavy: DataFrame | None = None
+    log: DataFrame, plays: DataFrame, zero_plays: str = "drop", small: bool = False
 ) -> DataFrame:
     """Log rows with ``song_nums`` from facts or :func:`plays_per_user`.
 
     ``"drop"`` loses the rows of users without plays, ``"keep"`` gives them 0.
     """
     if zero_plays == "drop":
-        return attach_facts(log, keep_players(plays), ["song_nums"], "inner", heavy)
-    joined = attach_facts(log, plays, ["song_nums"], "left", heavy)
+        return attach_facts(log, keep_players(plays), ["song_nums"], "inner", small)
+    joined = attach_facts(log, plays, ["song_nums"], "left", small)
     return joined.fillna(0, ["song_nums"])
 
 
 def rows_of_churned(
-    log: DataFrame, facts: DataFrame, churned: bool = True, heavy: DataFrame | None = None
+    log: DataFrame, facts: DataFrame, churned: bool = True, small: bool = False
 ) -> DataFrame:
     """Rows of churned users (semi join), or of all others (anti join)."""
     ids = facts.where(F.col("churn_users") == 1)
-    return attach_facts(log, ids, [], "left_semi" if churned else "left_anti", heavy)
+    return attach_facts(log, ids, [], "left_semi" if churned else "left_anti", small)
 
 
 def enrich(
@@ -295,8 +317,7 @@ def enrich(
     facts: DataFrame,
     zero_plays: str = "drop",
     churn_page: str = CHURN_PAGE,
-    heavy: DataFrame | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    small: bool = False,
 ) -> DataFrame:
     """The wide log: event columns, dates, the churn marker and the user's facts.
 
@@ -306,7 +327,7 @@ def enrich(
     wanted = ["latest_date", "delta_time", "song_nums", "churn_users"]
     wanted += [c for c in ("registration", "location") if c not in log.columns]
     users = keep_players(facts, zero_plays)
-    return attach_facts(log, users, wanted, "inner", heavy, broadcast_rows).withColumns(
+    return attach_facts(log, users, wanted, "inner", small).withColumns(
         {
             "event_date": date_of("ts"),
             "registration_date": date_of("registration"),

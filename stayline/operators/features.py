@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from dataclasses import dataclass
+
+from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame, Window, functions as F
 
 from stayline.operators.facts import attach_facts, keep_players
+from stayline.session import durable
 
+# The order of the features.
 FEATURES = ("area_feature", "gender_feature", "song_nums", "delta_time")
-MAX_LABELS = 100_000
+CATEGORIES = ("area", "gender")
+NUMBERS = ("song_nums", "delta_time")
 
 
 def feature_table(
@@ -18,7 +24,7 @@ def feature_table(
     grain: str = "user",
     log: DataFrame | None = None,
     zero_plays: str = "drop",
-    heavy: DataFrame | None = None,
+    small: bool = False,
 ) -> DataFrame:
     """gender, area, delta_time, song_nums and label per user, with the user id
     for the split and the user's events as ``weight``.
@@ -41,55 +47,117 @@ def feature_table(
     if grain != "event" or log is None:
         raise ValueError("grain is 'user', or 'event' with a log")
     columns = [c for c in users.columns if c not in ("userId", "weight")]
-    return attach_facts(log.select("userId"), users, columns, heavy=heavy)
+    return attach_facts(log.select("userId"), users, columns, small=small)
+
+
+def incomplete_rows(features: DataFrame) -> DataFrame:
+    """How many rows lack a number, in all and by column; vectors can't be made of them."""
+    missing = [F.col(c).isNull() for c in NUMBERS]
+    return features.agg(
+        F.count("*").alias("n_rows"),
+        F.count_if(missing[0] | missing[1]).alias("n_incomplete"),
+        *[F.count_if(m).alias(f"null_{c}") for c, m in zip(NUMBERS, missing)],
+    )
+
 
+def complete_rows(features: DataFrame) -> DataFrame:
+    """Rows with all numbers; :func:`incomplete_rows` counts the others."""
+    return features.where(F.col(NUMBERS[0]).isNotNull() & F.col(NUMBERS[1]).isNotNull())
 
-def feature_pipeline(encode: str = "index") -> Pipeline:
-    """Index area and gender, assemble four columns, scale to unit deviation.
 
-    Unseen and missing values get an index of their own; rows with a missing
-    number are left out. ``encode="onehot"`` spreads the indexes over 0/1 slots,
-    for linear models, to which an index is no quantity.
+def label_index(rows: DataFrame, column: str, weight: str | None = None) -> DataFrame:
+    """(value, index) of a column's values, the most frequent first, equal ones in order.
+
+    The table is stored and stays a table, however many values there are. Ranks are the places in
+    range-sorted parts plus the sizes of the parts before, so no task ranks all values.
     """
-    stages = [
-        StringIndexer(
-            inputCols=["area", "gender"],
-            outputCols=["area_feature", "gender_feature"],
-            handleInvalid="keep",
-        )
-    ]
-    inputs = list(FEATURES)
-    if encode == "onehot":
-        inputs[:2] = ["area_slots", "gender_slots"]
-        stages.append(
-            OneHotEncoder(
-                inputCols=["area_feature", "gender_feature"],
-                outputCols=inputs[:2],
-                handleInvalid="keep",
+    n = F.sum(weight) if weight else F.count("*")
+    counts = rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
+    order = [F.desc("n"), F.asc("value")]
+    counted = durable(counts.agg(n.alias("n")))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = counted.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id())
+    stored = durable(dealt)  # which part a value is in must not change any more
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row for each part passes this window.
+    sizes = stored.groupBy("part").agg(F.count("*").alias("size"))
+    base = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
+    place = F.row_number().over(Window.partitionBy("part").orderBy(*order))
+    ranked = stored.withColumn("place", place).join(base, "part")
+    index = (F.col("base") + F.col("place") - 1).cast("double").alias("index")
+    return durable(ranked.select("value", index))
+
+
+@dataclass
+class FeatureModel:
+    """Index tables, and the scale of each vector slot; learned from training rows only."""
+
+    indexes: dict[str, DataFrame]
+    sizes: dict[str, int]
+    encode: str
+    scale: ElementwiseProduct | None = None
+
+    @property
+    def max_bins(self) -> int:
+        """What a tree needs to take the indexes as categories: unseen is one of them."""
+        return max(n + 1 for n in self.sizes.values())
+
+    def assemble(self, df: DataFrame) -> DataFrame:
+        """``df`` with an index for each category, and all features in ``features1``.
+
+        Unseen and missing values share the index after the last. A missing number is an error.
+        """
+        for c, index in self.indexes.items():
+            n = self.sizes[c]
+            kind = {"type": "nominal", "name": f"{c}_feature", "num_vals": n + 1}
+            found = index.select(F.col("value").alias("_value"), F.col("index").alias("_index"))
+            df = df.join(found, F.col(c) == F.col("_value"), "left").withColumn(
+                f"{c}_feature", F.coalesce("_index", F.lit(float(n)))
             )
-        )
-    elif encode != "index":
-        raise ValueError("encode is 'index' or 'onehot'")
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="features1", handleInvalid="skip"))
-    stages.append(StandardScaler(inputCol="features1", outputCol="features"))
-    return Pipeline(stages=stages)
+            df = df.drop("_value", "_index").withMetadata(f"{c}_feature", {"ml_attr": kind})
+        inputs = list(FEATURES)
+        if self.encode == "onehot":
+            inputs[:2] = ["area_slots", "gender_slots"]
+            encoder = OneHotEncoder(inputCols=list(FEATURES[:2]), outputCols=inputs[:2], dropLast=False)
+            df = encoder.fit(df).transform(df)  # sizes come from the columns' metadata
+        return VectorAssembler(inputCols=inputs, outputCol="features1").transform(df)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.scale.transform(self.assemble(df))
 
 
 def fit_features(
-    train: DataFrame, encode: str = "index", max_labels: int = MAX_LABELS
-) -> PipelineModel:
-    """Fit the pipeline on training rows.
+    train: DataFrame, encode: str = "index", weight: str | None = None
+) -> FeatureModel:
+    """Learn indexes and scales from training rows.
 
-    Index labels are part of the model and so live on the driver; a column with
-    more than ``max_labels`` of them is refused instead.
+    ``weight`` is a column of whole numbers: a row counts as if it stood there so many times, for
+    the order of the labels and for the deviations. ``encode="onehot"`` spreads the indexes over
+    0/1 slots, for linear models, to which an index is no quantity.
     """
-    sizes = train.agg(
-        *[F.approx_count_distinct(c).alias(c) for c in ("area", "gender")]
+    if encode not in ("index", "onehot"):
+        raise ValueError("encode is 'index' or 'onehot'")
+    indexes = {c: label_index(train, c, weight) for c in CATEGORIES}
+    sizes = {c: index.count() for c, index in indexes.items()}
+    model = FeatureModel(indexes, sizes, encode)
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    rows = model.assemble(train).select("features1", w.alias("w"))
+    stats = rows.agg(
+        Summarizer.variance(F.col("features1"), F.col("w")).alias("variance"),
+        F.sum("w").alias("w"),
+        F.sum(F.col("w") * F.col("w")).alias("w2"),
     ).first()
-    too_many = {c: n for c, n in sizes.asDict().items() if n > max_labels}
-    if too_many:
-        raise ValueError(f"not categorical, more than {max_labels} values: {too_many}")
-    return feature_pipeline(encode).fit(train)
+    scale = []
+    if stats.w:
+        # The summarizer takes weights for reliabilities; as counts they have one degree less.
+        unbiased = (stats.w - stats.w2 / stats.w) / (stats.w - 1) if stats.w > 1 else 0.0
+        deviations = [(v * unbiased) ** 0.5 for v in stats.variance]
+        scale = [1 / d if d > 0 else 0.0 for d in deviations]
+    slots = sum(sizes.values()) + 2 + len(NUMBERS) if encode == "onehot" else len(FEATURES)
+    model.scale = ElementwiseProduct(
+        inputCol="features1", outputCol="features", scalingVec=Vectors.dense(scale or [0.0] * slots)
+    )
+    return model
 
 
 def vector_columns(df: DataFrame, vector: str) -> DataFrame:
@@ -98,3 +166,9 @@ def vector_columns(df: DataFrame, vector: str) -> DataFrame:
     return slots.select(
         "userId", *[F.col("slots")[i].alias(name) for i, name in enumerate(FEATURES)]
     )
+
+
+def vector_slots(df: DataFrame, vector: str) -> DataFrame:
+    """(userId, slot, value) of all slots of a vector that aren't 0."""
+    slots = df.select("userId", F.posexplode(vector_to_array(vector)).alias("slot", "value"))
+    return slots.where(F.col("value") != 0)

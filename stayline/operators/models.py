@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from math import ceil
 
 from pyspark import inheritable_thread_target
-from pyspark.ml import Estimator, Model, PipelineModel
+from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import DecisionTreeClassifier, LinearSVC, LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.param import Param
@@ -16,7 +16,7 @@ from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.storagelevel import StorageLevel
 
-from stayline.operators.features import fit_features
+from stayline.operators.features import FeatureModel, fit_features
 from stayline.operators.split import FOLDS, SEED, split_users, with_fold
 
 MODELS = ("logistic_regression", "linear_svm", "decision_tree")
@@ -44,7 +44,7 @@ def candidates(
 
     ``tree_input="features1"`` gives the tree the unscaled vector, where area and
     gender still are marked as categories; ``max_bins`` then has to be at least
-    the number of areas.
+    :attr:`stayline.operators.features.FeatureModel.max_bins`, one more than there are areas.
     """
     # Iterations and grids.
     lr = LogisticRegression(maxIter=20)
@@ -67,11 +67,17 @@ def candidates(
     return [Candidate(name, *grids[name]) for name in names]
 
 
+def majority(weight: str | None = None) -> Candidate:
+    """A yardstick: the more frequent class of the training rows, whatever the features."""
+    stump = DecisionTreeClassifier(maxDepth=0)
+    return Candidate("majority", stump.setWeightCol(weight) if weight else stump)
+
+
 @dataclass
 class Prepared:
-    """Feature vectors of all users; the pipeline that made them has seen train users only."""
+    """Feature vectors of all users; the model that made them has seen train users only."""
 
-    pipeline: PipelineModel
+    features: FeatureModel
     table: DataFrame
     weight: str | None = None
 
@@ -90,11 +96,13 @@ def prepare(
 
     The table is read several times, so it should be stored
     (:func:`stayline.session.durable`). With ``grain="event"`` a user counts as
-    often as it has events.
+    often as it has events, for indexes, scales, models and scores alike. A row without a number
+    raises an error: take :func:`stayline.operators.features.complete_rows` before.
     """
     table = with_fold(split_users(features, seed), folds, seed)
-    pipeline = fit_features(table.where(F.col("part") == "train"), encode)
-    return Prepared(pipeline, pipeline.transform(table), "weight" if grain == "event" else None)
+    weight = "weight" if grain == "event" else None
+    model = fit_features(table.where(F.col("part") == "train"), encode, weight)
+    return Prepared(model, model.transform(table), weight)
 
 
 def f1_evaluator(weight: str | None = None) -> MulticlassClassificationEvaluator:

@@ -6,56 +6,52 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from stayline.functions import CHURN_PAGE
 from stayline.operators.facts import mark_churn
-from stayline.operators.skew import HEAVY_ROWS, MAX_HEAVY_KEYS, heavy_keys, heavy_of, join_lookup
 
 HOUR = 3_600_000
 BEFORE_ALL = -(2**63)
+# A bit for each hash of a user id: words of 64 bits, so at most 2**19 rows are broadcast.
+FILTER_BITS = 1 << 25
 
 
 def churn_phase(
-    log: DataFrame,
-    churn_page: str = CHURN_PAGE,
-    min_rows: int = HEAVY_ROWS,
-    max_keys: int = MAX_HEAVY_KEYS,
+    log: DataFrame, churn_page: str = CHURN_PAGE, filter_bits: int = FILTER_BITS
 ) -> DataFrame:
     """The log with ``churn_running``: the user's marker rows at or after this event.
 
-    Above 0 up to the marker, 0 after the last one. Users of ordinary size take
-    a window. A heavy user would fill one task: without a marker all its rows
-    are 0 and stay where they are, with one they take :func:`_heavy_phase`.
+    Above 0 up to the marker, 0 after the last one. Rows of users without a marker are 0 and stay
+    where they are; a bitmap of fixed size, filled with the hashes of users that have a marker,
+    tells them. Only the others (and the few that share a hash with them) are counted.
     """
     marked = mark_churn(log, churn_page)
-    counts = marked.groupBy("userId").agg(
-        F.count("*").alias("n_events"), F.sum("churn").alias("marks")
+    bit = F.pmod(F.xxhash64("userId"), F.lit(filter_bits))
+    place = {"_word": F.floor(bit / 64).cast("long"), "_bit": (bit % 64).cast("int")}
+    bits = (
+        log.where(F.col("page") == churn_page)
+        .withColumns(place)
+        .groupBy("_word")
+        .agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), "_bit")).alias("_bits"))
     )
-    heavy = heavy_of(counts, "n_events", min_rows, max_keys)
-
-    def rows_of(users: DataFrame, how: str = "left_semi") -> DataFrame:
-        return marked.join(F.broadcast(users.select("userId")), "userId", how)
-
-    latest_first = (
-        Window.partitionBy("userId")
-        .orderBy(F.desc("ts"))
-        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = marked.withColumns(place).join(F.broadcast(bits), "_word", "left")
+    held = F.call_function("shiftrightunsigned", F.coalesce("_bits", F.lit(0)), F.col("_bit"))
+    placed = placed.withColumn("_held", held.bitwiseAND(F.lit(1).cast("long")) == 1)
+    silent = placed.where(~F.col("_held")).select(
+        *marked.columns, F.lit(0).cast("long").alias("churn_running")
     )
-    light = rows_of(heavy, "left_anti").withColumn("churn_running", F.sum("churn").over(latest_first))
-    silent = rows_of(heavy.where("marks = 0")).withColumn("churn_running", F.lit(0).cast("long"))
-    others = _heavy_phase(rows_of(heavy.where("marks > 0")), min_rows, max_keys)
-    return light.unionByName(silent).unionByName(others)
+    return silent.unionByName(_counted(placed.where("_held").select(*marked.columns)))
 
 
-def _heavy_phase(marked: DataFrame, min_rows: int, max_keys: int) -> DataFrame:
-    """The same count without holding a user's rows in one task.
+def _counted(marked: DataFrame) -> DataFrame:
+    """The running count without holding a user's rows in one task.
 
-    Rows are condensed to moments and summed within each hour, where at most
-    3.6 million distinct moments fit; the markers of later hours are added from a
-    table with one row per user and hour. Events without a time count as earliest.
+    Rows are condensed to moments and summed within each hour, where at most 3.6 million distinct
+    moments fit; the markers of later hours are added from a table with one row per user and hour.
+    Events without a time count as earliest.
     """
-    timed = marked.withColumn("moment", F.coalesce("ts", F.lit(BEFORE_ALL)))
+    timed = marked.withColumn("_moment", F.coalesce("ts", F.lit(BEFORE_ALL)))
     moments = (
-        timed.groupBy("userId", "moment")
+        timed.groupBy("userId", "_moment")
         .agg(F.sum("churn").alias("marks"))
-        .withColumn("hour", F.floor(F.col("moment") / HOUR))
+        .withColumn("hour", F.floor(F.col("_moment") / HOUR))
     )
     hours = moments.groupBy("userId", "hour").agg(F.sum("marks").alias("hour_marks"))
     later_hours = (
@@ -65,17 +61,19 @@ def _heavy_phase(marked: DataFrame, min_rows: int, max_keys: int) -> DataFrame:
     )
     within_hour = (
         Window.partitionBy("userId", "hour")
-        .orderBy(F.desc("moment"))
+        .orderBy(F.desc("_moment"))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     later = hours.select(
-        "userId", "hour", F.coalesce(F.sum("hour_marks").over(later_hours), F.lit(0)).alias("later")
+        F.col("userId").alias("_user"),
+        F.col("hour").alias("_hour"),
+        F.coalesce(F.sum("hour_marks").over(later_hours), F.lit(0)).alias("later"),
     )
-    running = moments.join(later, ["userId", "hour"]).select(
-        "userId",
-        "moment",
+    same_hour = F.col("userId").eqNullSafe(F.col("_user")) & (F.col("hour") == F.col("_hour"))
+    running = moments.join(later, same_hour).select(
+        F.col("userId").alias("_of"),
+        F.col("_moment").alias("_at"),
         (F.col("later") + F.sum("marks").over(within_hour)).alias("churn_running"),
     )
-    key = ["userId", "moment"]
-    heavy = heavy_keys(timed, key, min_rows, max_keys)
-    return join_lookup(timed, running, key, heavy).drop("moment")
+    same_moment = F.col("userId").eqNullSafe(F.col("_of")) & (F.col("_moment") == F.col("_at"))
+    return timed.join(running, same_moment).drop("_moment", "_of", "_at")

@@ -1,79 +1,60 @@
 """Joining log rows with a table that has one row per key, whatever the key distribution.
 
-A small lookup table is broadcast after a check of its size. Beyond that a join
-has to shuffle, which sends all rows of one key to one task. The keys that are
-too heavy for it are few by a counting argument, so their part of the lookup
-table can be broadcast and their rows never move; all other keys take the usual
-join, where Spark picks the strategy.
+A lookup table whose size in bytes was checked is broadcast. Otherwise it is one shuffle join:
+AQE splits the partitions that heavy keys fill, and rows without a key, which match nothing, are
+spread over the tasks in the same pass.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
-HEAVY_ROWS = 5_000_000
-MAX_HEAVY_KEYS = 20_000
-BROADCAST_ROWS = 100_000  # at some 200 bytes a row, 20 MB for each executor
+BROADCAST_BYTES = 64 << 20
+NULL_SALTS = 256
+_FIXED_WIDTH = 16  # bytes a number or date takes in a row, with its share of the header
 
 
-def is_small(stored: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether a stored table has few enough rows to be sent to every executor.
-
-    Runs a count, which for a parquet table comes from the file footers; a table
-    that is not stored would be computed for it.
-    """
-    return stored.count() <= max_rows
+def row_bytes(df: DataFrame):
+    """About how many bytes a row takes in memory."""
+    total = F.lit(0).cast("long")
+    for f in df.schema:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            total = total + F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0))
+        total = total + F.lit(_FIXED_WIDTH)
+    return total
 
 
-def heavy_keys(
-    rows: DataFrame,
-    key: str | Sequence[str],
-    min_rows: int = HEAVY_ROWS,
-    max_keys: int = MAX_HEAVY_KEYS,
-) -> DataFrame:
-    """Keys with more than ``max(min_rows, all rows / max_keys)`` rows.
+def is_small(stored: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a stored table has few enough bytes to be sent to every executor.
 
-    Fewer than ``max_keys`` keys can be that heavy, so the result is safe to
-    broadcast at any data size. It is lazy and reads the key columns only.
+    Runs a job over it; a table that is not stored would be computed for that.
     """
-    keys = [key] if isinstance(key, str) else list(key)
-    counts = rows.groupBy(*keys).agg(F.count("*").alias("key_rows"))
-    return heavy_of(counts, "key_rows", min_rows, max_keys).select(*keys)
-
-
-def heavy_of(
-    counts: DataFrame, n: str, min_rows: int = HEAVY_ROWS, max_keys: int = MAX_HEAVY_KEYS
-) -> DataFrame:
-    """The same from a table that has the row count ``n`` of each key."""
-    share_of_all = counts.agg(F.sum(n)).scalar() / F.lit(max_keys)
-    return counts.where(F.col(n) > F.greatest(F.lit(min_rows), share_of_all))
+    return (stored.agg(F.sum(row_bytes(stored))).first()[0] or 0) <= max_bytes
 
 
 def join_lookup(
     rows: DataFrame,
     lookup: DataFrame,
     key: str | Sequence[str],
-    heavy: DataFrame,
     how: str = "inner",
+    small: bool = False,
 ) -> DataFrame:
     """``rows`` joined with ``lookup``, which must have at most one row per key.
 
-    ``heavy`` comes from :func:`heavy_keys` on the same rows. Without heavy keys
-    AQE finds that side empty and drops the branch before its scan.
+    ``small`` says that the size of ``lookup`` was checked (:func:`is_small`): it is broadcast.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    few = F.broadcast(heavy.select(*keys))
-    hot_lookup = F.broadcast(lookup.join(few, keys, "left_semi"))
-    cold_rows = rows.join(few, keys, "left_anti")
+    if small:
+        return rows.join(F.broadcast(lookup), keys, how)
     if how in ("inner", "left_semi"):
-        hot = rows.join(hot_lookup, keys, how)
-        return hot.unionByName(cold_rows.join(lookup, keys, how))
-    hot = rows.join(few, keys, "left_semi").join(hot_lookup, keys, how)
-    # Rows without a key match nothing: they go around the join instead of meeting in one task.
+        return rows.join(lookup, keys, how)
     keyless = F.lit(False)
     for k in keys:
         keyless = keyless | F.col(k).isNull()
-    cold = cold_rows.where(~keyless).join(lookup, keys, how)
-    return hot.unionByName(cold).unionByName(rows.where(keyless), allowMissingColumns=True)
+    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(NULL_SALTS)) + 1
+    salt = F.when(keyless, spread).otherwise(0).cast("long")
+    salted = rows.withColumn("_salt", salt)
+    unsalted = lookup.withColumn("_salt", F.lit(0).cast("long"))
+    return salted.join(unsalted, [*keys, "_salt"], how).drop("_salt")

@@ -16,8 +16,9 @@ from stayline.functions import (
     parse_date,
 )
 from stayline.operators.models import Prepared
+from stayline.operators.skew import BROADCAST_BYTES
 from stayline.plans.study import PLAYS_BINS, TENURE_BINS, ModelStudy, model_study, prepare_models
-from stayline.session import configure, durable, scratch_path
+from stayline.session import configure, durable, scratch_path, stored_bytes
 from stayline.sources import events, preview, read_events, star, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,17 +26,23 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 ROW = ["userId", "sessionId", "page", "ts"]
+DOWNGRADE_PAGE = "logout"
+ACTION_DAYS = 7
 SPOT_USER = 8
 
 
 class Tables:
     """The inputs queries start from; nothing is computed until it is asked for."""
 
+    #: Tables that may be broadcast after a check of their size.
+    broadcast_bytes = BROADCAST_BYTES
+
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
-        self.spark, self.sf_dir = configure(spark), sf_dir
+        input_bytes = stored_bytes(star.table(spark, sf_dir, "events"))
+        self.spark, self.sf_dir = configure(spark, input_bytes=input_bytes), sf_dir
 
     def log(self, *columns: str) -> DataFrame:
-        return star.event_log(self.spark, self.sf_dir, columns or None)
+        return star.event_log(self.spark, self.sf_dir, columns or None, self.broadcast_bytes)
 
     def clean(self, *columns: str) -> DataFrame:
         """The cleaned log: ids, page and time, and the columns named."""
@@ -51,12 +58,22 @@ class Tables:
     def players(self) -> DataFrame:
         return op.keep_players(self.facts())
 
-    def prepared(self) -> Prepared:
-        return prepare_models(self.facts())
+    def stored(self, users: DataFrame) -> tuple[DataFrame, bool]:
+        """A table of users, stored, and whether it may be broadcast."""
+        users = durable(users)
+        return users, op.is_small(users, self.broadcast_bytes)
+
+    def prepared(self, grain: str = "user", encode: str = "index") -> Prepared:
+        return prepare_models(self.facts(), grain=grain, encode=encode)
 
     def study(self) -> ModelStudy:
         return model_study(self.facts())
 
+    def baseline(self, grain: str = "user") -> ModelStudy:
+        """The study of the majority class alone."""
+        weight = "weight" if grain == "event" else None
+        return model_study(self.facts(), grain=grain, models=[op.majority(weight)])
+
 
 def query(build: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
     """Register a query under the name of its function."""
@@ -79,6 +96,36 @@ def read_json_roundtrip(t: Tables) -> DataFrame:
     return read_events(t.spark, path)
 
 
+@query
+def read_json_corrupt(t: Tables) -> DataFrame:
+    """A log of which every seventh session's lines are broken: what cleaning leaves of it.
+
+    Lines of even sessions have text for a time, those of odd ones end early.
+    """
+    path = scratch_path(t.spark, "broken-log")
+    line = F.to_json(F.struct(*[F.col(c) for c in t.log().columns]))
+    ill_typed = F.regexp_replace(line, r'"ts":\d+', '"ts":"abc"')
+    cut_off = F.substring(line, 1, 9)
+    broken = F.col("sessionId") % 7 == 0
+    value = F.when(broken & (F.col("sessionId") % 2 == 0), ill_typed)
+    value = value.when(broken, cut_off).otherwise(line)
+    t.log().select(value.alias("value")).write.text(path)
+    log = read_events(t.spark, path, keep_corrupt=True)
+    return op.drop_invalid(log, drop_corrupt=True).select(*ROW, "status")
+
+
+@query
+def quality_audit_corrupt(t: Tables) -> DataFrame:
+    """The audit of such a log, with its corrupt lines counted."""
+    path = scratch_path(t.spark, "broken-log")
+    rows = t.log("userId", "sessionId", "ts", "page")
+    line = F.to_json(F.struct(*rows.columns))
+    broken = F.regexp_replace(line, r'"ts":\d+', '"ts":"abc"')
+    value = F.when(F.col("sessionId") % 7 == 0, broken).otherwise(line)
+    rows.select(value.alias("value")).write.text(path)
+    return op.quality_audit(read_events(t.spark, path, keep_corrupt=True))
+
+
 @query
 def parquet_roundtrip(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "log-by-date")
@@ -107,9 +154,10 @@ def clean_log(t: Tables) -> DataFrame:
 
 @query
 def enriched_log(t: Tables) -> DataFrame:
-    profile = star.user_profile(t.spark, t.sf_dir).select("userId", "registration", "location")
-    users = durable(t.facts().join(profile, "userId", "left"))
-    return op.enrich(t.clean("level", "status", "gender"), users, heavy=op.heavy_users(users))
+    profile = star.user_profile(t.spark, t.sf_dir)
+    users = op.user_facts(t.clean("status"), profile, keep=("registration", "location"))
+    users, small = t.stored(users)
+    return op.enrich(t.clean("level", "status", "gender"), users, small=small)
 
 
 @query
@@ -195,43 +243,43 @@ def churn_users(t: Tables) -> DataFrame:
 # Joins of the log with facts of its users
 
 
-# The facts are stored first: they are read for the lookup and for the heavy users.
+# The facts are stored first, so that their size can be checked.
 
 
 @query
 def latest_time(t: Tables) -> DataFrame:
-    users = durable(t.activity())
-    return op.attach_facts(t.clean(), users, ["latest_date"], heavy=op.heavy_users(users))
+    users, small = t.stored(t.activity())
+    return op.attach_facts(t.clean(), users, ["latest_date"], small=small)
 
 
 @query
 def log_with_tenure(t: Tables) -> DataFrame:
-    users = durable(t.facts())
-    return op.attach_facts(t.clean(), users, ["delta_time"], heavy=op.heavy_users(users))
+    users, small = t.stored(t.facts())
+    return op.attach_facts(t.clean(), users, ["delta_time"], small=small)
 
 
 @query
 def log_with_plays(t: Tables) -> DataFrame:
-    users = durable(t.activity())
-    return op.with_plays(t.clean(), users, heavy=op.heavy_users(users))
+    users, small = t.stored(t.activity())
+    return op.with_plays(t.clean(), users, small=small)
 
 
 @query
 def log_with_plays_keep(t: Tables) -> DataFrame:
-    users = durable(t.activity())
-    return op.with_plays(t.clean(), users, zero_plays="keep", heavy=op.heavy_users(users))
+    users, small = t.stored(t.activity())
+    return op.with_plays(t.clean(), users, zero_plays="keep", small=small)
 
 
 @query
 def churned_rows_semi(t: Tables) -> DataFrame:
-    users = durable(t.activity())
-    return op.rows_of_churned(t.clean(), users, heavy=op.heavy_users(users))
+    users, small = t.stored(t.activity())
+    return op.rows_of_churned(t.clean(), users, small=small)
 
 
 @query
 def retained_rows_anti(t: Tables) -> DataFrame:
-    users = durable(t.activity())
-    return op.rows_of_churned(t.clean(), users, churned=False, heavy=op.heavy_users(users))
+    users, small = t.stored(t.activity())
+    return op.rows_of_churned(t.clean(), users, churned=False, small=small)
 
 
 # Aggregates and distinct
@@ -331,6 +379,26 @@ def normal_visit_ratio(t: Tables) -> DataFrame:
     return op.normal_visit_ratio(op.keep_players(t.activity()))
 
 
+@query
+def normal_visit_ratio_required(t: Tables) -> DataFrame:
+    """Only users with a normal visit."""
+    return op.normal_visit_ratio(op.keep_players(t.activity()), require_normal=True)
+
+
+@query
+def churn_by_downgrade(t: Tables) -> DataFrame:
+    """Users by a flag for another page than the cancellation, as a label of its own."""
+    downgraded = op.user_activity(t.clean("status"), churn_page=DOWNGRADE_PAGE)
+    return op.churn_by(op.keep_players(downgraded).join(
+        star.user_profile(t.spark, t.sf_dir).select("userId", "gender"), "userId", "left"
+    ), "gender")
+
+
+@query
+def actions_in_window(t: Tables) -> DataFrame:
+    return _rounded(op.actions_in_window(t.clean(), PLAY_PAGE, ACTION_DAYS), "actions_per_user")
+
+
 @query
 def churn_summary(t: Tables) -> DataFrame:
     return op.churn_summary(op.keep_players(t.activity()))
@@ -386,6 +454,11 @@ def box_plays(t: Tables) -> DataFrame:
     return _rounded(op.box_stats(op.keep_players(t.activity()), "song_nums"), *BOX)
 
 
+@query
+def box_plays_by_gender(t: Tables) -> DataFrame:
+    return _rounded(op.box_stats(t.players(), "song_nums", by="gender"), *BOX)
+
+
 # Window
 
 
@@ -404,8 +477,8 @@ def feature_table(t: Tables) -> DataFrame:
 
 @query
 def feature_table_events(t: Tables) -> DataFrame:
-    users = durable(t.facts())
-    return op.feature_table(users, "event", t.clean(), heavy=op.heavy_users(users))
+    users, small = t.stored(t.facts())
+    return op.feature_table(users, "event", t.clean(), small=small)
 
 
 @query
@@ -429,6 +502,28 @@ def scaled_features(t: Tables) -> DataFrame:
     return _rounded(scaled, *[c for c in scaled.columns if c != "userId"])
 
 
+@query
+def area_index_events(t: Tables) -> DataFrame:
+    """Indexes where a user counts once per event."""
+    return t.prepared("event").table.select("userId", "area", "area_feature")
+
+
+@query
+def scaled_features_events(t: Tables) -> DataFrame:
+    scaled = op.vector_columns(t.prepared("event").table, "features")
+    return _rounded(scaled, *[c for c in scaled.columns if c != "userId"])
+
+
+@query
+def onehot_features(t: Tables) -> DataFrame:
+    return op.vector_slots(t.prepared(encode="onehot").table, "features1")
+
+
+@query
+def incomplete_features(t: Tables) -> DataFrame:
+    return op.incomplete_rows(op.feature_table(t.facts()))
+
+
 @query
 def user_split(t: Tables) -> DataFrame:
     users = op.keep_players(t.activity()).select("userId")
@@ -483,6 +578,37 @@ def final_test_score(t: Tables) -> DataFrame:
 
 
 
+@query
+def baseline_leaderboard(t: Tables) -> DataFrame:
+    board = t.baseline().leaderboard.select("model", "grid_pos", "avg_f1")
+    return _rounded(board, "avg_f1")
+
+
+@query
+def baseline_best_params(t: Tables) -> DataFrame:
+    return _rounded(t.baseline().best_params.select("model", "grid_pos", "avg_f1"), "avg_f1")
+
+
+@query
+def baseline_validation(t: Tables) -> DataFrame:
+    return _rounded(t.baseline().validation_table(), "f1")
+
+
+@query
+def baseline_test(t: Tables) -> DataFrame:
+    return _rounded(t.baseline().final_table(), "f1")
+
+
+@query
+def baseline_by_grain(t: Tables) -> DataFrame:
+    """Mean F1 of the majority class where a user counts once, and once per event."""
+    boards = [
+        t.baseline(grain).leaderboard.select(F.lit(grain).alias("grain"), "avg_f1")
+        for grain in ("user", "event")
+    ]
+    return _rounded(boards[0].unionByName(boards[1]), "avg_f1")
+
+
 @query
 def grain_scores(t: Tables) -> DataFrame:
     """Validation scores where a user counts once, and where it counts once per event."""

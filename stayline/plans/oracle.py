@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from stayline.operators.distributions import CHURN_FLAG
-from stayline.plans.catalog import SPOT_USER
+from stayline.plans.catalog import ACTION_DAYS, DOWNGRADE_PAGE, SPOT_USER
 from stayline.plans.study import PLAYS_BINS, TENURE_BINS
 
 # Each view is a common table expression; a query lists those it builds on.
@@ -76,7 +76,22 @@ VIEWS = {
         SELECT s.*, CAST(coalesce(a.idx, (SELECT count(*) FROM areas)) AS DOUBLE) AS area_feature,
                CAST(coalesce(g.idx, (SELECT count(*) FROM genders)) AS DOUBLE) AS gender_feature
         FROM split s LEFT JOIN areas a ON a.area = s.area LEFT JOIN genders g ON g.gender = s.gender
-        WHERE s.delta_time IS NOT NULL""",
+        """,
+    "areas_events": """
+        SELECT area, row_number() OVER (ORDER BY count(*) DESC, area) - 1 AS idx
+        FROM clean c JOIN split s USING ("userId")
+        WHERE part = 'train' AND area IS NOT NULL GROUP BY area""",
+    "genders_events": """
+        SELECT s.gender, row_number() OVER (ORDER BY count(*) DESC, s.gender) - 1 AS idx
+        FROM clean c JOIN split s USING ("userId")
+        WHERE part = 'train' AND s.gender IS NOT NULL GROUP BY s.gender""",
+    "vectors_events": """
+        SELECT s.*, CAST(coalesce(a.idx, (SELECT count(*) FROM areas_events)) AS DOUBLE) AS area_feature,
+               CAST(coalesce(g.idx, (SELECT count(*) FROM genders_events)) AS DOUBLE) AS gender_feature
+        FROM split s LEFT JOIN areas_events a ON a.area = s.area
+        LEFT JOIN genders_events g ON g.gender = s.gender""",
+    "event_vectors": """
+        SELECT v.* FROM clean c JOIN vectors_events v USING ("userId")""",
 }
 
 NEEDS = {
@@ -92,6 +107,10 @@ NEEDS = {
     "areas": ["split"],
     "genders": ["split"],
     "vectors": ["areas", "genders"],
+    "areas_events": ["split"],
+    "genders_events": ["split"],
+    "vectors_events": ["areas_events", "genders_events"],
+    "event_vectors": ["vectors_events"],
 }
 
 
@@ -155,13 +174,30 @@ def _hist(table: str, value: str, bins: int, shared: bool = False, by: str = CHU
     )
 
 
-def _scaled() -> str:
+def _scaled(table: str = "vectors", rows: str = "vectors") -> str:
     columns = ("area_feature", "gender_feature", "song_nums", "delta_time")
     parts = ", ".join(
-        f"round(coalesce({c} / nullif((SELECT stddev_samp({c}) FROM vectors WHERE part = 'train'), 0), 0), 6) AS {c}"
+        f"round(coalesce({c} / nullif((SELECT stddev_samp({c}) FROM {rows} WHERE part = 'train'), 0), 0), 6) AS {c}"
         for c in columns
     )
-    return f'SELECT "userId", {parts} FROM vectors'
+    return f'SELECT "userId", {parts} FROM {table}'
+
+
+def _majority(fitting: str, scored: str, rows: str) -> str:
+    """Weighted F1 of the more frequent class of some rows, on other rows."""
+    return f"""(SELECT coalesce(f1, 0) FROM (SELECT share * 2 * share / (1 + share) AS f1 FROM
+        (SELECT avg(CASE WHEN churn_users = m.label THEN 1.0::DOUBLE ELSE 0 END) AS share
+         FROM {rows}, (SELECT CASE WHEN avg(churn_users) > 0.5 THEN 1 ELSE 0 END AS label
+                       FROM {rows} WHERE {fitting}) m
+         WHERE {scored})))"""
+
+
+def _majority_mean(rows: str) -> str:
+    folds = [
+        _majority(f"part = 'train' AND fold <> {k}", f"part = 'train' AND fold = {k}", rows)
+        for k in range(3)
+    ]
+    return f"round(({' + '.join(folds)}) / 3, 6)"
 
 
 def _schema_report() -> str:
@@ -262,6 +298,7 @@ SQL = {
         """SELECT count(*) AS n_rows, count(*) FILTER (WHERE "userId" IS NULL) AS "null_userId",
                count(*) FILTER (WHERE "sessionId" IS NULL) AS "null_sessionId",
                count(*) FILTER (WHERE "userId" = '') AS "blank_userId",
+               CAST(0 AS BIGINT) AS n_corrupt,
                count(*) FILTER (WHERE "userId" IS NOT NULL AND "sessionId" IS NOT NULL) AS n_without_nulls,
                (SELECT count(*) FROM clean) AS n_kept,
                count(*) - (SELECT count(*) FROM clean) AS n_removed FROM log""",
@@ -370,4 +407,86 @@ SQL = {
                  GROUP BY k)""",
         "players",
     ),
+    "read_json_corrupt": _sql(
+        f'SELECT {ROW}, status FROM clean WHERE "sessionId" % 7 <> 0', "clean"
+    ),
+    "quality_audit_corrupt": _sql(
+        """SELECT count(*) AS n_rows, count(*) FILTER (WHERE "userId" IS NULL) AS "null_userId",
+               count(*) FILTER (WHERE "sessionId" IS NULL) AS "null_sessionId",
+               count(*) FILTER (WHERE "userId" = '') AS "blank_userId",
+               count(*) FILTER (WHERE "sessionId" % 7 = 0) AS n_corrupt,
+               count(*) FILTER (WHERE "userId" IS NOT NULL AND "sessionId" IS NOT NULL) AS n_without_nulls,
+               (SELECT count(*) FROM clean) AS n_kept,
+               count(*) - (SELECT count(*) FROM clean) AS n_removed FROM log""",
+        "clean",
+    ),
+    "normal_visit_ratio_required": _sql(
+        """SELECT "userId", churn_users, ratio FROM ratios JOIN players USING ("userId", churn_users)
+           WHERE n_normal > 0""",
+        "ratios",
+    ),
+    "churn_by_downgrade": _sql(
+        f"""SELECT CASE WHEN marks > 0 THEN 1 ELSE 0 END AS churn_users, gender, count(gender) AS users
+            FROM players JOIN (SELECT "userId", count(*) FILTER (WHERE page = '{DOWNGRADE_PAGE}') AS marks
+                               FROM clean GROUP BY "userId") USING ("userId")
+            GROUP BY ALL""",
+        "players",
+    ),
+    "actions_in_window": _sql(
+        f"""SELECT churn_users, count(*) AS users, count(*) FILTER (WHERE n > 0) AS acting_users,
+                CAST(sum(n) AS BIGINT) AS actions, round(sum(n) / count(*), 6) AS actions_per_user
+            FROM (SELECT "userId", CASE WHEN count(*) FILTER (WHERE {CANCEL}) > 0 THEN 1 ELSE 0 END AS churn_users,
+                         count(*) FILTER (WHERE page = 'NextSong'
+                                          AND ts > last - {ACTION_DAYS} * 86400000) AS n
+                  FROM (SELECT *, max(ts) OVER (PARTITION BY "userId") AS last FROM clean)
+                  GROUP BY "userId")
+            GROUP BY churn_users""",
+        "clean",
+    ),
+    "box_plays_by_gender": _sql(_box("players", "song_nums", "gender"), "players"),
+    "area_index_events": _sql(
+        'SELECT "userId", area, area_feature FROM vectors_events', "vectors_events"
+    ),
+    "scaled_features_events": _sql(_scaled("vectors_events", "event_vectors"), "event_vectors"),
+    "onehot_features": _sql(
+        """SELECT "userId", CAST(slot AS INTEGER) AS slot, CAST(value AS DOUBLE) AS value FROM (
+             SELECT "userId", area_feature AS slot, 1 AS value FROM vectors UNION ALL
+             SELECT "userId", gender_feature + (SELECT count(*) FROM areas) + 1, 1 FROM vectors UNION ALL
+             SELECT "userId", (SELECT count(*) FROM areas) + (SELECT count(*) FROM genders) + 2,
+                    song_nums FROM vectors UNION ALL
+             SELECT "userId", (SELECT count(*) FROM areas) + (SELECT count(*) FROM genders) + 3,
+                    delta_time FROM vectors) WHERE value <> 0""",
+        "vectors",
+    ),
+    "incomplete_features": _sql(
+        """SELECT count(*) AS n_rows,
+               count(*) FILTER (WHERE song_nums IS NULL OR delta_time IS NULL) AS n_incomplete,
+               count(*) FILTER (WHERE song_nums IS NULL) AS null_song_nums,
+               count(*) FILTER (WHERE delta_time IS NULL) AS null_delta_time FROM players""",
+        "players",
+    ),
+    "baseline_leaderboard": _sql(
+        f"""SELECT 'majority' AS model, CAST(0 AS INTEGER) AS grid_pos, {_majority_mean("vectors")} AS avg_f1""",
+        "vectors",
+    ),
+    "baseline_best_params": _sql(
+        f"""SELECT 'majority' AS model, CAST(0 AS INTEGER) AS grid_pos, {_majority_mean("vectors")} AS avg_f1""",
+        "vectors",
+    ),
+    "baseline_validation": _sql(
+        f"""SELECT 'majority' AS model,
+                round({_majority("part = 'train'", "part = 'valid'", "vectors")}, 6) AS f1""",
+        "vectors",
+    ),
+    "baseline_test": _sql(
+        f"""SELECT 'majority' AS model,
+                round({_majority("part = 'train'", "part = 'test'", "vectors")}, 6) AS f1""",
+        "vectors",
+    ),
+    "baseline_by_grain": _sql(
+        f"""SELECT 'user' AS grain, {_majority_mean("vectors")} AS avg_f1 UNION ALL
+            SELECT 'event', {_majority_mean("event_vectors")}""",
+        "vectors",
+        "event_vectors",
+    ),
 }

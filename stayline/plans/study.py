@@ -11,6 +11,7 @@ from stayline.operators import (
     best_params,
     box_stats,
     cohort_share,
+    complete_rows,
     drop_invalid,
     feature_table,
     histogram,
@@ -69,10 +70,21 @@ class ModelStudy:
 
 
 def prepare_models(
-    facts: DataFrame, zero_plays: str = "drop", grain: str = "user", encode: str = "index"
+    facts: DataFrame,
+    zero_plays: str = "drop",
+    grain: str = "user",
+    encode: str = "index",
+    missing: str = "error",
 ) -> Prepared:
-    """Feature vectors from facts; the feature table is stored, as every later step reads it."""
-    return prepare(durable(feature_table(facts, zero_plays=zero_plays)), grain, encode)
+    """Feature vectors from facts; the feature table is stored, as every later step reads it.
+
+    ``missing="drop"`` leaves out users without a tenure or plays; otherwise they raise an error.
+    """
+    if missing not in ("error", "drop"):
+        raise ValueError("missing is 'error' or 'drop'")
+    features = feature_table(facts, zero_plays=zero_plays)
+    features = complete_rows(features) if missing == "drop" else features
+    return prepare(durable(features), grain, encode)
 
 
 def model_study(
@@ -80,9 +92,10 @@ def model_study(
     grain: str = "user",
     encode: str = "index",
     models: Sequence[Candidate] | None = None,
+    missing: str = "error",
 ) -> ModelStudy:
     """Tune on train, choose on validation, report on test."""
-    prepared = prepare_models(facts, grain=grain, encode=encode)
+    prepared = prepare_models(facts, grain=grain, encode=encode, missing=missing)
     tuned = tune(prepared, models)
     board = tuned.leaderboard(facts.sparkSession)
     valid = score(tuned.best, prepared.part("valid"), prepared.weight)

@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from stayline.operators.clean import CORRUPT
+
 EVENT_SCHEMA = T.StructType(
     [
         T.StructField("userId", T.StringType()),
@@ -20,45 +22,72 @@ EVENT_SCHEMA = T.StructType(
     ]
 )
 
-CORRUPT = "_corrupt_record"
+
+
+LOG = "log"
 
 
 def read_events(
     spark: SparkSession,
     path: str | list[str],
     fmt: str = "json",
-    schema: T.StructType | None = EVENT_SCHEMA,
+    schema: T.StructType | str | None = LOG,
     mapping: Mapping[str, str] | None = None,
     keep_corrupt: bool = False,
 ) -> DataFrame:
     """Scan a log of user actions.
 
-    A fixed schema spares the pass over all files that inference costs
-    (``schema=None`` infers). Malformed JSON lines become rows of NULLs, which
-    :func:`stayline.operators.drop_invalid` removes; ``keep_corrupt`` adds their
-    text as ``_corrupt_record``. ``mapping`` renames or computes columns, for logs
-    that are laid out differently.
+    A given schema spares the pass over all files that inference costs; ``schema=None`` asks for
+    inference. The default is the schema of an event log. ``mapping`` renames or computes columns,
+    for logs that are laid out differently; the schema then is that of the source, and has to be
+    given for JSON, while parquet files know their own.
+
+    A malformed JSON line becomes a row with NULLs in what couldn't be read: all of it, or just one
+    ill-typed field. ``keep_corrupt`` adds the line as ``_corrupt_record``, by which
+    :func:`stayline.operators.quality_audit` counts such rows and
+    :func:`stayline.operators.drop_invalid` can remove them.
     """
     reader = spark.read
-    if schema is not None and mapping is None:
-        if fmt == "json" and keep_corrupt:
-            schema = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-        reader = reader.schema(schema)
-    if fmt == "json":
-        reader = reader.option("mode", "PERMISSIVE")
-        if keep_corrupt:
-            reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
-    log = reader.format(fmt).load(path)
-    return map_columns(log, mapping) if mapping else log
-
-
-def map_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
+    if isinstance(schema, str) and schema == LOG:
+        if mapping and fmt == "json":
+            raise ValueError("a mapped JSON log needs the schema of its source, or schema=None")
+        schema = None if mapping else EVENT_SCHEMA
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    if fmt == "json" and keep_corrupt and schema is not None:
+        log = _with_corrupt_lines(reader.text(path), schema)
+    else:
+        reader = reader if schema is None else reader.schema(schema)
+        if fmt == "json":
+            reader = reader.option("mode", "PERMISSIVE")
+            if keep_corrupt:
+                reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
+        log = reader.format(fmt).load(path)
+    if not mapping:
+        return log
+    kept = [CORRUPT] if keep_corrupt and CORRUPT in log.columns else []
+    return map_columns(log, mapping, kept)
+
+
+def _with_corrupt_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Lines parsed whole: a JSON scan would skip columns that a query doesn't need, and with them
+    what is wrong in them."""
+    whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    filled = lines.where(F.trim("value") != "")
+    return filled.select(F.from_json("value", whole, options).alias("row")).select("row.*")
+
+
+def map_columns(
+    df: DataFrame, mapping: Mapping[str, str], kept: Sequence[str] = ()
+) -> DataFrame:
     """Lay ``df`` out as an event log: log column -> SQL expression over ``df``."""
     types = {f.name: f.dataType for f in EVENT_SCHEMA}
     unknown = set(mapping) - set(types)
     if unknown:
         raise ValueError(f"not event log columns: {sorted(unknown)}")
-    return df.select(*[F.expr(e).cast(types[name]).alias(name) for name, e in mapping.items()])
+    mapped = [F.expr(e).cast(types[name]).alias(name) for name, e in mapping.items()]
+    return df.select(*mapped, *kept)
 
 
 def require_columns(df: DataFrame, needed: Sequence[str] | T.StructType) -> DataFrame:

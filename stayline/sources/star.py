@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stayline.operators.skew import heavy_keys, is_small, join_lookup
+from stayline.operators.skew import BROADCAST_BYTES, is_small, join_lookup
 from stayline.sources.events import EVENT_SCHEMA, map_columns
 
 # How each log column is derived from the tables.
@@ -42,22 +42,23 @@ SCHEMAS = {
 }
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One of the tables, with the columns a log is made of."""
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per customer: name, nation and first signup."""
     signups = (
-        _table(spark, sf_dir, "events")
+        table(spark, sf_dir, "events")
         .where(F.col("event_type") == "signup")
         .groupBy("user_id")
         .agg(F.min("ts").alias("first_signup"))
     )
-    customers = _table(spark, sf_dir, "customer").select(
+    customers = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("user_id"), "c_name", F.col("c_nationkey").alias("n_nationkey")
     )
-    nations = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (
         customers.join(nations, "n_nationkey", "left")
         .join(signups, "user_id", "left")
@@ -66,21 +67,23 @@ def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_log(
-    spark: SparkSession, sf_dir: str, columns: Sequence[str] | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    columns: Sequence[str] | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """The event log, or some of its columns.
 
     Only ``registration`` and ``location`` need other tables; without them the log
-    is a plain scan of ``events``.
+    is a plain scan of ``events``. With them it is a scan and one join: users are broadcast if
+    the customers take no more than ``broadcast_bytes``.
     """
     names = EVENT_SCHEMA.fieldNames() if columns is None else list(columns)
-    source = _table(spark, sf_dir, "events")
+    source = table(spark, sf_dir, "events")
     if set(names) & set(USER_COLUMNS):
         users = _users(spark, sf_dir)
-        if is_small(_table(spark, sf_dir, "customer").select("c_custkey")):
-            source = source.join(F.broadcast(users), "user_id", "left")
-        else:
-            source = join_lookup(source, users, "user_id", heavy_keys(source, "user_id"), "left")
+        small = is_small(table(spark, sf_dir, "customer"), broadcast_bytes)
+        source = join_lookup(source, users, "user_id", "left", small)
     return map_columns(source, {c: EVENT_COLUMNS[c] for c in names})
 
 

@@ -30,7 +30,7 @@ def test_audit(raw):
         "null_userId": 1,
         "null_sessionId": 1,
         "blank_userId": 3,
-        "n_without_nulls": 22,
+        "n_corrupt": 0, "n_without_nulls": 22,
         "n_kept": 19,
         "n_removed": 5,
     }
@@ -217,7 +217,7 @@ def test_shuffles_are_sized_by_the_input(spark):
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
     try:
         configure(spark, input_bytes=100 * 1024**4)
-        assert spark.conf.get(key) == "100000"
+        assert spark.conf.get(key) == str(100 * 1024**4 // (128 * 1024**2))
         configure(spark, input_bytes=1)
         assert spark.conf.get(key) == "4"
     finally:

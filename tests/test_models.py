@@ -2,14 +2,17 @@
 
 import math
 
+import numpy as np
 import pytest
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
 from stayline import operators as op
 from stayline.operators.models import Candidate, candidates
-from stayline.plans.study import cohort_tables, model_study
-from stayline.session import durable
+from stayline.plans.study import cohort_tables, model_study, prepare_models
+from stayline.session import durable, shared_dir, workspace
 
 
 @pytest.fixture(scope="module")
@@ -45,16 +48,98 @@ def test_fit_sees_train_users_only(users):
     odd = users.withColumn("area", F.when(F.col("userId") == "0", " Nowhere").otherwise(F.col("area")))
     part = op.split_users(odd).where("userId = '0'").first().part
     prepared = op.prepare(odd)
-    labels = prepared.pipeline.stages[0].labelsArray[0]
+    labels = {r.value for r in prepared.features.indexes["area"].collect()}
     assert (" Nowhere" in labels) == (part == "train")
 
 
 def test_unseen_and_missing_values_get_their_own_index(spark, users):
     model = op.fit_features(users)
     row = [("x", None, " Unseen", 1, 2, 0, 1), ("y", "M", " S1", None, 2, 0, 1)]
-    new = model.transform(spark.createDataFrame(row, users.schema)).collect()
-    # the row without a number is left out
-    assert [(r.userId, r.area_feature, r.gender_feature) for r in new] == [("x", 11.0, 2.0)]
+    new = spark.createDataFrame(row, users.schema)
+    found = model.transform(new.where("userId = 'x'")).collect()
+    assert [(r.userId, r.area_feature, r.gender_feature) for r in found] == [("x", 11.0, 2.0)]
+    # a row without a number is never left out unasked
+    with pytest.raises(Exception, match="null"):
+        model.transform(new).collect()
+    assert tuple(op.incomplete_rows(new).first()) == (2, 1, 0, 1)
+    assert [r.userId for r in op.complete_rows(new).collect()] == ["x"]
+
+
+def test_missing_tenure_is_an_error_or_dropped_by_name(users):
+    facts = users.selectExpr(
+        "userId", "gender", "area", "song_nums", "label AS churn_users", "weight AS n_events",
+        "CASE WHEN userId % 40 = 0 THEN NULL ELSE delta_time END AS delta_time",
+    ).where("song_nums > 0")
+    with pytest.raises(Exception, match="null"):
+        prepare_models(facts).table.count()
+    kept = prepare_models(facts, missing="drop").table
+    assert kept.count() == facts.where("delta_time IS NOT NULL").count()
+
+
+def test_index_of_many_labels(spark):
+    """The places of 150,000 labels are those StringIndexer gives them."""
+    rows = spark.range(150_000).select(F.concat(F.lit("a"), F.col("id") % 140_000).alias("area"))
+    labels = StringIndexer(inputCol="area", outputCol="i").fit(rows).labels
+    found = op.label_index(rows, "area").toPandas().sort_values("index")
+    assert found["index"].tolist() == [float(i) for i in range(140_000)]
+    assert found["value"].tolist() == labels
+
+
+@pytest.mark.parametrize("name", ["logistic_regression", "decision_tree"])
+def test_event_grain_is_training_on_repeated_rows(users, name):
+    """Indexes, scales and the model itself, against a pipeline fitted on repeated rows."""
+    uneven = users.withColumn("weight", F.expr("CAST(1 + userId % 5 * (userId % 3) AS BIGINT)"))
+    repeated = uneven.withColumn("copy", F.explode(F.expr("sequence(1, int(weight))")))
+    once = op.fit_features(repeated)
+    weighted = op.fit_features(uneven, weight="weight")
+    for c in ("area", "gender"):
+        a, b = (m.indexes[c].orderBy("index").collect() for m in (once, weighted))
+        assert a == b
+    assert once.scale.getScalingVec().toArray() == pytest.approx(
+        weighted.scale.getScalingVec().toArray()
+    )
+    (plain,) = candidates([name])
+    (counted,) = candidates([name], weight="weight")
+    a = plain.estimator.fit(once.transform(repeated))
+    b = counted.estimator.fit(weighted.transform(uneven))
+    both = [
+        m.transform(once.transform(users)).orderBy("userId").select("prediction").collect()
+        for m in (a, b)
+    ]
+    assert both[0] == both[1]
+
+
+def test_categorical_tree(users):
+    """The tree takes the unscaled vector with one bin for each label and one for unseen ones."""
+    prepared = op.prepare(users)
+    bins = prepared.features.max_bins
+    assert bins == 12
+    (tree,) = candidates(["decision_tree"], tree_input="features1", max_bins=bins)
+    model = tree.estimator.fit(prepared.part("train"))
+    assert model.numFeatures == 4
+    (small,) = candidates(["decision_tree"], tree_input="features1", max_bins=bins - 1)
+    with pytest.raises(Exception, match="maxBins"):
+        small.estimator.fit(prepared.part("train"))
+
+
+def test_logistic_regression_finds_the_optimum(spark, users):
+    """Against Newton steps on the same objective: mean log loss plus an L2 penalty."""
+    prepared = op.prepare(users)
+    train = prepared.part("train").select("features", "label").collect()
+    x = np.array([r.features.toArray() for r in train])
+    y = np.array([float(r.label) for r in train])
+    lr = LogisticRegression(
+        regParam=0.1, elasticNetParam=0.0, maxIter=500, tol=1e-12, standardization=False
+    )
+    model = lr.fit(prepared.part("train"))
+    z = np.column_stack([x, np.ones(len(x))])
+    beta, penalty = np.zeros(5), np.diag([0.1] * 4 + [0.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-z @ beta))
+        gradient = z.T @ (p - y) / len(y) + penalty @ beta
+        hessian = (z * (p * (1 - p))[:, None]).T @ z / len(y) + penalty
+        beta -= np.linalg.solve(hessian, gradient)
+    assert [*model.coefficients, model.intercept] == pytest.approx(beta, abs=1e-4)
 
 
 def test_scaling_is_division_by_deviation(users):
@@ -68,13 +153,11 @@ def test_scaling_is_division_by_deviation(users):
     assert rows.where(F.abs(F.col("song_nums") - F.col("expected")) > 1e-9).count() == 0
 
 
-def test_onehot_and_label_limit(users):
+def test_onehot(users):
     wide = op.fit_features(users, encode="onehot").transform(users).first()
-    assert wide.features.size > 12
-    with pytest.raises(ValueError, match="not categorical"):
-        op.fit_features(users, max_labels=5)
+    assert wide.features.size == 12 + 3 + 2
     with pytest.raises(ValueError):
-        op.feature_pipeline("hash")
+        op.fit_features(users, encode="hash")
 
 
 @pytest.mark.parametrize("weight", [None, "weight"])
@@ -162,6 +245,19 @@ def test_study_end_to_end(spark, log, users):
         assert study.prepared.part(part).join(train, "userId", "left_semi").count() == 0
 
 
+def test_a_study_leaves_nothing_behind(spark, users):
+    from pathlib import Path
+
+    facts = users.selectExpr("*", "label AS churn_users", "weight AS n_events")
+    facts = facts.drop("label", "weight").where("song_nums > 0")
+    folder = Path(shared_dir(spark).removeprefix("file:"))
+    before = set(folder.iterdir())
+    with workspace(spark) as work:
+        assert model_study(facts, models=[op.majority()]).chosen == "majority"
+        assert list(Path(work.removeprefix("file:")).iterdir())
+    assert set(folder.iterdir()) == before
+
+
 def test_cohort_tables(log):
     tables = cohort_tables(log)
     shares = tables["share_by_gender"].where("gender IS NOT NULL").collect()

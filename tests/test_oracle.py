@@ -5,11 +5,13 @@ import os
 import pytest
 
 import __spark_entry__ as entry_point
+from stayline.operators import phases
+from stayline.plans.catalog import QUERIES, Tables
+from stayline.plans.oracle import SQL
 from tests.compare import duck, duck_rows, spark_rows
 from tests.conftest import SF
 
 SF_DIR = os.environ.get("STAYLINE_SF", SF)
-QUERIES, SQL = entry_point.queries(), entry_point.oracle_sql()
 # Model results depend on Spark's optimizers and have no SQL.
 NO_SQL = {
     "lr_predictions",
@@ -31,6 +33,7 @@ def con():
 def test_all_queries_have_sql_or_a_reason():
     assert set(QUERIES) - set(SQL) == NO_SQL
     assert set(SQL) <= set(QUERIES)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(SQL) <= set(entry_point.oracle_sql())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
@@ -38,6 +41,27 @@ def test_same_rows(spark, con, name):
     assert spark_rows(QUERIES[name](spark, SF_DIR)) == duck_rows(con, SQL[name])
 
 
+LARGE = (
+    "event_log", "read_json_roundtrip", "schema_report", "latest_time", "log_with_tenure",
+    "log_with_plays", "log_with_plays_keep", "churned_rows_semi", "retained_rows_anti",
+    "enriched_log", "feature_table_events", "churn_running",
+)
+
+
+@pytest.mark.parametrize("name", LARGE)
+def test_same_rows_without_a_broadcast(spark, con, monkeypatch, name):
+    """Tables too large to be sent take shuffle joins, and few bits make users share them."""
+    monkeypatch.setattr(Tables, "broadcast_bytes", 0)
+    monkeypatch.setattr(phases.churn_phase, "__defaults__", (phases.CHURN_PAGE, 64))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert spark_rows(QUERIES[name](spark, SF_DIR)) == duck_rows(con, SQL[name])
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
 def test_entry(spark):
     result = entry_point.entry(spark)
     assert result.columns == ["gender", "users", "churned", "retained_share", "churn_share"]

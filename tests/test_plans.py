@@ -13,6 +13,8 @@ from tests.conftest import SF
 MODELS = {
     "lr_predictions", "svc_predictions", "tree_predictions", "cv_leaderboard",
     "best_params", "validation_scores", "final_test_score", "grain_scores",
+    "baseline_leaderboard", "baseline_best_params", "baseline_validation", "baseline_test",
+    "baseline_by_grain",
 }
 
 
@@ -77,6 +79,46 @@ def test_distributions_scan_the_log_once(spark, name):
     assert "ReusedExchange" in text
 
 
+def test_nothing_runs_while_tables_are_built(spark, log, parquet_log):
+    jobs = spark.sparkContext.statusTracker()
+    users = op.user_activity(op.drop_invalid(parquet_log))
+    before = len(jobs.getJobIdsForGroup(None))
+    op.box_stats(users, "song_nums", by="latest_date")
+    op.histogram(users, "song_nums", by="latest_date", shared_edges=True)
+    op.attach_facts(parquet_log, users, ["song_nums"])
+    op.churn_phase(parquet_log)
+    assert len(jobs.getJobIdsForGroup(None)) == before
+
+
+def test_users_without_a_marker_pass_no_exchange(parquet_log):
+    text = plan(op.churn_phase(op.drop_invalid(parquet_log)))
+    silent = text[: text.index("Exchange hashpartitioning(userId")]
+    assert "Union" in silent and "FileScan" in silent
+    first = silent[silent.index("Union") :].split("FileScan", 1)[0]
+    assert "Exchange hashpartitioning" not in first and "Sort" not in first
+
+
+def test_log_with_user_columns_scans_the_events_twice(spark, monkeypatch):
+    """Once as the log and once for the signups, however the users are joined."""
+    from stayline.sources import star
+
+    for limit in (0, 1 << 30):
+        text = plan(star.event_log(spark, SF, broadcast_bytes=limit)).split("Initial Plan")[0]
+        assert len(re.findall(r"FileScan parquet \[[^\]]*event_type", text)) == 2
+
+
+def test_shuffles_are_sized_by_the_tables(spark, monkeypatch):
+    from stayline.plans import catalog
+
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    monkeypatch.setattr(catalog, "stored_bytes", lambda df: 10 * 1024**4)
+    try:
+        Tables(spark, SF)
+        assert spark.conf.get(key) == str(10 * 1024**4 // (128 * 1024**2))
+    finally:
+        spark.conf.unset(key)
+
+
 def test_preview_is_a_top_k(parquet_log):
     from stayline.sources import preview
 

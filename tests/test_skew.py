@@ -3,10 +3,10 @@
 from collections import Counter
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from stayline import operators as op
-from stayline.operators.skew import heavy_keys, join_lookup
+from stayline.operators.skew import is_small, join_lookup
 
 
 @pytest.fixture(scope="module")
@@ -40,51 +40,63 @@ def bag(df):
     return Counter(tuple(r) for r in df.select(*sorted(df.columns)).collect())
 
 
-def test_heavy_keys_are_found_and_few(skewed):
-    assert [r[0] for r in heavy_keys(skewed, "userId", min_rows=500).collect()] == ["1"]
-    assert heavy_keys(skewed, "userId", min_rows=5_000).count() == 0
-    # the number of keys bounds them even where the row limit does not
-    assert heavy_keys(skewed, "userId", min_rows=1, max_keys=20).count() < 20
-    facts = op.user_activity(skewed)
-    assert [r[0] for r in op.heavy_users(facts, min_rows=500).collect()] == ["1"]
-
-
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-@pytest.mark.parametrize("min_rows", [1, 500, 10_000])
-def test_join_is_a_join(spark, skewed, how, min_rows):
+@pytest.mark.parametrize("small", [False, True])
+def test_join_is_a_join(spark, skewed, how, small):
     rows = skewed.unionByName(
-        spark.createDataFrame([(None, 1, "Home", 5, 200)], skewed.schema)
+        spark.createDataFrame([(None, k % 2, "Home", 5, 200) for k in range(9)], skewed.schema)
     )
     lookup = (
         op.user_activity(skewed)
         .where(F.col("userId").cast("int") % 2 == 1)
         .select("userId", "song_nums")
     )
-    heavy = heavy_keys(rows.where("userId IS NOT NULL"), "userId", min_rows)
-    got = join_lookup(rows, lookup, "userId", heavy, how)
+    got = join_lookup(rows, lookup, "userId", how, small)
+    assert got.columns == rows.join(lookup, "userId", how).columns
     assert bag(got) == bag(rows.join(lookup, "userId", how))
 
 
-@pytest.mark.parametrize("min_rows", [1, 100, 500])
-def test_running_churn_of_heavy_users(spark, skewed, min_rows):
+def test_rows_without_a_key_are_spread(spark):
+    rows = spark.range(2000).selectExpr("CAST(NULL AS STRING) AS userId", "id")
+    lookup = spark.createDataFrame([("1", 5)], "userId string, n int").hint("shuffle_merge")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = join_lookup(rows, lookup.hint("merge"), "userId", "left")
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(sizes) > 1
+
+
+def test_size_is_in_bytes(spark):
+    texts = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("text"))
+    assert is_small(texts, 200_000) and not is_small(texts, 90_000)
+    assert is_small(texts.limit(0), 0)
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 25])
+def test_running_churn(spark, skewed, bits):
+    """Few bits make users share one; users without an id, and events without a time, count too."""
     log = skewed.where("userId <> '2' OR page <> 'Cancellation Confirmation'")
-    timeless = [("1", 1, page, None, 200) for page in ("Home", "Cancellation Confirmation")]
-    log = log.unionByName(spark.createDataFrame(timeless, skewed.schema))
-    plain = op.churn_phase(log)
-    assert bag(op.churn_phase(log, min_rows=min_rows)) == bag(plain)
+    pages = ("Home", "Cancellation Confirmation")
+    odd = [(user, 1, page, ts, 200) for user in ("1", None) for page in pages for ts in (None, 7)]
+    log = log.unionByName(spark.createDataFrame(odd, skewed.schema))
+    latest_first = Window.partitionBy("userId").orderBy(F.desc("ts"))
+    plain = op.mark_churn(log).withColumn(
+        "churn_running",
+        F.sum("churn").over(latest_first.rangeBetween(Window.unboundedPreceding, Window.currentRow)),
+    )
+    assert bag(op.churn_phase(log, filter_bits=bits)) == bag(plain)
     assert plain.agg(F.max("churn_running")).first()[0] > 5
 
 
-def test_small_facts_are_broadcast_and_large_ones_are_not(skewed):
-    users = op.user_activity(skewed).persist()
-    heavy = op.heavy_users(users, min_rows=500)
+def test_facts_joined_small_or_not(skewed):
+    users = op.user_activity(skewed)
     results = []
-    for rows in (100_000, 10):
-        joined = op.attach_facts(
-            skewed, users, ["song_nums"], heavy=heavy, broadcast_rows=rows
-        )
-        unions = joined._jdf.queryExecution().executedPlan().toString().count("Union")
-        assert (unions > 0) == (rows == 10)
+    for small in (True, False):
+        joined = op.attach_facts(skewed, users, ["song_nums"], small=small)
+        text = joined._jdf.queryExecution().executedPlan().toString()
+        assert not small or "BroadcastHashJoin" in text
         results.append(bag(joined))
     assert results[0] == results[1]
 
@@ -92,16 +104,3 @@ def test_small_facts_are_broadcast_and_large_ones_are_not(skewed):
 def test_facts_do_not_depend_on_partitioning(log, facts):
     for n in (1, 7):
         assert bag(op.user_facts(log.repartition(n))) == bag(facts)
-
-
-def test_empty_heavy_branch_is_not_scanned(spark, skewed, tmp_path):
-    path = str(tmp_path / "log")
-    skewed.write.parquet(path)
-    log = spark.read.parquet(path)
-    users = op.user_activity(skewed).persist()
-    joined = op.attach_facts(
-        log, users, ["song_nums"], heavy=op.heavy_users(users), broadcast_rows=0
-    )
-    joined.collect()
-    final = joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
-    assert final.count("FileScan") == 1

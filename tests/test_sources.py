@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from stayline import operators as op
 from stayline.session import durable, shared_dir
 from stayline.sources import (
     EVENT_SCHEMA,
@@ -30,15 +31,35 @@ def test_inferred_schema_reads_the_same_values(spark, raw, tmp_path):
     assert same(inferred.select(*EVENT_SCHEMA.fieldNames()), raw)
 
 
-def test_malformed_lines_become_nulls(spark, tmp_path):
+def test_malformed_lines(spark, tmp_path):
+    """A line cut off is lost, one with an ill-typed field keeps the rest; both are counted."""
     file = tmp_path / "log.json"
-    file.write_text('{"userId": "1", "sessionId": 2, "page": "Home", "ts": 3}\n{"userId": \n')
+    whole = '{"userId": "1", "sessionId": 2, "page": "Home", "ts": 3}'
+    file.write_text(f'{whole}\n{{"userId": \n{whole.replace("3", chr(34) + "abc" + chr(34))}\n')
     log = read_events(spark, str(file))
-    assert log.count() == 2 and log.where("userId IS NULL").count() == 1
+    assert log.count() == 3 and log.where("userId IS NULL").count() == 1
     kept = read_events(spark, str(file), keep_corrupt=True)
-    assert [r[0] for r in kept.where("userId IS NULL").select("_corrupt_record").collect()] == [
-        '{"userId": '
-    ]
+    assert kept.where("_corrupt_record IS NOT NULL").count() == 2
+    audit = op.quality_audit(kept).first()
+    assert (audit.n_rows, audit.n_corrupt, audit.n_kept) == (3, 2, 2)
+    assert op.drop_invalid(kept).count() == 2
+    assert op.drop_invalid(kept, drop_corrupt=True).select("ts").collect() == [(3,)]
+
+
+def test_mapped_json_needs_a_schema_and_keeps_it(spark, raw, tmp_path):
+    path = str(tmp_path / "json")
+    write_table(raw.withColumnRenamed("userId", "uid"), path, "json")
+    mapping = {c: c for c in EVENT_SCHEMA.fieldNames()} | {"userId": "uid"}
+    with pytest.raises(ValueError, match="schema"):
+        read_events(spark, path, mapping=mapping)
+    names = [f.simpleString() for f in EVENT_SCHEMA if f.name != "userId"]
+    schema = "uid string, absent string, " + ", ".join(n.replace(":", " ") for n in names)
+    jobs = spark.sparkContext.statusTracker()
+    before = len(jobs.getJobIdsForGroup(None))
+    mapped = read_events(spark, path, schema=schema, mapping=mapping | {"page": "coalesce(absent, page)"})
+    assert len(jobs.getJobIdsForGroup(None)) == before  # nothing was inferred
+    assert same(mapped, raw)
+    assert same(read_events(spark, path, schema=None, mapping=mapping), raw)
 
 
 def test_parquet_round_trip_and_mapping(spark, raw, tmp_path):
