@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stayline.llm import bytepairs, contamination, nbsvm, oddsketch, passages
 from stayline.llm.queries import RANKS
-from stayline.session import configure, durable
+from stayline.session import configure, durable, stored_bytes
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -77,7 +77,8 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = configure(spark).read.parquet(f"{sf_dir}/documents.parquet")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    configure(spark, input_bytes=stored_bytes(docs))
     for _, stage in STAGES:
         docs = durable(stage(spark, docs, sf_dir))
     return docs

@@ -30,8 +30,8 @@ from stayline.llm.words import annotate, mixed, words_of
 from stayline.session import durable
 
 DIMENSION = 1 << 18
-SAMPLE = 10_000
-SAMPLE_GRAMS = 20_000_000
+SAMPLE = 6_000
+SAMPLE_GRAMS = 6_000_000
 EPOCHS = 12
 COST = 1.0
 SMOOTH = 1.0
@@ -169,7 +169,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
             return constant_model(float(labels.mean()) if len(labels) else 0.5)
     taught = [r for r, use in zip(rows, learn, strict=True) if use]
     ratio = ratios(taught, labels[learn])
-    values = [ratio[r] / max(np.sqrt(ratio[r] @ ratio[r]), 1e-9) for r in taught]
+    values = [(ratio[r] / max(np.sqrt(ratio[r] @ ratio[r]), 1e-9)).astype(np.float32) for r in taught]
     weights, bias = descend(taught, values, labels[learn], EPOCHS, COST)
     model = Model(weights * ratio, ratio * ratio, bias, 1.0, 0.0)
     rest = [r for r, use in zip(rows, learn, strict=True) if not use]
@@ -214,7 +214,7 @@ def train(documents: DataFrame, labels: DataFrame, use: Column, sample: int = SA
     total = F.sum(F.size("grams")).over(Window.orderBy("order", F.xxhash64("grams")))
     held = taken.select("label", "grams", total.alias("total")).where(F.col("total") <= SAMPLE_GRAMS)
     got = held.orderBy("total").select("label", "grams").toArrow()
-    grams_of = [np.asarray(g.values, np.int64) for c in got["grams"].chunks for g in c]
+    grams_of = [np.asarray(g.values) for c in got["grams"].chunks for g in c]
     return fit(grams_of, got["label"].to_numpy())
 
 

@@ -38,7 +38,8 @@ from stayline.llm.words import Words, mixed, shards_for, text_bytes, window_hash
 
 WINDOW = 35
 GRAM = 8
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 8 << 20  # of text that is looked at together
+PARTITION_BYTES = 128 << 20  # of text in a task: its shards come one after the other
 AUTOMATON_WORDS = 400_000
 
 
@@ -212,14 +213,16 @@ def remove_repeats(
     """
     kept = list(df.columns if keep is None else keep)
     cores = df.sparkSession.sparkContext.defaultParallelism
-    n = max(2 * cores, shards_for(text_bytes(df, column), shard_bytes))
+    n_bytes = text_bytes(df, column)
+    n = max(2 * cores, shards_for(n_bytes, shard_bytes))
+    partitions = max(2 * cores, shards_for(n_bytes, PARTITION_BYTES))
     text = F.col(f"`{column}`")
     by = [F.col("`doc_id`"), text] if "doc_id" in df.columns else [text]
     dealt = df.select(
         F.pmod(F.xxhash64(*by), F.lit(n)).alias("shard"),
         F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"),
         text.alias("text"),
-    ).repartition(n, "shard")  # one exchange, which the three passes share
+    ).repartition(partitions, "shard")  # one exchange, which the three passes share
     sent = "block long, shard long, hashes binary"
 
     def shard_of(table: pa.Table) -> Shard:

@@ -19,7 +19,7 @@ from stayline.llm import (
     replies,
     tokenfile,
 )
-from stayline.session import configure
+from stayline.session import configure, stored_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -36,7 +36,11 @@ def query(build: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return configure(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; shuffles are sized by the largest one that a query reads."""
+    found = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    if name in ("documents", "conversations"):
+        configure(spark, input_bytes=stored_bytes(found))
+    return found
 
 
 @query

@@ -35,7 +35,7 @@ from stayline.session import durable, scratch_path
 
 END_ID = 2
 BLOCK_IDS = 1 << 18
-PART_BYTES = 32 << 20
+PART_BYTES = 128 << 20
 MAX_SENT_PARTS = 500_000  # rows of the table of parts that are broadcast
 CACHED = 1_000_000  # distinct pre-tokens that a Python worker remembers
 
