@@ -16,9 +16,8 @@ In roles ``%`` and line breaks are written as ``%25`` and ``%0A`` besides.
 Everything is DataFrame expressions. A conversation is one value in the end, so it has to fit in
 a row; nothing else gathers by key. Defined results: null texts and roles are empty; messages with
 the same place are ordered by role and text; a message whose parent isn't there is a root;
-messages on a cycle of parents, or below one, have no root and are in no path (``rooted`` tells how
-many levels were needed); a null tree is a tree like any other. An empty table gives no rows;
-other columns are ignored.
+messages on a cycle of parents, or below one, have no root and are in no path; a null tree is a
+tree like any other. An empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -71,7 +70,7 @@ def _steps(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     nodes = messages.select("tree", "id", "parent", "score")
     there = messages.select(F.col("tree").alias("t"), F.col("id").alias("p")).distinct()
     up = nodes.join(there, nodes["tree"].eqNullSafe(there["t"]) & (nodes["parent"] == there["p"]), "left")
-    step = durable(
+    first = durable(
         up.select(
             "tree",
             "id",
@@ -81,14 +80,16 @@ def _steps(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
             "score",
         )
     )
+    # A message that has found its root is done; only the others go on.
+    done, going = first.where("up IS NULL"), first.where("up IS NOT NULL")
     steps, waiting = [], None
     while True:
-        left = step.where(F.col("up").isNotNull()).count()
+        left = going.count()
         if left in (0, waiting):  # what doesn't get fewer hangs on a cycle
-            return steps, step.where(F.col("up").isNull())
+            return steps, done
         waiting = left
-        steps.append(step.select("tree", "id", "up").where(F.col("up").isNotNull()))
-        above = step.select(
+        steps.append(going.select("tree", "id", "up"))
+        above = done.unionByName(going).select(
             F.col("tree").alias("t"),
             F.col("id").alias("i"),
             F.col("up").alias("up2"),
@@ -96,17 +97,19 @@ def _steps(messages: DataFrame) -> tuple[list[DataFrame], DataFrame]:
             F.col("depth").alias("depth2"),
             F.col("score").alias("score2"),
         )
-        on = step["tree"].eqNullSafe(above["t"]) & (step["up"] == above["i"])
-        step = durable(
-            step.join(above, on, "left").select(
+        on = going["tree"].eqNullSafe(above["t"]) & (going["up"] == above["i"])
+        further = durable(
+            going.join(above, on).select(
                 "tree",
                 "id",
                 F.col("up2").alias("up"),
-                F.coalesce("root2", "root").alias("root"),
-                (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"),
-                (F.col("score") + F.coalesce("score2", F.lit(0.0))).alias("score"),
+                F.col("root2").alias("root"),
+                (F.col("depth") + F.col("depth2")).alias("depth"),
+                (F.col("score") + F.col("score2")).alias("score"),
             )
         )
+        done = done.unionByName(further.where("up IS NULL"))
+        going = further.where("up IS NOT NULL")
 
 
 def best_branches(messages: DataFrame, best: int | None = 1) -> DataFrame:
@@ -131,13 +134,14 @@ def best_branches(messages: DataFrame, best: int | None = 1) -> DataFrame:
     if best is not None:
         leaves = leaves.where(F.col("rank") <= best)
     path = leaves.select("tree", F.col("id").alias("leaf"), "rank", F.col("id").alias("node"), "depth")
+    path = durable(path)
     for k, step in enumerate(steps):
         higher = step.select(F.col("tree").alias("t"), F.col("id").alias("i"), "up")
         on = path["tree"].eqNullSafe(higher["t"]) & (path["node"] == higher["i"])
         more = path.join(higher, on).select(
             "tree", "leaf", "rank", F.col("up").alias("node"), (F.col("depth") - 2**k).alias("depth")
         )
-        path = durable(path.unionByName(more))
+        path = path.unionByName(durable(more))
     said = messages.select(F.col("tree").alias("t"), F.col("id").alias("i"), "role", "text")
     on = path["tree"].eqNullSafe(said["t"]) & (path["node"] == said["i"])
     return path.join(said, on).select("tree", "leaf", "rank", "depth", "role", "text")
