@@ -34,7 +34,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
-from stayline.llm.words import Words, mixed, shards_for, text_bytes, window_hashes, words_of
+from stayline.llm.words import (
+    Words,
+    mixed,
+    shards_for,
+    ship_package,
+    text_bytes,
+    window_hashes,
+    words_of,
+)
 
 WINDOW = 35
 GRAM = 8
@@ -211,6 +219,7 @@ def remove_repeats(
 
     ``keep`` names the columns to go on with, all of them if not given.
     """
+    ship_package(df.sparkSession)
     kept = list(df.columns if keep is None else keep)
     cores = df.sparkSession.sparkContext.defaultParallelism
     n_bytes = text_bytes(df, column)

@@ -30,7 +30,7 @@ from tokenizers import Tokenizer
 
 from stayline.llm.bytepairs import gather
 from stayline.llm.pretokens import pretokens_of
-from stayline.llm.words import annotate, shards_for
+from stayline.llm.words import annotate, shards_for, ship_package
 from stayline.session import durable, scratch_path
 
 END_ID = 2
@@ -282,6 +282,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
     ``ids`` are little-endian unsigned 32-bit integers, the end id included.
     """
+    ship_package(spark)
     blocks = spark.read.parquet(f"{path}/blocks")
     order = spark.read.parquet(f"{path}/ranks").orderBy("rank").toPandas()["id"]
     shared = spark.sparkContext.broadcast(order.to_numpy(np.uint32))

@@ -7,14 +7,17 @@ never occur inside a multi-byte character.
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 BATCH_BYTES = 4 << 20
@@ -142,6 +145,26 @@ def pieces(batch: pa.RecordBatch, column: str, size: int = BATCH_BYTES) -> Itera
             yield batch.slice(a, b - a)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each application.
+
+    They need not have it on their path then; Spark serves the archive from the driver.
+    """
+    context = spark.sparkContext
+    root = Path(__file__).resolve().parents[1]
+    if context.applicationId in _SHIPPED or not root.is_dir():
+        return
+    archive = Path(tempfile.mkdtemp(prefix="stayline-")) / f"{root.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    _SHIPPED.add(context.applicationId)
+
+
 def map_texts(
     df: DataFrame,
     schema: str,
@@ -149,6 +172,7 @@ def map_texts(
     column: str = "text",
 ) -> DataFrame:
     """``f`` over slices of ``df`` of bounded size; no row leaves its partition."""
+    ship_package(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,6 +198,7 @@ def annotate(
     same name, the new one stays. Rows are packed into one column meanwhile, so no name of
     ``df`` matters.
     """
+    ship_package(df.sparkSession)
     kept = list(df.columns if keep is None else keep)
     row = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row")
     carried = column in kept
