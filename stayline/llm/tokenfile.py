@@ -37,7 +37,7 @@ END_ID = 2
 BLOCK_IDS = 1 << 18
 PART_BYTES = 128 << 20
 MAX_SENT_PARTS = 500_000  # rows of the table of parts that are broadcast
-CACHED = 1_000_000  # distinct pre-tokens that a Python worker remembers
+CACHED = 800_000  # distinct pre-tokens that a Python worker remembers
 
 
 class LibraryTokenizer:
