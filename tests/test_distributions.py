@@ -88,3 +88,23 @@ def test_missing_values_are_left_out(spark):
     ]
     assert "density" not in histogram(df, "v", bins=2, density=False).columns
     assert {r.n for r in box_stats(df, "v").collect()} == {2, 3}
+
+
+def test_nan_and_null_are_left_out(spark):
+    rows = [(0, 1.0), (0, 3.0), (0, float("nan")), (0, None), (1, float("nan"))]
+    df = spark.createDataFrame(rows, "churn_users int, x double")
+    bins = histogram(df, "x", bins=2).orderBy("bin").collect()
+    assert [(r.churn_users, r.lo, r.hi, r.n) for r in bins] == [(0, 1.0, 2.0, 1), (0, 2.0, 3.0, 1)]
+    (box,) = box_stats(df, "x").collect()
+    assert (box.n, box.q1, box.median, box.q3) == (2, 1.5, 2.0, 2.5)
+
+
+def test_quantiles_do_not_depend_on_the_cuts(spark):
+    """Slices cut once, twice and not at all give the same exact quantiles."""
+    df = spark.range(3000).selectExpr("CAST(id % 2 AS INT) AS churn_users", "id * id % 1009 AS x")
+    counts = value_counts(df, "x", "churn_users")
+    found = [
+        quantiles(counts, "churn_users", levels=n).orderBy("churn_users").collect()
+        for n in range(3)
+    ]
+    assert found[0] == found[1] == found[2]
