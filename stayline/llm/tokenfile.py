@@ -36,8 +36,9 @@ from stayline.session import durable, scratch_path
 END_ID = 2
 BLOCK_IDS = 1 << 18
 PART_BYTES = 128 << 20
+GROUP_BYTES = 8 << 20  # of a row group: readers hold one whole, as its rows are few and long
 MAX_SENT_PARTS = 500_000  # rows of the table of parts that are broadcast
-CACHED = 800_000  # distinct pre-tokens that a Python worker remembers
+CACHED = 400_000  # distinct pre-tokens that a Python worker remembers
 
 
 class LibraryTokenizer:
@@ -270,11 +271,13 @@ def write(df: DataFrame, vocabulary: str, path: str, end_id: int = END_ID) -> No
     ordered = encoded.select("doc_id", tie, "n_tokens", "packed")
     ordered = ordered.repartitionByRange(n_parts, "doc_id", "tie")
     ordered = ordered.sortWithinPartitions("doc_id", "tie").drop("tie")
-    ordered.mapInArrow(
+    made = ordered.mapInArrow(
         blocks,
         f"part long, block long, before long, n_ids long, doc_ids array<{doc_kind}>,"
         " lengths array<long>, control binary, data binary",
-    ).write.option("compression", "zstd").parquet(f"{path}/blocks")
+    )
+    small_groups = {"parquet.block.size": GROUP_BYTES, "parquet.page.size.row.check.min": 1}
+    made.write.options(compression="zstd", **small_groups).parquet(f"{path}/blocks")
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
