@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stayline.llm import (
     bytepairs,
+    centroids,
     contamination,
     divergence,
     gru,
@@ -17,7 +18,9 @@ from stayline.llm import (
     oddsketch,
     passages,
     replies,
+    suffixes,
     tokenfile,
+    variants,
 )
 from stayline.session import configure, stored_bytes
 
@@ -113,3 +116,27 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), ["doc_id"]
     )
     return contamination.summary(found)
+
+
+@query
+def op11_suffix_family(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_seen(table(spark, sf_dir, "documents"), ["doc_id"]).select(
+        "doc_id",
+        "n_bytes",
+        "n_removed",
+        "n_spans",
+        F.sha2("kept_bytes", 256).alias("kept_sha256"),
+    )
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_centroid_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"), ["vec_id"])
+
+
+SQL["op13_centroid_threshold"] = centroids.oracle()
