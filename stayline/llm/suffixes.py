@@ -43,7 +43,7 @@ from stayline.llm.words import mixed, shards_for, ship_package, text_buffer, tex
 LENGTH = 50
 GRAM = 16
 SHARD_BYTES = 8 << 20  # of text that is looked at together
-PARTITION_BYTES = 64 << 20  # of text in a task: its shards come one after the other
+PARTITION_BYTES = 32 << 20  # of text in a task: its shards come one after the other
 PART_BYTES = 4 << 20  # of text for each part of the index
 BATCH = 1 << 16  # strings in a batch, at least
 CHUNK = 1 << 17  # bytes whose grams are hashed at once
@@ -265,15 +265,23 @@ def mark(table: pa.Table, length: int, batch: int = BATCH) -> pa.Table:
     docs = np.concatenate([np.frombuffer(b.as_buffer(), np.int64) for b in _whole(table["docs"])])
     size = strings + length - 1
     at = np.cumsum(size) - size
-    order = np.argsort(docs, kind="stable")
     begin = np.cumsum(strings) - strings
+    # Each different context goes into the family once, with its least doc_id.
+    order = np.argsort(docs, kind="stable")
+    joined, seen = data.tobytes(), {}
+    bounds = zip(order.tolist(), at[order].tolist(), (at + size)[order].tolist(), strict=True)
+    first = np.empty(len(docs), np.int64)
+    first[order] = [seen.setdefault(joined[a:b], i) for i, a, b in bounds]
+    order = order[first[order] == order]
     cuts = np.flatnonzero(np.diff(np.cumsum(strings[order]) // batch)) + 1
     windows = np.lib.stride_tricks.sliding_window_view(data, length)
-    found, family = np.zeros(int(strings.sum()), bool), Family()
+    marked, family = np.zeros(int(strings.sum()), bool), Family()
     for own in np.split(order, cuts):
         n = strings[own]
         suffixes = windows[_ranges(at[own], n)].view(f"S{length}").ravel()
-        found[_ranges(begin[own], n)] = family.add(suffixes, np.repeat(docs[own], n))
+        marked[_ranges(begin[own], n)] = family.add(suffixes, np.repeat(docs[own], n))
+    found = marked[_ranges(begin[first], strings)]
+    found |= np.repeat(docs > docs[first], strings)  # what the smaller doc_id has as it is
     ends = np.cumsum([int(c.sum()) for c in counts])[:-1]
     marks = [np.packbits(bits).tobytes() for bits in np.split(found, ends)]
     return pa.table(
