@@ -14,8 +14,9 @@ for. Words whose least overlap is 3 or more meet on three grams; two words with
 as well, at most 1 on one, and 0 on the word less one letter, which needs no common gram.
 
 The words of a list are compared if their lengths and the places of a common gram differ by at
-most one, and all candidates are verified letter by letter. A list longer than ``BLOCK`` is compared
-in blocks, each two of which are a row of their own.
+most one, and all candidates are verified letter by letter. No list is longer than the places of its
+rarest gram; where those are more than ``BLOCK``, the list is cut into blocks that each two meet in
+a list of their own, so no task holds more.
 
 What goes through the driver is the dictionary with its frequencies: letters have 90 values, so it
 has at most 90^2 + 90^3 grams, whatever the corpus.
@@ -50,7 +51,7 @@ FORM_RATIO = 10
 SHORT, LONG = 2, 3
 SHARE = 0.0003
 SHARED = 3  # grams that a list is merged on, at most
-BLOCK = 2048
+BLOCK = 1 << 14
 WIDE = 48  # letters that are compared as a matrix; longer words one by one
 ROWS = 1 << 16  # of lists that are looked at together
 
@@ -170,8 +171,9 @@ class Grams:
                 name = "|".join([f"{g}{k}" for _, g, k, _ in group])
                 yield name, group[0][3], group[0][0]
         if least <= 0:
+            # At most a word for each letter and place meets on a variant.
             for variant in {word, *(word[:k] + word[k + 1 :] for k in range(len(word)))}:
-                yield f"={variant}", -1, BLOCK + 1
+                yield f"={variant}", -1, 1
 
 
 def dictionary(words: DataFrame, share: float = SHARE) -> Grams:
@@ -192,64 +194,53 @@ def dictionary(words: DataFrame, share: float = SHARE) -> Grams:
     return Grams(kept)
 
 
-LISTED = "key long, length int, place int, many boolean, word string"
+LISTED = "key long, side byte, length int, place int, word string"
 
 
 def listed(words: DataFrame, grams: Grams) -> DataFrame:
-    """A row for each list that a word is in."""
+    """A row for each list, or two blocks of a list, that a word is in.
+
+    ``side`` is -1 where all words of the list are compared, otherwise 0 or 1 for the block.
+    """
     shared = words.sparkSession.sparkContext.broadcast(grams)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = xxhash.xxh3_64_intdigest
         for batch in batches:
-            keys, lengths, places, many, out = [], [], [], [], []
+            keys, sides, lengths, places, out = [], [], [], [], []
+
+            def put(name: str, side: int, word: str, place: int) -> None:
+                keys.append(of(name))
+                sides.append(side)
+                lengths.append(len(word))
+                places.append(place)
+                out.append(word)
+
             for word in batch.column("word").to_pylist():
                 for name, place, most in shared.value.keys(word):
-                    keys.append(of(name))
-                    lengths.append(len(word))
-                    places.append(place)
-                    many.append(most > BLOCK)
-                    out.append(word)
+                    n = -(-most // BLOCK)
+                    if n <= 1:
+                        put(name, -1, word, place)
+                        continue
+                    own = of(word) % n
+                    for other in range(n):
+                        i, j = min(own, other), max(own, other)
+                        put(f"{name}:{i}:{j}", -1 if i == j else int(own == j), word, place)
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.array(keys, np.uint64).view(np.int64)),
+                    pa.array(sides, pa.int8()),
                     pa.array(lengths, pa.int32()),
                     pa.array(places, pa.int32()),
-                    pa.array(many, pa.bool_()),
                     pa.array(out, pa.string()),
                 ],
-                ["key", "length", "place", "many", "word"],
+                ["key", "side", "length", "place", "word"],
             )
 
     ship_package(words.sparkSession)
     return words.select("word").mapInArrow(rows, LISTED)
 
 
-def in_blocks(rows: DataFrame) -> DataFrame:
-    """``rows`` with the two blocks (``i``, ``j``) they are compared in, and their own ``block``.
-
-    Only lists of frequent grams can be longer than a block, so only those are counted.
-    """
-    one = F.lit(0).cast("long")
-    few = rows.where(~F.col("many")).select(
-        "key", one.alias("i"), one.alias("j"), one.alias("block"), "length", "place", "word"
-    )
-    some = rows.where("many")
-    n = some.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("n"))
-    dealt = some.join(n, "key").withColumn("block", F.pmod(F.xxhash64("word"), "n"))
-    other = F.explode(F.sequence(one, F.col("n") - 1))
-    dealt = dealt.withColumn("other", other).select(
-        "key",
-        F.least("block", "other").alias("i"),
-        F.greatest("block", "other").alias("j"),
-        "block",
-        "length",
-        "place",
-        "word",
-    )
-    return few.union(dealt)
-
-
 def one_edit(a: str, b: str) -> bool:
     """Whether one inserted, deleted or replaced letter makes ``b`` of ``a``."""
     if len(a) > len(b):
@@ -276,13 +267,8 @@ def _verified(words: np.ndarray, length: np.ndarray, x: np.ndarray, y: np.ndarra
 def _near(table: pa.Table) -> pa.RecordBatch:
     """Near words of whole lists, whose rows are in order of list and length."""
     text = table["word"].combine_chunks()
-    length, place, block = (table[c].to_numpy() for c in ("length", "place", "block"))
-    names = [table[c].to_numpy() for c in ("key", "i", "j")]
-    other = names[1] != names[2]
-    new = np.zeros(len(length), bool)
-    for c in names:
-        new[1:] |= c[1:] != c[:-1]
-    of_list = np.cumsum(new)
+    key, side, length, place = (table[c].to_numpy() for c in ("key", "side", "length", "place"))
+    of_list = np.cumsum(np.append(False, key[1:] != key[:-1]))
     letters = [w.encode("latin-1") for w in text.to_pylist()]
     words = np.array([w[:WIDE] for w in letters], f"S{WIDE + 1}")
     left, right = [], []
@@ -294,7 +280,7 @@ def _near(table: pa.Table) -> pa.RecordBatch:
         x = x[(of_list[x] == of_list[y]) & (length[y] - length[x] <= 1)]
         y = x + step
         fit = (place[x] < 0) | (place[y] < 0) | (np.abs(place[x] - place[y]) <= 1)
-        fit &= ~other[x] | (block[x] != block[y])
+        fit &= (side[x] < 0) | (side[x] != side[y])
         for k in range(0, len(x), ROWS):
             p, q = x[k : k + ROWS][fit[k : k + ROWS]], y[k : k + ROWS][fit[k : k + ROWS]]
             good = _verified(words, length, p, q)
@@ -309,9 +295,7 @@ def _near(table: pa.Table) -> pa.RecordBatch:
 
 def near_words(words: DataFrame, grams: Grams) -> DataFrame:
     """``word`` and ``near``, both ways, of all words one edit apart."""
-    rows = in_blocks(listed(words, grams))
-    names = ["key", "i", "j"]
-    ordered = rows.repartition(*names).sortWithinPartitions(*names, "length")
+    ordered = listed(words, grams).repartition("key").sortWithinPartitions("key", "length")
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -320,11 +304,8 @@ def near_words(words: DataFrame, grams: Grams) -> DataFrame:
             if sum(map(len, held)) < ROWS:
                 continue
             table = pa.Table.from_batches(held)
-            last = np.ones(len(table), bool)
-            for c in names:
-                column = table[c].to_numpy()
-                last &= column == column[-1]
-            cut = int(np.argmax(last))  # the last list may go on
+            key = table["key"].to_numpy()
+            cut = int(np.argmax(key == key[-1]))  # the last list may go on
             if cut:
                 yield _near(table.slice(0, cut))
             held = table.slice(cut).combine_chunks().to_batches()
