@@ -2,7 +2,7 @@
 
 A document is the set of its distinct five-word shingles. Documents with the same set form a
 class, and one of each class goes on. MinHash samples, four to a band, put classes into buckets;
-sets with a Jaccard similarity of 0.85 share none of 24 bands with probability 2e-8. Buckets
+sets with a similarity of 0.8 share none of 24 bands with probability 3e-6, of 0.85 with 2e-8. Buckets
 with the same members are one.
 
 In a bucket the pairs are not written out, and each pair is looked at in one of the buckets it
@@ -42,6 +42,8 @@ SAMPLES, BITS = 1024, 2048
 MARGIN = 0.06
 BLOCK = 2048
 NEAREST = 3
+FOLDED = 256  # rows of samples folded at once: 4 MB of counts
+LEAST_PERCENT = 80  # what the bands are made for
 ROUNDS = 16, 64  # pairs of two components in the first later round, and growth from there
 
 _SEEDS = np.random.default_rng(20240229).integers(0, 1 << 32, (SAMPLES, 2), dtype=np.uint32)
@@ -91,13 +93,17 @@ def band_keys(samples: np.ndarray) -> np.ndarray:
 
 
 def odd_sketches(samples: np.ndarray) -> np.ndarray:
-    """A row of ``BITS`` parities for each row of samples, as bytes."""
+    """A row of ``BITS`` parities for each row of samples, as bytes; ``FOLDED`` rows at a time."""
     n, k = samples.shape
     salt = np.arange(1, k + 1, dtype=np.uint64) << np.uint64(32)
-    place = (mixed(samples.astype(np.uint64) | salt) % np.uint64(BITS)).astype(np.int64)
-    key = place + BITS * np.arange(n)[:, None]
-    odd = np.bincount(key.ravel(), minlength=n * BITS).reshape(n, BITS) & 1
-    return np.packbits(odd.astype(bool), axis=1)
+    out = np.empty((n, BITS // 8), np.uint8)
+    for a in range(0, n, FOLDED):
+        place = mixed(samples[a : a + FOLDED].astype(np.uint64) | salt) % np.uint64(BITS)
+        m = len(place)
+        key = place.astype(np.int64) + BITS * np.arange(m)[:, None]
+        odd = np.bincount(key.ravel(), minlength=m * BITS).reshape(m, BITS) & 1
+        out[a : a + m] = np.packbits(odd.astype(bool), axis=1)
+    return out
 
 
 def estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -250,17 +256,26 @@ def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(
-    df: DataFrame, keep: list[str] | None = None, percent: int = 85
+    df: DataFrame,
+    keep: list[str] | None = None,
+    percent: int = LEAST_PERCENT,
+    column: str = "text",
 ) -> DataFrame:
     """``df`` with ``n_shingles``, ``component_id`` and ``kept``.
 
-    ``keep`` names the columns to go on with, all of them if not given.
+    ``keep`` names the columns to go on with, all of them if not given. Sets with ``percent`` of
+    their union in common are linked. ``column`` may be a field of a kept struct.
     """
+    if percent < LEAST_PERCENT:
+        raise ValueError(f"{BANDS} bands of {ROWS} samples are made for {LEAST_PERCENT} % or more")
     kept = list(dict.fromkeys([*(df.columns if keep is None else keep), "doc_id"]))
     inner = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row")
     fields = "n_shingles long, digest binary, bands array<long>"
-    rows = df.select(inner, F.col("text"))
-    rows = durable(annotate(rows, fields, _classes, ["row"]))
+    if column.split(".")[0] in kept:  # then the text is sent once, within its row
+        rows, at = df.select(inner), f"row.{column}"
+    else:
+        rows, at = df.select(inner, F.col(column).alias("text")), "text"
+    rows = durable(annotate(rows, fields, _classes, ["row"], at))
     classes = (
         rows.where("digest is not null")
         .groupBy("digest")

@@ -7,6 +7,7 @@ never occur inside a multi-byte character.
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator, Sequence
@@ -21,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 BATCH_BYTES = 4 << 20
+BATCH_ROWS = 2048
 
 #: Separators of ``[^\x20\x09-\x0D]+``.
 BLANKS = np.zeros(256, bool)
@@ -134,17 +136,30 @@ def window_hashes(hashes: np.ndarray, width: int, factor: int = 0x9E3779B97F4A7C
 
 
 def pieces(batch: pa.RecordBatch, column: str, size: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with about ``size`` bytes of text, or one document if it is longer."""
+    """Slices of a batch with about ``size`` bytes of text, or one document if it is longer.
+
+    None has more than ``BATCH_ROWS`` rows, so what takes memory for each row is bounded, too.
+    """
     lengths = np.asarray(
         pc.fill_null(pc.binary_length(batch.column(column)), 0), np.int64
     )
     part = (np.cumsum(lengths) - lengths) // size
-    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(lengths)]
+    steps = np.flatnonzero(np.diff(part)) + 1
+    cuts = np.unique([0, *steps.tolist(), *range(0, len(lengths), BATCH_ROWS), len(lengths)])
+    cuts = cuts.tolist()
     for a, b in zip(cuts[:-1], cuts[1:], strict=True):
         if b > a:
             yield batch.slice(a, b - a)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker goes on to other stages, and keeps its heap."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim is not None:
+        trim(0)
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -180,6 +195,7 @@ def map_texts(
                 out = f(piece)
                 if out is not None:
                     yield out
+        give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -196,12 +212,13 @@ def annotate(
 
     ``keep`` names the columns to go on with, all of them if not given; of columns with the
     same name, the new one stays. Rows are packed into one column meanwhile, so no name of
-    ``df`` matters.
+    ``df`` matters. ``column`` may also be a field of a kept struct (``row.text``).
     """
     ship_package(df.sparkSession)
     kept = list(df.columns if keep is None else keep)
     row = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row")
-    carried = column in kept
+    path = [column] if column in df.columns else column.split(".")
+    carried = path[0] in kept  # then the text is sent once, within its row
     packed = df.select(row) if carried else df.select(row, F.col(f"`{column}`").alias("text"))
     new = StructType.fromDDL(fields)
     schema = StructType([packed.schema["row"], *new.fields])
@@ -209,11 +226,12 @@ def annotate(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.column("row")
-            texts = pc.struct_field(rows, column) if carried else batch.column("text")
+            texts = pc.struct_field(rows, path) if carried else batch.column("text")
             both = pa.RecordBatch.from_arrays([rows, texts], ["row", "text"])
             for piece in pieces(both, "text", size):
                 made = f(piece.column("text"))
                 yield pa.RecordBatch.from_arrays([piece.column("row"), *made], schema.names)
+        give_back()
 
     out = packed.mapInArrow(run, schema)
     names = new.names
