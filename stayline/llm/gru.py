@@ -9,8 +9,9 @@ probabilities on labelled texts that the network didn't learn from.
 
 Ratios are counted by text on the labelled sample. Where the network is trained (numpy, Adam) each
 text is left out of the ratios it sees, as it will be with new texts. A toxic text teaches by its
-worst window. The sample is at most ``SAMPLE`` rows of each class and ``SAMPLE_BYTES`` of text, taken in
-the order of a hash of the doc_id; all texts are scored, whole.
+worst window. The sample is at most ``SAMPLE`` rows of each class, taken in the order of a hash of the
+doc_id. A text of more than ``TEXT_WORDS`` words teaches by runs of ``RUN`` words, chosen by hash from
+all of it. All texts are scored, whole.
 
 Defined results: a null or empty text has no window and gets the least margin seen in training;
 without labels of both classes every score is the share of label 1 (0.5 without any label);
@@ -25,15 +26,15 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from stayline.llm.nbsvm import calibrate, fold
+from stayline.llm.nbsvm import calibrate, fold, held_back
 from stayline.llm.words import Words, annotate, mixed, text_buffer, words_of
 from stayline.session import durable
 
 SAMPLE = 2000
-SAMPLE_BYTES = 10 << 20
-LENGTH, STRIDE = 24, 16
+TEXT_WORDS, RUN = 1536, 48
+LENGTH, STRIDE = 24, 8
 BUCKETS = 1 << 16  # of words, and of character n-grams
 WIDTH = 6  # of learned vectors
 HIDDEN = 8
@@ -271,9 +272,11 @@ def gradients(
 def fit(texts: pa.Array, labels: np.ndarray, shares: dict[int, int] | None = None) -> Network:
     """A network of labelled texts; ``shares`` are the true sizes of the classes."""
     labels = np.asarray(labels, np.int64)
-    check = np.arange(len(labels)) % 6 == 5
+    check = held_back(labels, 6)
     if any(len(set(labels[p].tolist())) < 2 for p in (~check, check)):
         share = float(labels.mean()) if len(labels) else 0.5
+        if shares and sum(shares.values()):
+            share = shares[1] / sum(shares.values())
         share = min(max(share, 1e-6), 1 - 1e-6)
         zero = np.zeros(BUCKETS, FLOAT)
         return _constant(new_network(zero, zero), share)
@@ -368,14 +371,27 @@ def training_texts(
     parts = [once.where(F.col("label") == k).orderBy("order", "doc_id").limit(sample) for k in (0, 1)]
     chosen = durable(parts[0].union(parts[1]))  # at most two samples of ids
     found = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    found = durable(found.select("label", "order", "text").orderBy("order").limit(2 * sample))
-    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)))
-    total = size.over(Window.orderBy("order", F.xxhash64("text"), "label"))
-    held = found.select("label", "text", total.alias("total"), "order")
-    table = held.where(F.col("total") <= SAMPLE_BYTES).orderBy("total", "order").toArrow()
+    # Texts are bounded each before they meet.
+    found = annotate(found, "excerpt string", lambda t: [excerpts(t)], ["label", "order"])
+    order = ["order", F.xxhash64("excerpt"), "label"]
+    table = found.orderBy(*order).limit(2 * sample).toArrow().select(["label", "excerpt"])
     return table, {k: shares.get(k, 0) for k in (0, 1)}
 
 
+def excerpts(texts: pa.Array) -> pa.Array:
+    """Texts of up to ``TEXT_WORDS`` words as they are, of others runs of words from all over."""
+    words = words_of(texts)
+    out = texts.to_pylist()
+    for d in np.flatnonzero(np.diff(words.offsets) > TEXT_WORDS).tolist():
+        a, b = int(words.offsets[d]), int(words.offsets[d + 1])
+        first = np.arange(a, b, RUN)
+        rank = mixed(np.arange(1, len(first) + 1, dtype=np.uint64) * np.uint64(b - a))
+        keep = np.sort(np.argsort(rank, kind="stable")[: TEXT_WORDS // RUN])
+        runs = [(words.starts[f], words.ends[min(f + RUN, b) - 1]) for f in first[keep]]
+        out[d] = b"\n".join(words.data[x:y].tobytes() for x, y in runs).decode()
+    return pa.array(out, pa.string())
+
+
 FOLDS, HELD_OUT = 4, 2
 
 
@@ -383,7 +399,8 @@ def train(
     documents: DataFrame, labels: DataFrame, use: Column, sample: int = SAMPLE
 ) -> Network:
     table, shares = training_texts(documents, labels, use, sample)
-    texts = table["text"].combine_chunks()
+    texts = table["excerpt"].combine_chunks()
+    texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
     return fit(texts, table["label"].to_numpy(), shares)
 
 

@@ -7,8 +7,9 @@ ratio of its n-gram between the two classes, and each text to unit length. On th
 model is fitted by dual coordinate descent, one training text at a time, and its margins are
 turned into probabilities on texts it didn't see.
 
-The model is fitted on the driver, on at most ``SAMPLE`` labelled rows with ``SAMPLE_GRAMS``
-n-grams together, taken in the order of a hash of their doc_id; all texts are scored.
+The model is fitted on the driver, on at most ``SAMPLE`` labelled rows, taken in the order of a hash
+of their doc_id, each with at most ``ROW_GRAMS`` n-grams, chosen by hash from its whole text. All
+texts are scored, whole.
 
 Defined results: a null or empty text has no n-grams and gets the score of the bare intercept;
 without labels of both classes every score is the share of class 1 (0.5 without any label);
@@ -24,14 +25,14 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stayline.llm.words import annotate, mixed, words_of
-from stayline.session import durable
 
 DIMENSION = 1 << 18
 SAMPLE = 6_000
-SAMPLE_GRAMS = 6_000_000
+ROW_GRAMS = 3_000  # of one training text
+PIECE_BYTES = 1 << 20  # of text that is cut into n-grams at once
 EPOCHS = 12
 COST = 1.0
 SMOOTH = 1.0
@@ -72,7 +73,7 @@ def grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
             key = key * np.uint64(0x9E3779B97F4A7C15) + hashes[k : k + m]
         whole = doc[:m] == doc[n - 1 :]
         place = (mixed(key) % np.uint64(DIMENSION)).astype(np.int64)
-        keys.append((doc[:m] * DIMENSION + place)[whole])
+        keys.append(np.unique((doc[:m] * DIMENSION + place)[whole]))
     found = np.unique(np.concatenate(keys))
     return found // DIMENSION, found % DIMENSION
 
@@ -160,10 +161,19 @@ def calibrate(
     return float(beta[0]), float(beta[1])
 
 
+def held_back(labels: np.ndarray, every: int) -> np.ndarray:
+    """One text in ``every`` of each class, and one at least of a class that has two."""
+    out = np.zeros(len(labels), bool)
+    for label in set(labels.tolist()):
+        own = np.flatnonzero(labels == label)
+        out[own[every - 1 :: every] if len(own) >= every else own[1:][-1:]] = True
+    return out
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray) -> Model:
     """A model of texts given as arrays of distinct n-grams."""
     labels = np.asarray(labels, np.int64)
-    learn = np.arange(len(rows)) % 5 != 4
+    learn = ~held_back(labels, 5)
     for part in (learn, ~learn):
         if len(set(labels[part].tolist())) < 2:
             return constant_model(float(labels.mean()) if len(labels) else 0.5)
@@ -192,7 +202,7 @@ def labelled_rows(
     The ids are chosen from the labels first and sent to the documents: they are at most
     ``limit`` rows.
     """
-    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & use)
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1) & use)
     once = known.groupBy("doc_id").agg(F.min(label).cast("int").alias("label"))
     order = F.xxhash64("doc_id").alias("order")
     chosen = once.select("doc_id", "label", order).orderBy("order", "doc_id").limit(limit)
@@ -205,20 +215,25 @@ def train(documents: DataFrame, labels: DataFrame, use: Column, sample: int = SA
 
     def extract(texts: pa.Array) -> list[pa.Array]:
         doc, gram = grams(texts)
-        ends = np.searchsorted(doc, np.arange(len(texts) + 1)).astype(np.int32)
-        return [pa.ListArray.from_arrays(ends, pa.array(gram.astype(np.int32)))]
-
-    taken = annotate(rows, "grams array<int>", extract, ["order", "label"])
-    taken = durable(taken.orderBy("order").limit(sample))
-    # Few rows by now: a running sum over them keeps the driver's memory bounded.
-    total = F.sum(F.size("grams")).over(Window.orderBy("order", F.xxhash64("grams")))
-    held = taken.select("label", "grams", total.alias("total")).where(F.col("total") <= SAMPLE_GRAMS)
-    got = held.orderBy("total").select("label", "grams").toArrow()
+        hashed = mixed(gram.astype(np.uint64))
+        ranked = np.lexsort((hashed, doc))  # documents stay in order
+        begin = np.searchsorted(doc, np.arange(len(texts)))
+        stay = ranked[np.arange(len(doc)) - begin[doc[ranked]] < ROW_GRAMS]
+        stay.sort()
+        ends = np.searchsorted(doc[stay], np.arange(len(texts) + 1)).astype(np.int32)
+        return [pa.ListArray.from_arrays(ends, pa.array(gram[stay].astype(np.int32)))]
+
+    taken = annotate(rows, "grams array<int>", extract, ["order", "label"], size=PIECE_BYTES)
+    # Rows are bounded each before they meet: at most 12 KB for each of the sample.
+    taken = taken.orderBy("order", F.xxhash64("grams"), "label").limit(sample)
+    got = taken.select("label", "grams").toArrow()
     grams_of = [np.asarray(g.values) for c in got["grams"].chunks for g in c]
     return fit(grams_of, got["label"].to_numpy())
 
 
-def score(documents: DataFrame, model: Model, keep: list[str] | None = None) -> DataFrame:
+def score(
+    documents: DataFrame, model: Model, keep: list[str] | None = None, column: str = "text"
+) -> DataFrame:
     """``documents`` with ``score``, the probability of label 1."""
     shared = documents.sparkSession.sparkContext.broadcast(model)
     return annotate(
@@ -226,6 +241,8 @@ def score(documents: DataFrame, model: Model, keep: list[str] | None = None) ->
         "score double",
         lambda texts: [pa.array(shared.value.scores(texts), pa.float64())],
         keep,
+        column,
+        PIECE_BYTES,
     )
 
 
@@ -233,11 +250,17 @@ FOLDS, HELD_OUT = 3, 1
 
 
 def quality_scores(
-    documents: DataFrame, labels: DataFrame, keep: list[str] | None = None
+    documents: DataFrame,
+    labels: DataFrame,
+    keep: list[str] | None = None,
+    column: str = "text",
 ) -> DataFrame:
-    """``documents`` with ``held_out``, ``score`` and ``predicted``."""
+    """``documents`` with ``held_out``, ``score`` and ``predicted``.
+
+    The scored texts are in ``column``, which may be a field of a kept struct.
+    """
     model = train(documents, labels, fold("doc_id", FOLDS) != HELD_OUT)
-    return score(documents, model, keep).withColumns(
+    return score(documents, model, keep, column).withColumns(
         {
             "held_out": F.coalesce(fold("doc_id", FOLDS) == HELD_OUT, F.lit(False)),
             "predicted": (F.col("score") >= 0.5).cast("int"),
