@@ -12,7 +12,7 @@ over the documents for each block, so neither side is ever shuffled by word.
 
 Defined results: a null or empty text has no words and no hits; an item without words has no
 windows; items that repeat each other's windows count once each; a null item_id can be hit and
-counts among ``n_items``, but isn't listed. Repeated documents are judged row by row. Other
+counts once among ``n_items``, but isn't listed. Repeated documents are judged row by row. Other
 columns of either table are ignored, or kept (``decontaminate``), whatever their names.
 """
 
@@ -28,7 +28,7 @@ from stayline.llm.words import NOT_ALNUM, annotate, map_texts, words_of
 from stayline.session import durable
 
 WINDOW = 10
-BLOCK_BYTES = 16 << 20  # of benchmark text sent to a task at once
+BLOCK_BYTES = 4 << 20  # of benchmark text sent to a task at once: an index of some 50 MB
 
 
 def item_blocks(items: DataFrame, block_bytes: int) -> Iterator[list[tuple]]:
@@ -70,59 +70,69 @@ def word_counts(documents: DataFrame, known: list[bytes]) -> dict[bytes, int]:
 
 
 class WindowIndex:
-    """Windows of a block of items by their rarest word."""
+    """Different windows of a block of items in arrays, by their rarest word.
+
+    A window takes some 60 bytes, as words are numbers by rarity.
+    """
 
     def __init__(self, items: list[tuple], counts: dict[bytes, int], window: int) -> None:
         found = words_of(pa.array([t for _, t in items], pa.string()), NOT_ALNUM, lower=True)
         vocabulary = found.vocabulary.to_pylist()
         order = sorted(range(len(vocabulary)), key=lambda i: (counts[vocabulary[i]], vocabulary[i]))
-        rank = np.empty(len(vocabulary), np.int64)
-        rank[order] = np.arange(len(vocabulary))
+        rank = np.empty(len(vocabulary), np.int32)
+        rank[order] = np.arange(len(vocabulary), dtype=np.int32)
         self.rank = {vocabulary[i]: r for r, i in enumerate(order)}
+        self.ids = [None if i is None else str(i) for i, _ in items]
+        n = np.diff(found.offsets)
+        width = np.minimum(n, window)
+        per_item = np.where(n > 0, n - width + 1, 0)
+        item = np.repeat(np.arange(len(n), dtype=np.int32), per_item)
+        begin = np.cumsum(per_item) - per_item
+        start = found.offsets[:-1][item] + np.arange(len(item)) - begin[item]
+        cells = np.full((len(item), window), -1, np.int32)  # short windows end in -1
         ranked = rank[found.codes]
-        distinct: dict[bytes, list[int]] = {}
-        for d, (a, b) in enumerate(zip(found.offsets[:-1], found.offsets[1:], strict=True)):
-            width = min(window, b - a)
-            for s in range(a, b - width + 1 if width else a):
-                of = distinct.setdefault(ranked[s : s + width].tobytes(), [])
-                if not of or of[-1] != d:
-                    of.append(d)
-        self.ids = [i for i, _ in items]
-        self.windows = [np.frombuffer(k, np.int64) for k in distinct]
-        self.items = list(distinct.values())
-        self.by_rarest: dict[int, list[tuple[int, int, int]]] = {}
-        for i, w in enumerate(self.windows):
-            offset = int(np.argmin(w))
-            self.by_rarest.setdefault(int(w[offset]), []).append((offset, len(w), i))
-
-    def hits(self, words) -> list[tuple[int, int, int]]:
-        """(first word, length, window) of each occurrence in a batch of documents."""
+        for k in range(window):
+            held = width[item] > k
+            cells[held, k] = ranked[start[held] + k]
+        self.windows, of = np.unique(cells, axis=0, return_inverse=True)
+        pairs = np.unique(np.stack([of.ravel(), item], axis=1), axis=0)
+        self.items = pairs[:, 1]
+        self.items_at = np.searchsorted(pairs[:, 0], np.arange(len(self.windows) + 1))
+        self.length = (self.windows >= 0).sum(axis=1)
+        hidden = np.where(self.windows < 0, np.iinfo(np.int32).max, self.windows)
+        self.offset = hidden.argmin(axis=1)
+        rarest = hidden.min(axis=1)
+        self.by_rarest = np.argsort(rarest, kind="stable")
+        self.at = np.searchsorted(rarest[self.by_rarest], np.arange(len(self.rank) + 1))
+
+    def hits(self, words) -> tuple[np.ndarray, np.ndarray]:
+        """(first word, window) of each occurrence in a batch of documents."""
         known = np.array([self.rank.get(w, -1) for w in words.vocabulary.to_pylist()], np.int64)
         ranks = known[words.codes] if len(known) else np.zeros(0, np.int64)
-        prefix = np.zeros(len(self.rank) + 1, bool)
-        prefix[list(self.by_rarest)] = True
-        places = np.flatnonzero(prefix[ranks])
-        if not len(places):
-            return []
+        held = np.append(np.diff(self.at) > 0, False)
+        places = np.flatnonzero(held[ranks])
+        starts, windows = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         doc = np.searchsorted(words.offsets, places, side="right") - 1
         lo, hi = words.offsets[doc], words.offsets[doc + 1]
         by_word = np.argsort(ranks[places], kind="stable")
         cuts = np.flatnonzero(np.diff(ranks[places][by_word])) + 1
-        out = []
-        for group in np.split(by_word, cuts):
-            for offset, length, i in self.by_rarest[int(ranks[places[group[0]]])]:
-                start = places[group] - offset
+        for group in np.split(by_word, cuts) if len(places) else []:
+            r = int(ranks[places[group[0]]])
+            for i in self.by_rarest[self.at[r] : self.at[r + 1]].tolist():
+                length = int(self.length[i])
+                start = places[group] - self.offset[i]
                 start = start[(start >= lo[group]) & (start + length <= hi[group])]
-                for k in np.argsort(self.windows[i]):  # rarest words first: most end here
+                for k in np.argsort(self.windows[i][:length]):  # rarest words first: most end here
                     if not len(start):
                         break
                     start = start[ranks[start + k] == self.windows[i][k]]
-                out.extend((int(s), length, i) for s in start)
-        return out
+                starts.append(start)
+                windows.append(np.full(len(start), i))
+        return np.concatenate(starts), np.concatenate(windows)
 
 
-SPAN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("item", pa.string())])
-SPANS = "array<struct<start:bigint,length:bigint,item:string>>"
+SPAN = pa.struct([("start", pa.int64()), ("length", pa.int64())])
+HITS = "spans array<struct<start:bigint,length:bigint>>, items array<string>"
 
 
 def contamination(
@@ -132,10 +142,10 @@ def contamination(
     window: int = WINDOW,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """``documents`` with ``n_words`` and ``hits``.
+    """``documents`` with ``n_words``, ``spans`` and ``items``.
 
-    ``hits`` are (first word, words, item as text) of every occurrence of an item's window.
-    ``keep`` names the columns of documents to go on with.
+    ``spans`` are (first word, words) of runs that windows cover, ``items`` the different items (as
+    text) whose windows occur. ``keep`` names the columns of documents to go on with.
     """
     kept = list(documents.columns if keep is None else keep)
     found, earlier = documents, []
@@ -144,15 +154,23 @@ def contamination(
     while True:
         after = next(blocks, None)
         # All but the last pass carry the text on, and are stored to keep one pass in memory.
-        here = [*kept, *earlier] if after is None else None
-        found = annotate(found, f"n_words long, hits {SPANS}", _looker(documents, block, window), here)
+        here = [*kept, *[c for e in earlier for c in e]] if after is None else None
+        found = annotate(found, f"n_words long, {HITS}", _looker(documents, block, window), here)
         if after is None:
             break
-        earlier.append(f"_hits_{len(earlier)}")
-        found = durable(found.withColumnRenamed("hits", earlier[-1]))
+        earlier.append((f"_spans_{len(earlier)}", f"_items_{len(earlier)}"))
+        renamed = dict(zip(("spans", "items"), earlier[-1], strict=True))
+        found = durable(found.withColumnsRenamed(renamed))
         block = after
-    hits = F.concat(*[F.col(c) for c in [*earlier, "hits"]])
-    return found.withColumn("hits", hits).drop(*earlier)
+    if not earlier:
+        return found
+    spans, names = zip(*earlier, strict=True)
+    return found.withColumns(
+        {
+            "spans": F.concat(*[F.col(c) for c in [*spans, "spans"]]),
+            "items": F.array_distinct(F.concat(*[F.col(c) for c in [*names, "items"]])),
+        }
+    ).drop(*spans, *names)
 
 
 def _looker(documents: DataFrame, block: list[tuple], window: int):
@@ -162,14 +180,35 @@ def _looker(documents: DataFrame, block: list[tuple], window: int):
 
     def look(texts: pa.Array) -> list[pa.Array]:
         words = words_of(texts, NOT_ALNUM, lower=True)
-        of, hits = shared.value, [[] for _ in range(len(texts))]
-        for start, length, i in of.hits(words):
-            d = int(np.searchsorted(words.offsets, start, side="right")) - 1
-            at = start - int(words.offsets[d])
-            for item in of.items[i]:
-                name = None if of.ids[item] is None else str(of.ids[item])
-                hits[d].append({"start": at, "length": length, "item": name})
-        return [pa.array(np.diff(words.offsets), pa.int64()), pa.array(hits, pa.list_(SPAN))]
+        of, n = shared.value, len(texts)
+        start, window = of.hits(words)
+        edge = np.zeros(len(words.codes) + 1, np.int64)
+        np.add.at(edge, start, 1)
+        np.subtract.at(edge, start + of.length[window], 1)
+        inside = np.cumsum(edge[:-1]) > 0
+        begins, ends = inside.copy(), inside.copy()
+        begins[1:] &= ~inside[:-1]
+        ends[:-1] &= ~inside[1:]
+        cuts = words.offsets[1:-1]  # a run ends where its document does
+        cuts = cuts[(cuts > 0) & (cuts < len(inside))]
+        begins[cuts], ends[cuts - 1] = inside[cuts], inside[cuts - 1]
+        first, last = np.flatnonzero(begins), np.flatnonzero(ends)
+        at = np.searchsorted(first, words.offsets).astype(np.int32)
+        doc = np.searchsorted(words.offsets, first, side="right") - 1
+        runs = pa.StructArray.from_arrays(
+            [pa.array(first - words.offsets[doc]), pa.array(last + 1 - first)], fields=list(SPAN)
+        )
+        # Each window once for a document, however often it occurs there.
+        doc = np.searchsorted(words.offsets, start, side="right") - 1
+        named: list[dict[str | None, None]] = [{} for _ in range(n)]
+        for d, w in np.unique(np.stack([doc, window], axis=1), axis=0).tolist():
+            for i in of.items[of.items_at[w] : of.items_at[w + 1]].tolist():
+                named[d][of.ids[i]] = None
+        return [
+            pa.array(np.diff(words.offsets), pa.int64()),
+            pa.ListArray.from_arrays(pa.array(at), runs),
+            pa.array([list(x) for x in named], pa.list_(pa.string())),
+        ]
 
     return look
 
@@ -182,7 +221,7 @@ def summary(found: DataFrame) -> DataFrame:
     """
     spans = F.array_sort(
         F.transform(
-            "hits",
+            "spans",
             lambda h: F.struct(h["start"].alias("a"), (h["start"] + h["length"]).alias("b")),
         )
     )
@@ -195,20 +234,20 @@ def summary(found: DataFrame) -> DataFrame:
             (seen["n"] + F.greatest(none, x["b"] - F.greatest(seen["end"], x["a"]))).alias("n"),
         ),
     )
-    items = F.array_distinct(F.transform("hits", lambda h: h["item"]))
-    listed = F.array_sort(F.filter(items, lambda i: i.isNotNull()))
+    listed = F.array_sort(F.filter("items", lambda i: i.isNotNull()))
     return found.select(
         "doc_id",
         "n_words",
         covered["n"].alias("n_hit"),
-        F.size(items).cast("long").alias("n_items"),
+        F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", listed), 256).alias("items_sha256"),
-        (F.size("hits") > 0).alias("contaminated"),
+        (F.size("spans") > 0).alias("contaminated"),
     )
 
 
 def decontaminate(documents: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents without any hit, with their own columns."""
-    packed = documents.select("text", F.struct(*documents.columns).alias("row"))
-    found = contamination(packed, items, window=window)
-    return found.where(F.size("hits") == 0).select("row.*")
+    row = F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("row")
+    packed = documents.select(F.col("text"), row)
+    found = contamination(packed, items, ["row"], window=window)
+    return found.where(F.size("spans") == 0).select("row.*")

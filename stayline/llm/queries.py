@@ -59,7 +59,7 @@ def op2_nb_support_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op3_odd_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return oddsketch.near_duplicates(table(spark, sf_dir, "documents"), ["doc_id"])
+    return oddsketch.near_duplicates(table(spark, sf_dir, "documents"), ["doc_id"], percent=85)
 
 
 @query
