@@ -74,11 +74,12 @@ def test_classifiers(spark, docs, labels, scores):
     assert [round(r.score, 6) for r in unlabelled] == [0.5]
 
 
-def test_near_duplicates(spark, docs):
-    found = oddsketch.near_duplicates(docs)
+@pytest.mark.parametrize("percent", [80, 85])
+def test_near_duplicates(spark, docs, percent):
+    found = oddsketch.near_duplicates(docs, percent=percent)
     assert found.count() == docs.count()
     rows = docs.select("doc_id", "text").collect()
-    tops = data.linked([data.shingles(r.text) for r in rows])
+    tops = data.linked([data.shingles(r.text) for r in rows], percent)
     least = {}
     for r, top in zip(rows, tops, strict=True):
         ids = [x for x in (least.get(top), r.doc_id) if x is not None]
@@ -89,6 +90,26 @@ def test_near_duplicates(spark, docs):
     )
     assert pairs(found, "doc_id", "component_id", "kept") == wanted
     assert oddsketch.near_duplicates(data.no_rows(spark)).count() == 0
+    with pytest.raises(ValueError):
+        oddsketch.near_duplicates(docs, percent=79)
+
+
+def test_sketches_of_many_short_texts():
+    """Memory for each row is bounded: rows are folded a few at a time, pieces have few rows."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from stayline.llm import words
+
+    rows = pa.array([f"a b c d e{i}" for i in range(10_000)])
+    batch = pa.RecordBatch.from_arrays([rows], ["text"])
+    tracemalloc.start()
+    found = [oddsketch._sketches(p.column("text"))[1] for p in words.pieces(batch, "text")]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(map(len, found)) == 10_000 and max(map(len, found)) <= words.BATCH_ROWS
+    assert peak < 64 << 20
 
 
 def test_chain_of_near_copies_in_blocks(spark, monkeypatch):
@@ -104,10 +125,80 @@ def test_chain_of_near_copies_in_blocks(spark, monkeypatch):
         words[int(rng.integers(0, 120))] = f"new{i}"
     df = spark.createDataFrame(rows, "doc_id long, text string")
     tops = data.linked([data.shingles(t) for _, t in rows])
-    found = {r.doc_id: r.component_id for r in oddsketch.near_duplicates(df).collect()}
+    linked = oddsketch.near_duplicates(df, percent=85)
+    found = {r.doc_id: r.component_id for r in linked.collect()}
     assert found == dict(enumerate(tops))
 
 
+def test_one_huge_text_does_not_empty_the_sample(spark):
+    """Labelled texts that are very long add what a text may add; the model still learns."""
+    rng = np.random.default_rng(4)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, " ".join(rng.choice(words, 60)) + " bad" * (i % 2), i % 2) for i in range(1, 240)]
+    rows.append((0, " ".join(rng.choice(words, 400_000)), 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, y int")
+    labels = docs.selectExpr("doc_id", "y AS quality", "y AS toxic")
+    for scores in (nbsvm.quality_scores, gru.toxicity_scores):
+        found = scores(docs, labels, ["doc_id", "y"]).collect()
+        right = sum((r.score >= 0.5) == (r.y == 1) for r in found)
+        assert right >= 0.9 * len(found), scores
+    table, _ = gru.training_texts(docs, labels, F.lit(True), 300)
+    assert max(len(t.split()) for t in table["excerpt"].to_pylist()) <= gru.TEXT_WORDS
+
+
+def test_held_back_has_each_class():
+    y = np.array([0] * 20 + [1, 1])
+    out = nbsvm.held_back(y, 5)
+    assert set(y[out]) == set(y[~out]) == {0, 1}
+
+
+def test_descent_closes_the_duality_gap():
+    """The primal objective of the fitted weights is near that of the best ones."""
+    rng = np.random.default_rng(6)
+    rows = [np.unique(rng.integers(0, 50, 12)) for _ in range(80)]
+    values = [np.full(len(r), 1 / np.sqrt(len(r)), np.float32) for r in rows]
+    labels = rng.integers(0, 2, 80)
+    sign = np.where(labels == 1, 1.0, -1.0)
+
+    def primal(weights, bias):
+        loss = [max(0.0, 1 - s * (weights[r] @ v + bias)) for r, v, s in zip(rows, values, sign, strict=True)]
+        return 0.5 * (weights @ weights + bias * bias) + nbsvm.COST * sum(loss)
+
+    few, many = (primal(*nbsvm.descend(rows, values, labels, n, nbsvm.COST)) for n in (nbsvm.EPOCHS, 400))
+    assert many <= few <= 1.02 * many
+
+
+def test_network_gradients():
+    """Slopes of the loss by backpropagation are those by differences."""
+    rng = np.random.default_rng(9)
+    zero = np.zeros(gru.BUCKETS, gru.FLOAT)
+    net = gru.new_network(zero, zero)
+    net.weights = {k: v if k in ("words", "grams") else v.astype(float) for k, v in net.weights.items()}
+    x = rng.normal(size=(3, gru.LENGTH, 2 * gru.WIDTH + 2))
+    size, y = np.array([gru.LENGTH, 5, 1]), np.array([1, 0, 1])
+    slopes, by_x = gru.gradients(net, x, size, y)
+
+    def loss():
+        return losses(net, x, size, y)
+
+    def losses(net, x, size, y):
+        table = x.reshape(-1, x.shape[2])
+        codes = np.arange(len(table)).reshape(len(x), -1)
+        m = net.margins(table, codes, size).astype(float)
+        return float(np.mean(np.logaddexp(0, np.where(y == 1, -m, m))))
+
+    step = 1e-2
+    for name, g in slopes.items():
+        flat = net.weights[name].reshape(-1)
+        for k in rng.choice(flat.size, min(4, flat.size), replace=False):
+            flat[k] += step
+            up = loss()
+            flat[k] -= 2 * step
+            down = loss()
+            flat[k] += step
+            assert abs((up - down) / (2 * step) - np.asarray(g).reshape(-1)[k]) < 5e-3, name
+
+
 def test_odd_sketch_estimates():
     rng = np.random.default_rng(1)
     base = rng.integers(0, 1 << 63, 400).astype(np.uint64)
@@ -193,11 +284,18 @@ def test_contamination(spark, docs):
         found = contamination.contamination(docs, benchmark, ["doc_id"], block_bytes=size)
         got = contamination.summary(found).drop("doc_id", "contaminated").collect()
         assert sorted(tuple(r) for r in got) == wanted
+    # Many items with one window that occurs often: spans and items stay apart.
+    shared = " ".join(f"q{i}" for i in range(10))
+    many = spark.createDataFrame([(i, shared) for i in range(500)], "item_id long, text string")
+    often = spark.createDataFrame([(1, f"{shared} x " * 200, 1)], "doc_id long, text string, `a.b` int")
+    row = contamination.contamination(often, many, ["doc_id"]).first()
+    assert len(row.spans) == 200 and len(row.items) == 500
+    assert contamination.decontaminate(often, many.limit(0)).columns == ["doc_id", "text", "a.b"]
     clean = contamination.decontaminate(docs, benchmark)
     assert clean.columns == docs.columns
     assert clean.count() == sum(row[1] == 0 for row in wanted)
     none = contamination.contamination(docs, benchmark.limit(0), ["doc_id"])
-    assert none.where("n_words > 0").count() > 0 and none.where("size(hits) > 0").count() == 0
+    assert none.where("n_words > 0").count() > 0 and none.where("size(spans) > 0").count() == 0
     assert contamination.decontaminate(data.no_rows(spark), benchmark).count() == 0
 
 
