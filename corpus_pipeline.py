@@ -5,7 +5,8 @@ columns of ``documents``; the last returns token ids. ``run`` writes every stage
 folder and reads it again, so a lost executor costs one stage's tasks at most.
 
 * ``quality``: documents that the classifier takes for label 0 go.
-* ``near_duplicates``: of each group of linked documents the one with the smallest doc_id stays.
+* ``near_duplicates``: of each group of linked documents (80 % of their shingles in common) the one
+  with the smallest doc_id stays.
 * ``repeated_passages``: words of passages that recur are taken out, and ``n_chars`` follows; texts
   without such words stay as they are, and no document goes.
 * ``decontamination``: documents with any window of a benchmark item go.
@@ -26,6 +27,8 @@ from stayline.llm import bytepairs, contamination, nbsvm, oddsketch, passages
 from stayline.llm.queries import RANKS
 from stayline.session import configure, durable, stored_bytes
 
+SIMILAR_PERCENT = 80
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -36,12 +39,13 @@ def _packed(docs: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = nbsvm.quality_scores(_packed(docs), labels, ["doc_id", "row"])
+    scored = nbsvm.quality_scores(_packed(docs), labels, ["doc_id", "row"], "row.text")
     return scored.where(F.col("predicted") == 1).select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return oddsketch.near_duplicates(_packed(docs), ["row"]).where("kept").select("row.*")
+    found = oddsketch.near_duplicates(_packed(docs), ["row"], SIMILAR_PERCENT)
+    return found.where("kept").select("row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
