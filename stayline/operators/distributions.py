@@ -1,19 +1,21 @@
 """Histograms and box-plot statistics per cohort.
 
 Both start from :func:`value_counts`, which condenses a cohort to its distinct
-values. All later steps read that one shuffle (Spark reuses the exchange) and
-exchange small tables only; no cohort is ever gathered in one task.
+values. All later steps read that one shuffle (Spark reuses the exchange) or, for
+exact quartiles, the stored table, and exchange small tables only; no cohort is
+ever gathered in one task.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
+
+from stayline.operators.prefix import ROWS_PER_PART, running_sums
+from stayline.session import durable
 
 QUARTILES = (0.25, 0.5, 0.75)
-SLICES = 128
-LEVELS = 2
 CHURN_FLAG = "churn_users"
 
 
@@ -84,33 +86,24 @@ def histogram(
 
 
 def quantiles(
-    counts: DataFrame, by: str, probs: Sequence[float] = QUARTILES, levels: int = LEVELS
+    counts: DataFrame,
+    by: str,
+    probs: Sequence[float] = QUARTILES,
+    rows_per_part: int = ROWS_PER_PART,
 ) -> DataFrame:
-    """Exact, linearly interpolated quantiles of a :func:`value_counts` table:
+    """Exact, linearly interpolated quantiles of a stored :func:`value_counts` table:
     (by, total, q1, q2, ...).
 
-    Approximate quantiles cut each cohort into slices of about equal size; how
-    good they are changes the balance only, not the result. Slice sizes tell
-    which slices hold the wanted ranks, these are cut again, and only what is left
-    after ``levels`` cuts is sorted: one part in 16,000 of a cohort in a task.
+    Running sums over the sorted values tell which ranks each value holds; they are made in
+    range-sorted parts of about ``rows_per_part`` values.
     """
     # A quantile lies between two 0-based ranks; rows hold the ranks from start to start + n.
     positions = [f"(total - 1) * {float(p)}D" for p in probs]
     ranks = [f"{end}({position})" for position in positions for end in ("floor", "ceil")]
-    holds = "start <= {0} AND {0} < start + n"
     total = counts.groupBy(by).agg(F.sum("n").alias("total"))
-    rows = _per_cohort(counts, total, by).withColumns(
-        {"slice": F.lit(0).cast("long"), "base": F.lit(0).cast("long")}
-    )
-    for _ in range(levels):
-        rows = _wanted_slices(rows, by, " OR ".join(holds.format(r) for r in ranks))
-    smaller = (
-        Window.partitionBy(by, "slice").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ranked = rows.withColumn(
-        "start", F.col("base") + F.coalesce(F.sum("n").over(smaller), F.lit(0))
-    )
-    found = ranked.groupBy(by).agg(
+    rows = _per_cohort(running_sums(counts, [by], "v", ["n"], rows_per_part), total, by)
+    holds = "n_before <= {0} AND {0} < n_before + n"
+    found = rows.groupBy(by).agg(
         F.max("total").alias("total"),
         *[F.expr(f"max(CASE WHEN {holds.format(r)} THEN v END) AS v{i}") for i, r in enumerate(ranks)],
     )
@@ -124,41 +117,6 @@ def quantiles(
     )
 
 
-def _wanted_slices(rows: DataFrame, by: str, wanted: str) -> DataFrame:
-    """Each slice cut again, and of the new slices those that hold a wanted rank.
-
-    ``base`` are the rows of the cohort before a slice; at most two slices are kept per rank.
-    """
-    cuts = ", ".join(f"{i / SLICES}D" for i in range(1, SLICES))
-    stats = rows.groupBy(by, "slice").agg(F.expr(f"percentile_approx(v, array({cuts}), 10000) AS cuts"))
-    stats = stats.select(F.col(by).alias("_cohort"), F.col("slice").alias("_slice"), "cuts")
-    same = F.col(by).eqNullSafe(F.col("_cohort")) & (F.col("slice") == F.col("_slice"))
-    cut = rows.join(stats, same).withColumn("part", F.expr("size(filter(cuts, cut -> cut < v))"))
-    cut = cut.drop("_cohort", "_slice", "cuts")
-    before = Window.partitionBy(by, "slice").orderBy("part")
-    before = before.rowsBetween(Window.unboundedPreceding, -1)
-    sizes = (
-        cut.groupBy(by, "slice", "part")
-        .agg(F.sum("n").alias("n"), F.max("total").alias("total"), F.max("base").alias("base"))
-        .withColumn("start", F.col("base") + F.coalesce(F.sum("n").over(before), F.lit(0)))
-    )
-    sizes = sizes.where(wanted).select(
-        F.col(by).alias("_cohort"),
-        F.col("slice").alias("_slice"),
-        F.col("part").alias("_part"),
-        F.col("start").alias("_base"),
-    )
-    same = same & (F.col("part") == F.col("_part"))
-    return cut.join(sizes, same).select(
-        by,
-        "v",
-        "n",
-        "total",
-        (F.col("slice") * SLICES + F.col("part")).alias("slice"),
-        F.col("_base").alias("base"),
-    )
-
-
 def box_stats(
     df: DataFrame, value: str, by: str = CHURN_FLAG, approx: bool = False
 ) -> DataFrame:
@@ -166,8 +124,8 @@ def box_stats(
 
     Whiskers are the extreme values within 1.5 interquartile ranges of the box,
     or the box edge where no value lies between the two.
-    ``approx`` takes the quartiles from one sketch per cohort, which is one
-    stage less work but a little off.
+    The condensed values are stored, as three steps read them. ``approx`` takes
+    the quartiles from one sketch per cohort, which stores nothing but is a little off.
     """
     counts = value_counts(df, value, by)
     if approx:
@@ -178,6 +136,7 @@ def box_stats(
         )
         quartiles = sketch.select(by, "total", *[F.col("q")[i].alias(f"q{i + 1}") for i in range(3)])
     else:
+        counts = durable(counts)
         quartiles = quantiles(counts, by)
     fences = quartiles.selectExpr(
         "*", "q1 - (q3 - q1) * 1.5 AS low", "q3 + (q3 - q1) * 1.5 AS high"

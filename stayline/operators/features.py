@@ -8,9 +8,10 @@ from pyspark.ml.feature import ElementwiseProduct, OneHotEncoder, VectorAssemble
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from stayline.operators.facts import attach_facts, keep_players
+from stayline.operators.prefix import running_sums
 from stayline.session import durable
 
 # The order of the features.
@@ -68,24 +69,16 @@ def complete_rows(features: DataFrame) -> DataFrame:
 def label_index(rows: DataFrame, column: str, weight: str | None = None) -> DataFrame:
     """(value, index) of a column's values, the most frequent first, equal ones in order.
 
-    The table is stored and stays a table, however many values there are. Ranks are the places in
-    range-sorted parts plus the sizes of the parts before, so no task ranks all values.
+    The table is stored and stays a table, however many values there are. Ranks are running sums
+    over range-sorted parts, as many as the values ask for, so no task ranks all values.
     """
     n = F.sum(weight) if weight else F.count("*")
     counts = rows.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("value"))
-    order = [F.desc("n"), F.asc("value")]
-    counted = durable(counts.agg(n.alias("n")))
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = counted.repartitionByRange(parts, *order).withColumn("part", F.spark_partition_id())
-    stored = durable(dealt)  # which part a value is in must not change any more
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    # One row for each part passes this window.
-    sizes = stored.groupBy("part").agg(F.count("*").alias("size"))
-    base = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
-    place = F.row_number().over(Window.partitionBy("part").orderBy(*order))
-    ranked = stored.withColumn("place", place).join(base, "part")
-    index = (F.col("base") + F.col("place") - 1).cast("double").alias("index")
-    return durable(ranked.select("value", index))
+    counted = counts.agg(n.alias("n")).select(
+        "value", F.struct((-F.col("n")).alias("less"), "value").alias("rank"), F.lit(1).alias("one")
+    )
+    ranked = running_sums(durable(counted), [], "rank", ["one"])
+    return durable(ranked.select("value", F.col("one_before").cast("double").alias("index")))
 
 
 @dataclass

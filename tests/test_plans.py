@@ -14,7 +14,8 @@ MODELS = {
     "lr_predictions", "svc_predictions", "tree_predictions", "cv_leaderboard",
     "best_params", "validation_scores", "final_test_score", "grain_scores",
     "baseline_leaderboard", "baseline_best_params", "baseline_validation", "baseline_test",
-    "baseline_by_grain",
+    "baseline_by_grain", "rules_leaderboard", "rules_best_params", "rules_choice",
+    "lr_optimality", "svc_optimality", "tree_predictions_categories",
 }
 
 
@@ -72,18 +73,25 @@ def test_facts_with_a_profile_shuffle_no_event(spark):
     assert "SortAggregate" not in text
 
 
-@pytest.mark.parametrize("name", ["hist_plays", "box_plays", "box_normal_ratio"])
-def test_distributions_scan_the_log_once(spark, name):
-    text = final_plan(QUERIES[name](spark, SF))
+def test_histograms_scan_the_log_once(spark):
+    text = final_plan(QUERIES["hist_plays"](spark, SF))
     assert text.count("FileScan") == 1
     assert "ReusedExchange" in text
 
 
+@pytest.mark.parametrize("name", ["box_plays", "box_normal_ratio"])
+def test_boxes_read_the_condensed_values_only(spark, name):
+    text = final_plan(QUERIES[name](spark, SF))
+    assert "events.parquet" not in text and text.count("FileScan") <= 3
+    assert text.count("Exchange hashpartitioning") <= 4
+    assert "ObjectHashAggregate" not in text and text.count("Window [") <= 1
+
+
 def test_nothing_runs_while_tables_are_built(spark, log, parquet_log):
     jobs = spark.sparkContext.statusTracker()
     users = op.user_activity(op.drop_invalid(parquet_log))
     before = len(jobs.getJobIdsForGroup(None))
-    op.box_stats(users, "song_nums", by="latest_date")
+    op.box_stats(users, "song_nums", by="latest_date", approx=True)
     op.histogram(users, "song_nums", by="latest_date", shared_edges=True)
     op.attach_facts(parquet_log, users, ["song_nums"])
     op.churn_phase(parquet_log)
