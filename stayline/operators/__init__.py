@@ -1,3 +1,4 @@
+from stayline.operators.certificates import loss_slopes, optimality
 from stayline.operators.clean import (
     date_range,
     distinct_users,
@@ -41,6 +42,12 @@ from stayline.operators.features import (
     vector_columns,
     vector_slots,
 )
+from stayline.operators.increments import (
+    daily_states,
+    merged_facts,
+    store_days,
+    stored_states,
+)
 from stayline.operators.metrics import class_metrics, classification_metrics, confusion
 from stayline.operators.models import (
     best_params,
@@ -54,13 +61,24 @@ from stayline.operators.models import (
     tune,
 )
 from stayline.operators.phases import churn_phase
+from stayline.operators.prefix import running_sums
+from stayline.operators.rules import rule_candidates
+from stayline.operators.sketches import (
+    rank_errors,
+    sketched_quantiles,
+    user_sketches,
+    users_by_range,
+    value_sketches,
+)
 from stayline.operators.skew import is_small, join_lookup
 from stayline.operators.split import split_users, with_fold
+from stayline.operators.splits import best_splits, first_split, split_gains
 
 __all__ = [
     "actions_in_window",
     "attach_facts",
     "best_params",
+    "best_splits",
     "box_stats",
     "candidates",
     "churn_by",
@@ -71,6 +89,7 @@ __all__ = [
     "cohort_share",
     "complete_rows",
     "confusion",
+    "daily_states",
     "date_range",
     "distinct_users",
     "distinct_values",
@@ -83,6 +102,7 @@ __all__ = [
     "events_per_user",
     "events_where",
     "feature_table",
+    "first_split",
     "fit_features",
     "histogram",
     "incomplete_rows",
@@ -90,28 +110,41 @@ __all__ = [
     "join_lookup",
     "keep_players",
     "label_index",
+    "loss_slopes",
     "majority",
     "mark_churn",
+    "merged_facts",
     "normal_visit_ratio",
+    "optimality",
     "plays_per_user",
     "predictions",
     "prepare",
     "problem_visits",
     "quality_audit",
     "quantiles",
+    "rank_errors",
     "rows_of_churned",
+    "rule_candidates",
+    "running_sums",
     "score",
     "score_table",
     "select_model",
+    "sketched_quantiles",
+    "split_gains",
     "split_users",
     "status_by_user",
+    "store_days",
+    "stored_states",
     "tune",
     "user_activity",
     "user_facts",
     "user_levels",
+    "user_sketches",
     "user_values",
     "users_by",
+    "users_by_range",
     "value_counts",
+    "value_sketches",
     "vector_columns",
     "vector_slots",
     "with_fold",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from stayline import operators as op
 from stayline.functions import (
@@ -15,7 +15,9 @@ from stayline.functions import (
     days_between,
     parse_date,
 )
+from stayline.operators.features import FEATURES
 from stayline.operators.models import Prepared
+from stayline.operators.sketches import RANK_ERROR, USERS_ERROR
 from stayline.operators.skew import BROADCAST_BYTES
 from stayline.plans.study import PLAYS_BINS, TENURE_BINS, ModelStudy, model_study, prepare_models
 from stayline.session import configure, durable, scratch_path, stored_bytes
@@ -618,3 +620,182 @@ def grain_scores(t: Tables) -> DataFrame:
         for grain in ("user", "event")
     ]
     return tables[0].unionByName(tables[1])
+
+
+# Certificates, exact splits and choice among several candidates
+
+# Coefficients at which slopes are compared, by feature, and an intercept.
+SPOT_COEFFICIENTS, SPOT_INTERCEPT = (0.03, -0.4, 0.25, -0.002), -0.5
+# What a fit to the end leaves of the slopes of its objective.
+LR_BOUND, SVC_BOUND = 1e-4, 2e-3
+
+
+def _slopes(t: Tables, loss: str) -> DataFrame:
+    train = t.prepared().part("train")
+    found = op.loss_slopes(train, SPOT_COEFFICIENTS, SPOT_INTERCEPT, loss, "features1")
+    return _rounded(found.withColumn("slot", F.col("slot").cast("int")), "deviation", "least", "most", "loss")
+
+
+@query
+def logistic_slopes(t: Tables) -> DataFrame:
+    """Slopes of the logistic loss at fixed coefficients."""
+    return _slopes(t, "logistic")
+
+
+@query
+def hinge_slopes(t: Tables) -> DataFrame:
+    """Slopes of the hinge loss at fixed coefficients."""
+    return _slopes(t, "hinge")
+
+
+def _optimal(t: Tables, name: str, loss: str, bound: float, **options: float) -> DataFrame:
+    """Of each parameter set, whether a fit to the end has no slope left."""
+    train = durable(t.prepared().part("train").select("features", "label"))
+    (candidate,) = op.candidates([name])
+    out = None
+    for pos, params in enumerate(candidate.grid):
+        values = {p.name: float(v) for p, v in params.items()}
+        model = candidate.estimator.copy().setParams(**options).fit(train, params)
+        slopes = op.loss_slopes(train, model.coefficients, model.intercept, loss)
+        reg, elastic = values.get("regParam", 0.0), values.get("elasticNetParam", 0.0)
+        found = op.optimality(slopes, model.coefficients, reg, elastic).agg(
+            F.lit(pos).alias("grid_pos"),
+            F.count("*").alias("slots"),
+            (F.max("residual") <= bound).alias("optimal"),
+        )
+        out = found if out is None else out.union(found)
+    return out
+
+
+@query
+def lr_optimality(t: Tables) -> DataFrame:
+    return _optimal(t, "logistic_regression", "logistic", LR_BOUND, maxIter=500, tol=1e-12)
+
+
+@query
+def svc_optimality(t: Tables) -> DataFrame:
+    return _optimal(t, "linear_svm", "hinge", SVC_BOUND, maxIter=2000, tol=1e-12)
+
+
+def _train_slots(t: Tables) -> DataFrame:
+    train = t.prepared().part("train")
+    slots = op.vector_columns(train, "features1").join(train.select("userId", "label"), "userId")
+    return slots.drop("userId")
+
+
+@query
+def tree_splits(t: Tables) -> DataFrame:
+    """The best threshold of each feature, by the gain of the Gini impurity."""
+    gains = op.split_gains(_train_slots(t), FEATURES)
+    return _rounded(op.best_splits(gains), "gain")
+
+
+@query
+def tree_first_split(t: Tables) -> DataFrame:
+    gains = op.split_gains(_train_slots(t), FEATURES)
+    return _rounded(op.first_split(gains, FEATURES), "gain")
+
+
+def _rules(t: Tables) -> ModelStudy:
+    return model_study(t.facts(), models=op.rule_candidates())
+
+
+@query
+def rules_leaderboard(t: Tables) -> DataFrame:
+    """Eight rules of three kinds, tuned and ranked like any model; two of them are the same."""
+    board = _rules(t).leaderboard
+    best_first = Window.orderBy(F.desc("avg_f1"), "model", "grid_pos")
+    ranked = board.select("model", "grid_pos", "avg_f1", F.row_number().over(best_first).alias("place"))
+    return _rounded(ranked, "avg_f1")
+
+
+@query
+def rules_best_params(t: Tables) -> DataFrame:
+    return _rounded(_rules(t).best_params.select("model", "grid_pos", "avg_f1"), "avg_f1")
+
+
+@query
+def rules_choice(t: Tables) -> DataFrame:
+    """Validation scores of the best rule of each kind, the one chosen, and its score on test."""
+    study = _rules(t)
+    chosen = F.col("model") == study.chosen
+    table = study.validation_table().select(
+        "model",
+        "f1",
+        chosen.alias("chosen"),
+        F.when(chosen, F.lit(study.test_score)).alias("test_f1"),
+    )
+    return _rounded(table, "f1", "test_f1")
+
+
+# Facts and sketches that are kept up to date
+
+
+@query
+def facts_merged(t: Tables) -> DataFrame:
+    """Facts from states by day, of which some came late and some twice."""
+    path = scratch_path(t.spark, "states")
+    log = t.clean("registration", "status", "gender", "location")
+    number = F.unix_date(date_of("ts"))
+    late, again = number % 3 == 0, number % 5 == 0
+    first = log.where(~late & (~again | (F.col("sessionId") % 2 == 0)))
+    op.store_days(op.daily_states(first), path)
+    op.store_days(op.daily_states(log.where(late | again)), path)
+    return op.merged_facts(op.stored_states(t.spark, path))
+
+
+@query
+def sink_rerun(t: Tables) -> DataFrame:
+    """A log by day of which every second day was written twice, the first time in part."""
+    path = scratch_path(t.spark, "log-by-date")
+    dated = t.clean().withColumn("event_date", date_of("ts"))
+    even = F.unix_date("event_date") % 2 == 0
+    write_table(dated.where(~even | (F.col("page") == PLAY_PAGE)), path, partition_by="event_date")
+    write_table(dated.where(even), path, partition_by="event_date", mode="replace")
+    return t.spark.read.schema(dated.schema).parquet(path)
+
+
+@query
+def users_by_range_sketch(t: Tables) -> DataFrame:
+    """Distinct users of each month from sketches by day: exact, and whether the estimate is near."""
+    month = F.trunc("day", "month")
+    log = t.clean().select("userId", date_of("ts").alias("day")).where("day IS NOT NULL")
+    sketches = durable(op.user_sketches(log, F.col("day")))
+    estimated = op.users_by_range(sketches, month).withColumnRenamed("users", "estimate")
+    exact = log.groupBy(month.alias("period")).agg(F.countDistinct("userId").alias("users"))
+    error = F.abs(F.col("estimate") - F.col("users")) / F.col("users")
+    return exact.join(estimated, "period").select(
+        "period", "users", (error <= USERS_ERROR).alias("within_bound")
+    )
+
+
+@query
+def box_plays_sketch(t: Tables) -> DataFrame:
+    """Quartiles of plays from sketches by cohort and last day: whether their ranks are near."""
+    users = durable(t.players().select("churn_users", "song_nums", "latest_date"))
+    sketches = durable(op.value_sketches(users, "song_nums", F.col("latest_date")))
+    errors = op.rank_errors(
+        op.value_counts(users, "song_nums", "churn_users"), op.sketched_quantiles(sketches)
+    )
+    worst = F.greatest("e1", "e2", "e3")
+    return errors.select("churn_users", "n", (worst <= RANK_ERROR).alias("within_bound"))
+
+
+@query
+def tree_predictions_categories(t: Tables) -> DataFrame:
+    """Predictions of a tree that takes area and gender as categories, from unscaled features."""
+    prepared = t.prepared()
+    bins = max(32, prepared.features.max_bins)
+    (tree,) = op.candidates(["decision_tree"], tree_input="features1", max_bins=bins)
+    found = tree.estimator.fit(prepared.part("train")).transform(prepared.part("test"))
+    return found.select("userId", F.col("label").cast("double").alias("label"), "prediction")
+
+
+@query
+def distinct_users_approx(t: Tables) -> DataFrame:
+    """Whether the approximate number of users is within three of its standard errors."""
+    log = t.log("userId")
+    both = op.distinct_users(log).select(F.col("users").alias("exact"))
+    near = op.distinct_users(log, approx=True).select(F.col("users").alias("near"))
+    error = F.abs(near.select("near").scalar() - F.col("exact")) / F.col("exact")
+    return both.select(F.col("exact").alias("users"), (error <= 0.15).alias("within_bound"))

