@@ -15,7 +15,8 @@ passages of a shard are compiled into Aho-Corasick automata over its words, a bo
 words at a time, and all its documents are streamed through them to find every occurrence. Words
 inside an occurrence are removed.
 
-Hashes have 64 bits besides the bits that choose a block, which grow in number with the corpus.
+Hashes have 64 bits, and a window that only shares its hash with another one counts as recurring;
+at n windows about n^2 / 2^65 pairs do. The bits that choose a block are of the same hash.
 
 Defined results: null and empty texts, and those shorter than a window, lose nothing (null stays
 null in ``kept_text``, other texts are their words joined by a space); of repeated rows all lose
