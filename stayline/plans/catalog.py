@@ -783,7 +783,10 @@ def box_plays_sketch(t: Tables) -> DataFrame:
 
 @query
 def tree_predictions_categories(t: Tables) -> DataFrame:
-    """Predictions of a tree that takes area and gender as categories, from unscaled features."""
+    """Predictions of a tree that takes area and gender as categories, from unscaled features.
+
+    Spark asks for at least as many train users as there are areas.
+    """
     prepared = t.prepared()
     bins = max(32, prepared.features.max_bins)
     (tree,) = op.candidates(["decision_tree"], tree_input="features1", max_bins=bins)

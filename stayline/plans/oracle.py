@@ -275,7 +275,7 @@ def _rule_f1(model: str, rule: str, fitting: str, scored: str) -> str:
                   >= coalesce(avg(churn_users) FILTER (WHERE NOT ({rule})), 0)
               FROM vectors WHERE {fitting})"""
     guess = f"CASE WHEN ({rule}) = {'true' if model == 'constant' else up} THEN 1 ELSE 0 END"
-    return f"""(SELECT sum(support * 2 * tp / (support + predicted)) / sum(support) FROM (
+    return f"""(SELECT coalesce(sum(support * 2 * tp / (support + predicted)) / sum(support), 0) FROM (
         SELECT k, CAST(count(*) FILTER (WHERE churn_users = k) AS DOUBLE) AS support,
                CAST(count(*) FILTER (WHERE guess = k) AS DOUBLE) AS predicted,
                CAST(count(*) FILTER (WHERE churn_users = k AND guess = k) AS DOUBLE) AS tp
