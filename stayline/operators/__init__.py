@@ -39,6 +39,8 @@ from stayline.operators.features import (
     fit_features,
     incomplete_rows,
     label_index,
+    linear_scores,
+    load_features,
     vector_columns,
     vector_slots,
 )
@@ -110,6 +112,8 @@ __all__ = [
     "join_lookup",
     "keep_players",
     "label_index",
+    "linear_scores",
+    "load_features",
     "loss_slopes",
     "majority",
     "mark_churn",

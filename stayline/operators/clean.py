@@ -46,16 +46,22 @@ def drop_invalid(
 
 
 def quality_audit(
-    log: DataFrame, ids: Sequence[str] = IDS, blank_ids: Sequence[str] = BLANK_IDS
+    log: DataFrame,
+    ids: Sequence[str] = IDS,
+    blank_ids: Sequence[str] = BLANK_IDS,
+    by: Sequence[str] = (),
 ) -> DataFrame:
     """One row of counts: all rows, NULL and blank ids, rows kept and removed, in one pass.
 
+    ``by`` asks for a row for each value of these columns, such as the ``file`` of a log that was
+    read with ``keep_file``.
+
     ``n_corrupt`` are rows of malformed lines, of a log read with ``keep_corrupt``; they count as
     kept where their ids are whole, as :func:`drop_invalid` keeps them unless told otherwise.
     """
     no_null = _all([F.col(c).isNotNull() for c in ids])
     kept = _all([no_null, *[F.coalesce(F.col(c) != "", F.lit(False)) for c in blank_ids]])
-    return log.agg(
+    return log.groupBy(*by).agg(
         F.count("*").alias("n_rows"),
         *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in ids],
         *[F.count_if(F.col(c) == "").alias(f"blank_{c}") for c in blank_ids],

@@ -83,6 +83,7 @@ def user_facts(
     problem: Sequence[int] = PROBLEM_STATUS,
     trim_area: bool = False,
     keep: Sequence[str] = (),
+    spread: str | None = None,
 ) -> DataFrame:
     """One row per user of a cleaned log.
 
@@ -91,16 +92,21 @@ def user_facts(
     these live in a table of their own, pass it as ``profile`` (``userId``,
     ``gender``, ``location``, ``registration``): it is joined after the log is
     condensed, so no event row is shuffled for it. ``keep`` names attributes (``registration``,
-    ``location``) to stay beside the facts made of them.
+    ``location``) to stay beside the facts made of them. ``spread`` names a column by which, with
+    the user id, the log lies in buckets: it then is condensed where it lies.
     """
     measures = _measures(play_page, churn_page, normal, problem)
+    dealt = ["userId", spread] if spread else ["userId"]
     if profile is not None:
-        condensed = log.groupBy("userId").agg(*measures)
+        condensed = log.groupBy(*dealt).agg(*measures)
+        if spread:
+            sums = [F.sum(c).alias(c) for c in ACTIVITY_COLUMNS]
+            condensed = condensed.groupBy("userId").agg(F.max("latest").alias("latest"), *sums)
         users = condensed.join(
             profile.select("userId", "gender", "location", "registration"), "userId", "left"
         )
     else:
-        users = _with_attributes(log, measures)
+        users = _with_attributes(log, measures, dealt)
     facts = users.select(
         "userId",
         "gender",
@@ -114,14 +120,14 @@ def user_facts(
     return facts.select(*FACT_COLUMNS, *keep)
 
 
-def _with_attributes(log: DataFrame, measures: list[Column]) -> DataFrame:
+def _with_attributes(log: DataFrame, measures: list[Column], dealt: list[str]) -> DataFrame:
     """Measures and attributes of a log that repeats the attributes on each row.
 
     An aggregate that keeps text (the latest gender) has to sort its input, so
     the attributes are grouping keys of a first, hash-based step, and only its
     few rows per user reach the sorting one.
     """
-    parts = log.groupBy("userId", "gender", "location").agg(
+    parts = log.groupBy(*dealt, "gender", "location").agg(
         *measures, F.min("registration").alias("registration")
     )
 
@@ -282,13 +288,15 @@ def attach_facts(
     columns: Sequence[str],
     how: str = "inner",
     small: bool = False,
+    n_ids: int | None = None,
 ) -> DataFrame:
     """Log rows with facts of their user; starts no job.
 
     ``small`` says that the facts were stored and their size checked
-    (:func:`stayline.operators.skew.is_small`): they are broadcast then.
+    (:func:`stayline.operators.skew.is_small`): they are broadcast then. ``n_ids`` says that they
+    are facts of so many users only, see :func:`stayline.operators.skew.join_lookup`.
     """
-    return join_lookup(log, facts.select("userId", *columns), "userId", how, small)
+    return join_lookup(log, facts.select("userId", *columns), "userId", how, small, n_ids)
 
 
 def with_plays(
@@ -305,11 +313,18 @@ def with_plays(
 
 
 def rows_of_churned(
-    log: DataFrame, facts: DataFrame, churned: bool = True, small: bool = False
+    log: DataFrame,
+    facts: DataFrame,
+    churned: bool = True,
+    small: bool = False,
+    n_ids: int | None = None,
 ) -> DataFrame:
-    """Rows of churned users (semi join), or of all others (anti join)."""
+    """Rows of churned users (semi join), or of all others (anti join).
+
+    ``n_ids`` is the number of churned users, where their ids are not small: it sizes a filter.
+    """
     ids = facts.where(F.col("churn_users") == 1)
-    return attach_facts(log, ids, [], "left_semi" if churned else "left_anti", small)
+    return attach_facts(log, ids, [], "left_semi" if churned else "left_anti", small, n_ids)
 
 
 def enrich(

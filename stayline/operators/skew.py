@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from stayline.operators.prefilter import join_prefiltered
+
 BROADCAST_BYTES = 64 << 20
 NULL_SALTS = 256
 _FIXED_WIDTH = 16  # bytes a number or date takes in a row, with its share of the header
@@ -40,14 +42,21 @@ def join_lookup(
     key: str | Sequence[str],
     how: str = "inner",
     small: bool = False,
+    n_ids: int | None = None,
 ) -> DataFrame:
     """``rows`` joined with ``lookup``, which must have at most one row per key.
 
     ``small`` says that the size of ``lookup`` was checked (:func:`is_small`): it is broadcast.
+    ``n_ids`` says that it has only so many of the keys in ``rows``: a Bloom filter of them then
+    spares the shuffle of all other rows, if they are few enough for one.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if small:
         return rows.join(F.broadcast(lookup), keys, how)
+    if n_ids is not None and len(keys) == 1:
+        joined = join_prefiltered(rows, lookup, keys[0], how, n_ids)
+        if joined is not None:
+            return joined
     if how in ("inner", "left_semi"):
         return rows.join(lookup, keys, how)
     keyless = F.lit(False)

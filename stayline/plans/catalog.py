@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from stayline import operators as op
 from stayline.functions import (
@@ -21,7 +21,8 @@ from stayline.operators.sketches import RANK_ERROR, USERS_ERROR
 from stayline.operators.skew import BROADCAST_BYTES
 from stayline.plans.study import PLAYS_BINS, TENURE_BINS, ModelStudy, model_study, prepare_models
 from stayline.session import configure, durable, scratch_path, stored_bytes
-from stayline.sources import events, preview, read_events, star, write_table
+from stayline.sources import corrupt_lines, events, preview, read_events, star, write_table
+from stayline.sources.buckets import BucketedLog, bucket_count
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +32,8 @@ ROW = ["userId", "sessionId", "page", "ts"]
 DOWNGRADE_PAGE = "logout"
 ACTION_DAYS = 7
 SPOT_USER = 8
+# Fixed value: the first registration of later users.
+LATER = "2024-01-04"
 
 
 class Tables:
@@ -42,6 +45,7 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         input_bytes = stored_bytes(star.table(spark, sf_dir, "events"))
         self.spark, self.sf_dir = configure(spark, input_bytes=input_bytes), sf_dir
+        self.buckets = bucket_count(spark, input_bytes)
 
     def log(self, *columns: str) -> DataFrame:
         return star.event_log(self.spark, self.sf_dir, columns or None, self.broadcast_bytes)
@@ -116,6 +120,42 @@ def read_json_corrupt(t: Tables) -> DataFrame:
     return op.drop_invalid(log, drop_corrupt=True).select(*ROW, "status")
 
 
+def _three_files(t: Tables) -> str:
+    """A log as JSON in three parts, one folder each, with broken lines as in the audit below."""
+    path = scratch_path(t.spark, "broken-log")
+    rows = t.log("userId", "sessionId", "ts", "page")
+    line = F.to_json(F.struct(*rows.columns))
+    broken = F.regexp_replace(line, r'"ts":\d+', '"ts":"abc"')
+    value = F.when(F.col("sessionId") % 7 == 0, broken).otherwise(line).alias("value")
+    part = F.pmod(F.coalesce("sessionId", F.lit(0)), F.lit(3)).alias("part")
+    rows.select(value, part).write.partitionBy("part").text(path)
+    return path
+
+
+def _part() -> Column:
+    """The part whose folder a file of such a log lies in."""
+    return F.regexp_extract("file", r"part=(\d)", 1).cast("int").alias("part")
+
+
+@query
+def quality_audit_by_file(t: Tables) -> DataFrame:
+    """The audit of such a log, for each of its parts."""
+    log = read_events(t.spark, f"{_three_files(t)}/*", keep_corrupt=True, keep_file=True)
+    by_file = op.quality_audit(log, by=["file"])
+    sums = [F.sum(c).alias(c) for c in by_file.columns if c != "file"]
+    return by_file.groupBy(_part()).agg(*sums)
+
+
+@query
+def corrupt_lines_by_file(t: Tables) -> DataFrame:
+    """The broken lines of such a log by session, and how many different places they were found at."""
+    found = corrupt_lines(t.spark, f"{_three_files(t)}/*")
+    session = F.regexp_extract("record", r'"sessionId":(\d+)', 1).cast("long")
+    return found.groupBy(_part(), session.alias("sessionId")).agg(
+        F.count("*").alias("n_lines"), F.countDistinct("file", "line").alias("n_places")
+    )
+
+
 @query
 def quality_audit_corrupt(t: Tables) -> DataFrame:
     """The audit of such a log, with its corrupt lines counted."""
@@ -272,16 +312,55 @@ def log_with_plays_keep(t: Tables) -> DataFrame:
     return op.with_plays(t.clean(), users, zero_plays="keep", small=small)
 
 
+def _rows_of_churned(t: Tables, churned: bool) -> DataFrame:
+    users, small = t.stored(t.activity())
+    n_ids = None if small else users.where(F.col("churn_users") == 1).count()
+    return op.rows_of_churned(t.clean(), users, churned, small, n_ids)
+
+
 @query
 def churned_rows_semi(t: Tables) -> DataFrame:
-    users, small = t.stored(t.activity())
-    return op.rows_of_churned(t.clean(), users, small=small)
+    return _rows_of_churned(t, True)
 
 
 @query
 def retained_rows_anti(t: Tables) -> DataFrame:
-    users, small = t.stored(t.activity())
-    return op.rows_of_churned(t.clean(), users, churned=False, small=small)
+    return _rows_of_churned(t, False)
+
+
+def _player_rows(t: Tables, how: str) -> DataFrame:
+    """Log rows and the plays of churned players, by way of a filter of their ids."""
+    users = durable(t.activity().where("churn_users = 1 AND song_nums > 0"))
+    return op.attach_facts(t.clean(), users, ["song_nums"], how, n_ids=users.count())
+
+
+@query
+def plays_of_churned_filtered(t: Tables) -> DataFrame:
+    return _player_rows(t, "inner")
+
+
+@query
+def log_with_churned_plays_filtered(t: Tables) -> DataFrame:
+    return _player_rows(t, "left")
+
+
+# The log in buckets by user
+
+
+@query
+def facts_from_bucketed(t: Tables) -> DataFrame:
+    buckets = BucketedLog.store(t.clean("status"), t.buckets)
+    return op.user_facts(
+        buckets.log(), star.user_profile(t.spark, t.sf_dir), spread=buckets.SPREAD
+    )
+
+
+@query
+def log_with_tenure_bucketed(t: Tables) -> DataFrame:
+    buckets = BucketedLog.store(t.clean("status"), t.buckets)
+    profile = star.user_profile(t.spark, t.sf_dir)
+    facts = op.user_facts(buckets.log(), profile, spread=buckets.SPREAD)
+    return buckets.attach(facts.select("userId", "delta_time")).select(*ROW, "delta_time")
 
 
 # Aggregates and distinct
@@ -516,6 +595,34 @@ def scaled_features_events(t: Tables) -> DataFrame:
     return _rounded(scaled, *[c for c in scaled.columns if c != "userId"])
 
 
+@query
+def onehot_scaled(t: Tables) -> DataFrame:
+    """Scaled one-hot slots, with deviations that are joined from the index tables."""
+    users = durable(op.split_users(op.feature_table(t.facts())))
+    model = op.fit_features(users.where(F.col("part") == "train"), "onehot")
+    return _rounded(model.scaled_slots(users), "value")
+
+
+@query
+def onehot_scaled_vectors(t: Tables) -> DataFrame:
+    """The same from the vectors that models are given."""
+    slots = op.vector_slots(t.prepared(encode="onehot").table, "features")
+    return _rounded(slots.withColumn("slot", F.col("slot").cast("long")), "value")
+
+
+@query
+def scored_later_users(t: Tables) -> DataFrame:
+    """Users of a later time, scored with features learned from earlier ones, stored and loaded."""
+    path = scratch_path(t.spark, "features")
+    players = durable(t.players())
+    later = F.col("registration_date") >= F.lit(LATER).cast("date")
+    op.fit_features(op.feature_table(players.where(~later))).save(path)
+    features = op.load_features(t.spark, path).transform(op.feature_table(players.where(later)))
+    scored = op.linear_scores(features, SPOT_COEFFICIENTS, SPOT_INTERCEPT)
+    columns = ["userId", "area_feature", "gender_feature", "margin", "probability"]
+    return _rounded(scored.select(*columns), "margin", "probability")
+
+
 @query
 def onehot_features(t: Tables) -> DataFrame:
     return op.vector_slots(t.prepared(encode="onehot").table, "features1")

@@ -9,6 +9,7 @@ from stayline.operators.rules import PLAYS, TENURE
 from stayline.plans.catalog import (
     ACTION_DAYS,
     DOWNGRADE_PAGE,
+    LATER,
     SPOT_COEFFICIENTS,
     SPOT_INTERCEPT,
     SPOT_USER,
@@ -236,6 +237,55 @@ def _optimal(points: int) -> str:
         FROM vectors, ({grid}) WHERE part = 'train' GROUP BY grid_pos"""
 
 
+def _scaled_slots() -> str:
+    """One-hot slots over the deviations that the 0/1 columns and numbers have among train users."""
+    areas, genders = "(SELECT count(*) FROM areas)", "(SELECT count(*) FROM genders)"
+
+    def category(c: str, first: str) -> str:
+        return f"""
+            SELECT "userId", CAST({c} + {first} AS BIGINT) AS slot, 1 / nullif(d, 0) AS value
+            FROM vectors JOIN (SELECT k.{c}, stddev_samp(CASE WHEN t.{c} = k.{c} THEN 1.0::DOUBLE ELSE 0 END) AS d
+                               FROM (SELECT DISTINCT {c} FROM vectors) k,
+                                    (SELECT {c} FROM vectors WHERE part = 'train') t
+                               GROUP BY k.{c}) USING ({c})"""
+
+    def number(c: str, place: int) -> str:
+        return f"""
+            SELECT "userId", {areas} + {genders} + {place},
+                   {c} / nullif((SELECT stddev_samp({c}) FROM vectors WHERE part = 'train'), 0) FROM vectors"""
+
+    parts = [category("area_feature", "0"), category("gender_feature", f"{areas} + 1")]
+    parts += [number("song_nums", 2), number("delta_time", 3)]
+    return f"""SELECT "userId", CAST(slot AS BIGINT) AS slot, round(value, 6) AS value
+               FROM ({" UNION ALL ".join(parts)}) WHERE value <> 0"""
+
+
+def _later_scores() -> str:
+    """Scores of players who registered later, by indexes and deviations of the earlier ones."""
+
+    def index(c: str) -> str:
+        return f"""(SELECT {c}, row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS {c}_idx
+                    FROM earlier WHERE {c} IS NOT NULL GROUP BY {c})"""
+
+    def rows(table: str) -> str:
+        return f"""
+            SELECT p.*, CAST(coalesce(area_idx, (SELECT count(DISTINCT area) FROM earlier)) AS DOUBLE) AS area_feature,
+                   CAST(coalesce(gender_idx, (SELECT count(DISTINCT gender) FROM earlier)) AS DOUBLE) AS gender_feature
+            FROM {table} p LEFT JOIN {index("area")} USING (area) LEFT JOIN {index("gender")} USING (gender)"""
+
+    margin = " + ".join(
+        f"({b}) * coalesce({c} / nullif((SELECT stddev_samp({c}) FROM known), 0), 0)"
+        for b, c in zip(SPOT_COEFFICIENTS, FEATURES)
+    )
+    return f"""
+        SELECT "userId", area_feature, gender_feature, round(m, 6) AS margin,
+               round(1 / (1 + exp(-m)), 6) AS probability
+        FROM (WITH earlier AS (SELECT * FROM players WHERE registration_date < DATE '{LATER}'),
+                   later AS (SELECT * FROM players WHERE registration_date >= DATE '{LATER}'),
+                   known AS ({rows("earlier")})
+              SELECT *, {SPOT_INTERCEPT} + {margin} AS m FROM ({rows("later")}))"""
+
+
 def _splits(last: str) -> str:
     values = " UNION ALL ".join(
         f"SELECT '{c}' AS feature, {i} AS place, CAST({c} AS DOUBLE) AS v, churn_users AS y"
@@ -559,6 +609,39 @@ SQL = {
                     delta_time FROM vectors) WHERE value <> 0""",
         "vectors",
     ),
+    "onehot_scaled": _sql(_scaled_slots(), "vectors"),
+    "onehot_scaled_vectors": _sql(_scaled_slots(), "vectors"),
+    "scored_later_users": _sql(_later_scores(), "players"),
+    "plays_of_churned_filtered": _sql(
+        f'SELECT {ROW}, song_nums FROM clean JOIN players USING ("userId") WHERE churn_users = 1',
+        "players",
+    ),
+    "log_with_churned_plays_filtered": _sql(
+        f"""SELECT {ROW}, CASE WHEN churn_users = 1 THEN song_nums END AS song_nums
+            FROM clean LEFT JOIN players USING ("userId")""",
+        "players",
+    ),
+    "facts_from_bucketed": _sql("SELECT * FROM facts", "facts"),
+    "log_with_tenure_bucketed": _sql(
+        f'SELECT {ROW}, delta_time FROM clean JOIN facts USING ("userId")', "facts"
+    ),
+    "quality_audit_by_file": _sql(
+        """SELECT CAST(coalesce("sessionId", 0) % 3 AS INTEGER) AS part, count(*) AS n_rows,
+               count(*) FILTER (WHERE "userId" IS NULL) AS "null_userId",
+               count(*) FILTER (WHERE "sessionId" IS NULL) AS "null_sessionId",
+               count(*) FILTER (WHERE "userId" = '') AS "blank_userId",
+               count(*) FILTER (WHERE "sessionId" % 7 = 0) AS n_corrupt,
+               count(*) FILTER (WHERE "userId" IS NOT NULL AND "sessionId" IS NOT NULL) AS n_without_nulls,
+               count(*) FILTER (WHERE "sessionId" IS NOT NULL AND "userId" <> '') AS n_kept,
+               count(*) - count(*) FILTER (WHERE "sessionId" IS NOT NULL AND "userId" <> '') AS n_removed
+           FROM log GROUP BY 1""",
+        "log",
+    ),
+    "corrupt_lines_by_file": _sql(
+        """SELECT CAST("sessionId" % 3 AS INTEGER) AS part, "sessionId", count(*) AS n_lines,
+               count(*) AS n_places FROM log WHERE "sessionId" % 7 = 0 GROUP BY ALL""",
+        "log",
+    ),
     "incomplete_features": _sql(
         """SELECT count(*) AS n_rows,
                count(*) FILTER (WHERE song_nums IS NULL OR delta_time IS NULL) AS n_incomplete,

@@ -1,5 +1,6 @@
 from stayline.sources.events import (
     EVENT_SCHEMA,
+    corrupt_lines,
     map_columns,
     preview,
     read_events,
@@ -10,6 +11,7 @@ from stayline.sources.sinks import write_table
 
 __all__ = [
     "EVENT_SCHEMA",
+    "corrupt_lines",
     "map_columns",
     "preview",
     "read_events",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from stayline.operators.clean import CORRUPT
 
@@ -22,9 +22,9 @@ EVENT_SCHEMA = T.StructType(
     ]
 )
 
-
-
 LOG = "log"
+FILE = "file"
+FILE_PATH = "_metadata.file_path"
 
 
 def read_events(
@@ -34,6 +34,7 @@ def read_events(
     schema: T.StructType | str | None = LOG,
     mapping: Mapping[str, str] | None = None,
     keep_corrupt: bool = False,
+    keep_file: bool = False,
 ) -> DataFrame:
     """Scan a log of user actions.
 
@@ -45,7 +46,8 @@ def read_events(
     A malformed JSON line becomes a row with NULLs in what couldn't be read: all of it, or just one
     ill-typed field. ``keep_corrupt`` adds the line as ``_corrupt_record``, by which
     :func:`stayline.operators.quality_audit` counts such rows and
-    :func:`stayline.operators.drop_invalid` can remove them.
+    :func:`stayline.operators.drop_invalid` can remove them; :func:`corrupt_lines` tells where they
+    are. ``keep_file`` adds the path of the file a row comes from as ``file``.
     """
     reader = spark.read
     if isinstance(schema, str) and schema == LOG:
@@ -55,7 +57,7 @@ def read_events(
     if isinstance(schema, str):
         schema = T.StructType.fromDDL(schema)
     if fmt == "json" and keep_corrupt and schema is not None:
-        log = _with_corrupt_lines(reader.text(path), schema)
+        log = _with_corrupt_lines(reader.text(path), schema, keep_file)
     else:
         reader = reader if schema is None else reader.schema(schema)
         if fmt == "json":
@@ -63,19 +65,53 @@ def read_events(
             if keep_corrupt:
                 reader = reader.option("columnNameOfCorruptRecord", CORRUPT)
         log = reader.format(fmt).load(path)
+        if keep_file:
+            log = log.select("*", F.col(FILE_PATH).alias(FILE))
     if not mapping:
         return log
     kept = [CORRUPT] if keep_corrupt and CORRUPT in log.columns else []
+    kept += [FILE] if keep_file else []
     return map_columns(log, mapping, kept)
 
 
-def _with_corrupt_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
+def _parsed(schema: T.StructType) -> Column:
+    """A line of text as a row, with the line itself where it is malformed."""
+    whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return F.from_json("value", whole, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+
+
+def _with_corrupt_lines(lines: DataFrame, schema: T.StructType, keep_file: bool) -> DataFrame:
     """Lines parsed whole: a JSON scan would skip columns that a query doesn't need, and with them
     what is wrong in them."""
-    whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    file = [F.col(FILE_PATH).alias(FILE)] if keep_file else []
     filled = lines.where(F.trim("value") != "")
-    return filled.select(F.from_json("value", whole, options).alias("row")).select("row.*")
+    return filled.select(_parsed(schema).alias("row"), *file).select("row.*", *[FILE] * keep_file)
+
+
+def corrupt_lines(
+    spark: SparkSession, path: str | list[str], schema: T.StructType = EVENT_SCHEMA
+) -> DataFrame:
+    """(file, line, record) of every malformed line of JSON logs; lines are counted from 1.
+
+    A file is read in blocks by several tasks. A first pass counts the lines of each block, from
+    which follow the lines before it; a second one parses, and adds the place in the block. Rows
+    are numbered as they are scanned, and both passes cut the files into the same blocks. Blank
+    lines count as lines, but are no malformed ones.
+    """
+    lines = spark.read.text(path).select(
+        F.col(FILE_PATH).alias(FILE),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+        "value",
+    )
+    blocks = lines.groupBy(FILE, "block").agg(F.min("place").alias("first"), F.count("*").alias("n"))
+    earlier = Window.partitionBy(FILE).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0)) - F.col("first") + 1
+    offsets = blocks.select(FILE, "block", before.alias("offset"))
+    parsed = lines.withColumn("record", _parsed(schema)[CORRUPT])
+    corrupt = parsed.where(F.col("record").isNotNull() & (F.trim("value") != ""))
+    line = (F.col("place") + F.col("offset")).alias("line")
+    return corrupt.join(offsets, [FILE, "block"]).select(FILE, line, "record")
 
 
 def map_columns(

@@ -10,6 +10,7 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
 from stayline import operators as op
+from stayline.operators import features
 from stayline.operators.models import Candidate, candidates
 from stayline.plans.study import cohort_tables, model_study, prepare_models
 from stayline.session import durable, shared_dir, workspace
@@ -109,6 +110,69 @@ def test_event_grain_is_training_on_repeated_rows(users, name):
     assert both[0] == both[1]
 
 
+def test_scaled_slots_are_scaled_vectors(users):
+    """Slots scaled by joined deviations, vectors, and a pipeline on repeated rows agree."""
+    uneven = users.withColumn("weight", F.expr("CAST(1 + userId % 5 * (userId % 3) AS BIGINT)"))
+    repeated = uneven.withColumn("copy", F.explode(F.expr("sequence(1, int(weight))")))
+    model = op.fit_features(uneven, "onehot", "weight")
+    vectors = op.vector_slots(model.transform(users), "features")
+    slots = {(r.userId, r.slot): r.value for r in model.scaled_slots(users).collect()}
+    assert slots == pytest.approx({(r.userId, r.slot): r.value for r in vectors.collect()})
+    once = op.fit_features(repeated, "onehot")
+    assert slots == pytest.approx({(r.userId, r.slot): r.value for r in once.scaled_slots(users).collect()})
+    table = repeated.select("area", "gender", "song_nums").toPandas()
+    of_user_4 = [v for (u, s), v in sorted(slots.items()) if u == "4"]
+    deviations = [(table["area"] == " S4").std(), (table["gender"] == "M").std()]
+    assert of_user_4[:2] == pytest.approx([1 / d for d in deviations])
+
+
+def test_scaled_slots_of_many_labels(spark):
+    """120,000 areas: what the driver holds of the model does not grow with them."""
+    n = 120_000
+    rows = spark.range(n + 1000).selectExpr(
+        "CAST(id AS STRING) AS userId", f"concat('a', id % {n}) AS area", "'F' AS gender",
+        "id % 7 AS song_nums", "id % 5 AS delta_time",
+    )
+    rows = durable(rows)
+    model = op.fit_features(rows, "onehot")
+    assert model.scale is None and len(model.scales) == 4
+    slots = model.scaled_slots(rows)
+    assert slots.agg(F.max("slot")).first()[0] == n + 1 + 1 + 2
+    total = n + 1000
+    scale = {k: ((k - k * k / total) / (total - 1)) ** -0.5 for k in (1, 2)}
+    counts = slots.where(f"slot < {n}").groupBy(F.round("value", 6).alias("v")).count().collect()
+    assert {r.v: r["count"] for r in counts} == {
+        round(scale[1], 6): n - 1000, round(scale[2], 6): 2000
+    }
+
+
+@pytest.mark.parametrize("encode", ["index", "onehot"])
+def test_stored_features_score_later_users(spark, users, tmp_path, encode):
+    path = str(tmp_path / encode)
+    model = op.fit_features(users, encode)
+    model.save(path)
+    loaded = op.load_features(spark, path)
+    later = spark.createDataFrame(
+        [("x", "M", " S1", 1, 2, 0, 1), ("y", None, " Unseen", 3, 0, 1, 1)], users.schema
+    )
+    for df in (users, later):
+        a, b = (m.transform(df).select("userId", "features1", "features").orderBy("userId") for m in (model, loaded))
+        assert a.collect() == b.collect()
+    slots = 11 + 1 + 2 + 1 + 2 if encode == "onehot" else 4
+    scored = op.linear_scores(loaded.transform(later), [0.0] * (slots - 2) + [1.0, 0.0], -1.0)
+    margins = {r.userId: (r.margin, r.probability) for r in scored.collect()}
+    for user, features in ((r.userId, r.features) for r in scored.collect()):
+        m = features[slots - 2] - 1.0
+        assert margins[user] == pytest.approx((m, 1 / (1 + math.exp(-m))))
+
+
+def test_stored_features_must_be_todays(spark, users, tmp_path, monkeypatch):
+    op.fit_features(users).save(str(tmp_path / "m"))
+    monkeypatch.setattr(features, "FEATURES", ("area_feature",))
+    with pytest.raises(ValueError, match="delta_time"):
+        op.load_features(spark, str(tmp_path / "m"))
+
+
 def test_categorical_tree(users):
     """The tree takes the unscaled vector with one bin for each label and one for unseen ones."""
     prepared = op.prepare(users)

@@ -55,7 +55,7 @@ def test_same_rows(spark, con, name):
 LARGE = (
     "event_log", "read_json_roundtrip", "schema_report", "latest_time", "log_with_tenure",
     "log_with_plays", "log_with_plays_keep", "churned_rows_semi", "retained_rows_anti",
-    "enriched_log", "feature_table_events", "churn_running",
+    "enriched_log", "feature_table_events", "churn_running", "log_with_tenure_bucketed",
 )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stayline import operators as op
 from stayline.plans.catalog import QUERIES, Tables
+from stayline.session import durable
 from stayline.sources import read_events, write_table
 from tests.conftest import SF
 
@@ -106,6 +107,45 @@ def test_users_without_a_marker_pass_no_exchange(parquet_log):
     assert "Exchange hashpartitioning" not in first and "Sort" not in first
 
 
+@pytest.mark.parametrize("how", ["inner", "left_semi", "left", "left_anti"])
+def test_rows_of_other_users_pass_no_exchange(spark, parquet_log, how):
+    """Beyond the broadcast limit a filter of the ids stands between the scan and the shuffle."""
+    clean = op.drop_invalid(parquet_log)
+    ids = durable(op.user_activity(clean).where("churn_users = 1").select("userId", "song_nums"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(op.join_lookup(clean, ids, "userId", how, n_ids=ids.count()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # every exchange above a scan of whole log rows has the filter's test below it
+    for above in re.split(r"Exchange hashpartitioning\(userId", text)[1:]:
+        below = above[: above.index("FileScan")]
+        if "sessionId" in below:
+            assert "BroadcastHashJoin [_word" in below and "Filter " in below
+    if how in ("left", "left_anti"):
+        far = text[text.index("Union") :]
+        assert far.count("FileScan") >= 2
+
+
+def test_bucketed_log_is_not_shuffled(spark, parquet_log):
+    from stayline.sources.buckets import BucketedLog
+
+    clean = op.drop_invalid(parquet_log)
+    buckets = BucketedLog.store(clean, 8)
+    text = plan(op.user_facts(buckets.log(), spread=buckets.SPREAD))
+    scan = text[text.rindex("Exchange hashpartitioning") :]
+    assert text.count("FileScan") == 1 and "Bucketed: true" in text
+    assert scan.count("HashAggregate") >= 2  # combined and merged below the only exchange of states
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = buckets.attach(op.user_activity(clean).select("userId", "song_nums"))
+        text = plan(joined)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in text and "Exchange" not in text
+    buckets.drop()
+
+
 def test_log_with_user_columns_scans_the_events_twice(spark, monkeypatch):
     """Once as the log and once for the signups, however the users are joined."""
     from stayline.sources import star

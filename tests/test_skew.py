@@ -6,7 +6,9 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from stayline import operators as op
+from stayline.operators.prefilter import MAX_WORDS, filter_words, marked_rows
 from stayline.operators.skew import is_small, join_lookup
+from stayline.sources.buckets import BucketedLog
 
 
 @pytest.fixture(scope="module")
@@ -68,6 +70,61 @@ def test_rows_without_a_key_are_spread(spark):
     assert len(sizes) > 1
 
 
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_prefiltered_join_is_a_join(spark, skewed, how):
+    rows = skewed.unionByName(
+        spark.createDataFrame([(None, k % 2, "Home", 5, 200) for k in range(9)], skewed.schema)
+    )
+    lookup = op.user_activity(skewed).where("userId % 5 = 1").select("userId", "song_nums")
+    nobody = spark.createDataFrame([(None, 7)], lookup.schema)
+    for ids in (lookup, lookup.limit(0), lookup.unionByName(nobody)):
+        got = join_lookup(rows, ids, "userId", how, n_ids=10)
+        assert bag(got) == bag(rows.join(ids, "userId", how))
+
+
+def test_filter_lets_all_ids_and_few_others_pass(spark):
+    ids = spark.range(20_000).selectExpr("CAST(id AS STRING) AS userId")
+    rows = spark.range(100_000).selectExpr("CAST(id AS STRING) AS userId", "id")
+    marked = marked_rows(rows, ids, "userId", filter_words(20_000))
+    passed = marked.where("_may_match")
+    assert passed.where("id < 20000").count() == 20_000
+    assert passed.where("id >= 20000").count() < 0.05 * 80_000
+
+
+def test_filter_is_sized_by_the_ids(spark, skewed):
+    assert filter_words(0) == 1 and filter_words(4_000) == 1_000
+    assert filter_words(10**7) == MAX_WORDS and filter_words(10**9) == 0
+    users = op.user_activity(skewed).select("userId", "song_nums")
+    assert bag(join_lookup(skewed, users, "userId", n_ids=10**9)) == bag(skewed.join(users, "userId"))
+
+
+def test_buckets_split_heavy_users(spark, skewed):
+    """No bucket holds the third of the rows that one user has, and results are as without buckets."""
+    keyless = spark.createDataFrame([(None, k, "Home", k, 200) for k in range(900)], skewed.schema)
+    rows = skewed.unionByName(keyless)
+    buckets = BucketedLog.store(rows, 16)
+    dealt = buckets.log()
+    assert bag(dealt.drop(buckets.SPREAD)) == bag(rows)
+    sizes = [r["count"] for r in dealt.groupBy(F.input_file_name()).count().collect()]
+    assert max(sizes) < rows.count() / 6
+    assert {"1", None} <= {r._user for r in buckets.heavy.collect()}
+    users = op.user_activity(skewed).select("userId", "song_nums")
+    assert bag(buckets.attach(users)) == bag(rows.join(users, "userId"))
+    profile = spark.createDataFrame(
+        [("1", "F", "Lodi, CA", 5)], "userId string, gender string, location string, registration long"
+    )
+    found = op.user_facts(dealt, profile, spread=buckets.SPREAD)
+    assert bag(found) == bag(op.user_facts(rows, profile))
+    buckets.drop()
+
+
+def test_buckets_of_an_empty_log(skewed):
+    buckets = BucketedLog.store(skewed.limit(0), 4)
+    assert buckets.log().count() == 0
+    assert buckets.attach(op.user_activity(skewed).select("userId", "song_nums")).count() == 0
+    buckets.drop()
+
+
 def test_size_is_in_bytes(spark):
     texts = spark.range(100).select(F.repeat(F.lit("x"), 1000).alias("text"))
     assert is_small(texts, 200_000) and not is_small(texts, 90_000)

@@ -5,6 +5,7 @@ from stayline import operators as op
 from stayline.session import durable, shared_dir
 from stayline.sources import (
     EVENT_SCHEMA,
+    corrupt_lines,
     map_columns,
     preview,
     read_events,
@@ -46,6 +47,44 @@ def test_malformed_lines(spark, tmp_path):
     assert op.drop_invalid(kept, drop_corrupt=True).select("ts").collect() == [(3,)]
 
 
+def test_corrupt_lines_are_found(spark, tmp_path):
+    """File and line of each, whatever blocks the files are cut into; blank lines count as lines."""
+    want = set()
+    for k in range(3):
+        lines = []
+        for i in range(1, 400):
+            if i % (37 + k) == 0:
+                lines.append(f'{{"userId": "{k}-{i}')
+                want.add((f"log-{k}.json", i, lines[-1]))
+            else:
+                lines.append("" if i % 50 == 3 else f'{{"userId": "{i}", "sessionId": 1, "ts": {i}}}')
+        (tmp_path / f"log-{k}.json").write_text("\n".join(lines) + "\n")
+    (tmp_path / "log-empty.json").write_text("")
+    for size in ("128m", "2k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "0")
+        try:
+            rows = corrupt_lines(spark, str(tmp_path)).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert len(rows) == len(want)
+        assert {(r.file.rsplit("/", 1)[1], r.line, r.record) for r in rows} == want
+    log = read_events(spark, str(tmp_path), keep_corrupt=True, keep_file=True)
+    audit = op.quality_audit(log, by=["file"]).collect()
+    assert {r.file.rsplit("/", 1)[1]: r.n_corrupt for r in audit} == {
+        f"log-{k}.json": sum(f == f"log-{k}.json" for f, _, _ in want) for k in range(3)
+    }
+
+
+def test_file_of_each_row(spark, raw, tmp_path):
+    for fmt in ("json", "parquet"):
+        write_table(raw, str(tmp_path / fmt), fmt)
+        log = read_events(spark, str(tmp_path / fmt), fmt, keep_file=True)
+        assert log.columns == [*EVENT_SCHEMA.fieldNames(), "file"]
+        assert log.where(F.col("file").contains(f"/{fmt}/")).count() == raw.count()
+
+
 def test_mapped_json_needs_a_schema_and_keeps_it(spark, raw, tmp_path):
     path = str(tmp_path / "json")
     write_table(raw.withColumnRenamed("userId", "uid"), path, "json")
