@@ -62,7 +62,7 @@ from stayline.operators.models import (
     select_model,
     tune,
 )
-from stayline.operators.phases import churn_phase
+from stayline.operators.phases import churn_phase, filter_bits_for, marked_users
 from stayline.operators.prefix import running_sums
 from stayline.operators.rules import rule_candidates
 from stayline.operators.sketches import (
@@ -104,6 +104,7 @@ __all__ = [
     "events_per_user",
     "events_where",
     "feature_table",
+    "filter_bits_for",
     "first_split",
     "fit_features",
     "histogram",
@@ -117,6 +118,7 @@ __all__ = [
     "loss_slopes",
     "majority",
     "mark_churn",
+    "marked_users",
     "merged_facts",
     "normal_visit_ratio",
     "optimality",

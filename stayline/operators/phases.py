@@ -9,8 +9,22 @@ from stayline.operators.facts import mark_churn
 
 HOUR = 3_600_000
 BEFORE_ALL = -(2**63)
-# A bit for each hash of a user id: words of 64 bits, so at most 2**19 rows are broadcast.
-FILTER_BITS = 1 << 25
+# A bit for each hash of a user id: words of 64 bits, so at most 2**20 rows are broadcast.
+FILTER_BITS, MAX_FILTER_BITS = 1 << 25, 1 << 26
+BITS_PER_USER, LEAST_BITS_PER_USER = 16, 2
+
+
+def filter_bits_for(users: int) -> int:
+    """Bits for a number of users with a marker; 0 where most bits would be set by them."""
+    if users * LEAST_BITS_PER_USER > MAX_FILTER_BITS:
+        return 0
+    return min(MAX_FILTER_BITS, max(64, 1 << (users * BITS_PER_USER).bit_length()))
+
+
+def marked_users(log: DataFrame, churn_page: str = CHURN_PAGE) -> int:
+    """About how many users have a marker, from one pass over the rows of that page."""
+    marks = log.where(F.col("page") == churn_page)
+    return marks.agg(F.approx_count_distinct("userId")).first()[0]
 
 
 def churn_phase(
@@ -21,8 +35,13 @@ def churn_phase(
     Above 0 up to the marker, 0 after the last one. Rows of users without a marker are 0 and stay
     where they are; a bitmap of fixed size, filled with the hashes of users that have a marker,
     tells them. Only the others (and the few that share a hash with them) are counted.
+
+    ``filter_bits`` sizes the bitmap, see :func:`filter_bits_for`; 0 does without one, where nearly
+    all users have a marker or too many do.
     """
     marked = mark_churn(log, churn_page)
+    if not filter_bits:
+        return _counted(marked)
     bit = F.pmod(F.xxhash64("userId"), F.lit(filter_bits))
     place = {"_word": F.floor(bit / 64).cast("long"), "_bit": (bit % 64).cast("int")}
     bits = (

@@ -41,6 +41,8 @@ class Tables:
 
     #: Tables that may be broadcast after a check of their size.
     broadcast_bytes = BROADCAST_BYTES
+    #: Bits of the filter of so many users.
+    filter_bits = staticmethod(op.filter_bits_for)
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         input_bytes = stored_bytes(star.table(spark, sf_dir, "events"))
@@ -545,7 +547,8 @@ def box_plays_by_gender(t: Tables) -> DataFrame:
 
 @query
 def churn_running(t: Tables) -> DataFrame:
-    return op.churn_phase(t.clean())
+    log = t.clean()
+    return op.churn_phase(log, filter_bits=t.filter_bits(op.marked_users(log)))
 
 
 # Features

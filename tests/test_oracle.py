@@ -5,7 +5,6 @@ import os
 import pytest
 
 import __spark_entry__ as entry_point
-from stayline.operators import phases
 from stayline.plans.catalog import QUERIES, Tables
 from stayline.plans.oracle import SQL
 from tests.compare import duck, duck_rows, spark_rows
@@ -63,7 +62,7 @@ LARGE = (
 def test_same_rows_without_a_broadcast(spark, con, monkeypatch, name):
     """Tables too large to be sent take shuffle joins, and few bits make users share them."""
     monkeypatch.setattr(Tables, "broadcast_bytes", 0)
-    monkeypatch.setattr(phases.churn_phase, "__defaults__", (phases.CHURN_PAGE, 64))
+    monkeypatch.setattr(Tables, "filter_bits", lambda self, users: 64)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:

@@ -118,6 +118,13 @@ def test_buckets_split_heavy_users(spark, skewed):
     buckets.drop()
 
 
+def test_bitmap_is_sized_by_the_markers(skewed):
+    assert op.filter_bits_for(0) == 64 and op.filter_bits_for(10**6) == 1 << 24
+    assert op.filter_bits_for(2 * 10**7) == 1 << 26 and op.filter_bits_for(10**9) == 0
+    exact = skewed.where("page = 'Cancellation Confirmation'").select("userId").distinct().count()
+    assert abs(op.marked_users(skewed) - exact) <= 0.15 * exact
+
+
 def test_buckets_of_an_empty_log(skewed):
     buckets = BucketedLog.store(skewed.limit(0), 4)
     assert buckets.log().count() == 0
@@ -131,7 +138,7 @@ def test_size_is_in_bytes(spark):
     assert is_small(texts.limit(0), 0)
 
 
-@pytest.mark.parametrize("bits", [64, 1 << 25])
+@pytest.mark.parametrize("bits", [0, 64, 1 << 25])
 def test_running_churn(spark, skewed, bits):
     """Few bits make users share one; users without an id, and events without a time, count too."""
     log = skewed.where("userId <> '2' OR page <> 'Cancellation Confirmation'")
