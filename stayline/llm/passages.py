@@ -1,22 +1,27 @@
 """Substring deduplication: every occurrence of a passage that recurs anywhere in the corpus.
 
 A window is ``width`` consecutive words of one document. Documents are dealt into shards of
-bounded size, and what a shard knows of the others comes from two exchanges of hashes:
+bounded size. Two exchanges of hashes choose candidates, a third one confirms passages word by
+word, and automata of confirmed passages find where they occur:
 
 1. Equal windows have equal minimizers, the least hash of their runs of ``GRAM`` words. Each
    shard sends its distinct minimizers, about one for 14 words, and learns which of them other
    shards have as well.
-2. Of windows with such a minimizer, each shard sends the distinct hashes, and learns which
-   windows are confirmed to recur elsewhere. Windows that recur inside the shard it knows itself.
-
-A hash travels once for each shard that has it, in blocks of binary, so a passage in a third of
-all documents is no heavier than any other. Consecutive recurring windows make up passages; the
-passages of a shard are compiled into Aho-Corasick automata over its words, a bounded number of
-words at a time, and all its documents are streamed through them to find every occurrence. Words
-inside an occurrence are removed.
-
-Hashes have 64 bits, and a window that only shares its hash with another one counts as recurring;
-at n windows about n^2 / 2^65 pairs do. The bits that choose a block are of the same hash.
+2. Of windows with such a minimizer, each shard sends the distinct hashes, and learns which other
+   shards have, too. These, and those it has twice itself, are its candidates.
+3. Neighbouring candidates with the same minimizer make up a piece of text. A shard sends each
+   different piece (twice, if it has it more than once) to the one owner of that minimizer, which
+   compares all windows of its pieces word by word. Runs of windows that occur twice are
+   confirmed passages, and go back to the shards that sent them.
+4. Each shard compiles the passages it is sent into Aho-Corasick automata, a bounded number of
+   words at a time, and streams all its documents through them. Words inside an occurrence are
+   removed. What a shard thought to be candidates has no say in this.
+
+Every window of a recurring passage is in one piece, and equal windows have the same owner, so
+none is missed; no hash decides, so none is removed wrongly. A hash or piece travels once for each
+shard that has it, so a passage in a third of all documents is no heavier than any other. Where
+more than ``BUSY`` shards have a minimizer, as of a common phrase, windows go to owners by their
+own hash, so the texts around a phrase are spread. A piece has at most ``LONGEST`` windows.
 
 Defined results: null and empty texts, and those shorter than a window, lose nothing (null stays
 null in ``kept_text``, other texts are their words joined by a space); of repeated rows all lose
@@ -26,7 +31,8 @@ kept whatever their names; new columns replace old ones of the same name.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterable
 
 import ahocorasick
 import numpy as np
@@ -44,12 +50,16 @@ from stayline.llm.words import (
     window_hashes,
     words_of,
 )
+from stayline.session import durable
 
 WINDOW = 35
 GRAM = 8
 SHARD_BYTES = 8 << 20  # of text that is looked at together
 PARTITION_BYTES = 128 << 20  # of text in a task: its shards come one after the other
-AUTOMATON_WORDS = 400_000
+AUTOMATON_WORDS = 200_000
+BASE = 64  # characters that spell a word, in each place
+BUSY = 1024  # shards with the same minimizer
+LONGEST = 256  # windows of a piece
 
 
 def sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -82,14 +92,69 @@ class Shard:
         return window_hashes(self.hashes, self.width)[self.inside]
 
     def recurring(self, elsewhere: np.ndarray) -> np.ndarray:
-        """First words of windows that another shard has, or that this one has twice."""
+        """Which windows another shard has, or this one has twice, as far as hashes tell."""
         own = self.windows()
         order = np.argsort(own, kind="stable")
         twice = own[order[1:]] == own[order[:-1]]
         found = _among(own, elsewhere)
         found[order[1:][twice]] = True
         found[order[:-1][twice]] = True
-        return self.inside[found]
+        return found
+
+    def repeated(self) -> np.ndarray:
+        """Which windows occur twice, word by word."""
+        own, codes = self.windows(), self.words.codes
+        order = np.argsort(own, kind="stable")
+        new = np.append(True, own[order[1:]] != own[order[:-1]])[: len(own)]
+        group = np.cumsum(new) - 1
+        at = self.inside[order]
+        first = at[new][group]
+        same = np.ones(len(at), bool)
+        for k in range(self.width):
+            same &= codes[at + k] == codes[first + k]
+        twice = same & (np.bincount(group, same)[group] >= 2) if len(at) else same
+        others = defaultdict(list)  # that only share the hash with the first of their group
+        for k in np.flatnonzero(~same).tolist():
+            others[codes[at[k] : at[k] + self.width].tobytes()].append(k)
+        for places in others.values():
+            twice[places] = len(places) >= 2
+        found = np.zeros(len(at), bool)
+        found[order[twice]] = True
+        return found
+
+    def runs(self, chosen: np.ndarray, keys: np.ndarray | None = None, longest: int = 0):
+        """First word and end of each run of neighbouring chosen windows with the same key."""
+        starts = self.inside[chosen]
+        if not len(starts):
+            return starts, starts
+        cut = np.diff(starts) != 1
+        cut |= np.diff(self.words.doc_of()[starts]) != 0
+        if keys is not None:
+            cut |= keys[chosen][1:] != keys[chosen][:-1]
+        first = np.append(0, np.flatnonzero(cut) + 1)
+        if longest:
+            place = np.arange(len(starts)) - np.repeat(first, np.diff(np.append(first, len(starts))))
+            first = np.flatnonzero(place % longest == 0)
+        last = np.append(first[1:] - 1, len(starts) - 1)
+        return starts[first], starts[last] + self.width
+
+    def joined(self) -> tuple[np.ndarray, np.ndarray]:
+        """All words with a blank after each, and where each begins."""
+        lengths = self.words.ends - self.words.starts
+        at = np.concatenate([[0], np.cumsum(lengths + 1)])
+        out = np.full(at[-1], ord(" "), np.uint8)
+        out[_spans(at[:-1], at[:-1] + lengths, len(out))] = self.words.data[
+            _spans(self.words.starts, self.words.ends, len(self.words.data))
+        ]
+        return out, at
+
+
+def _spans(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
+    """Which of ``n`` places lie in a span; spans do not overlap, but may touch."""
+    edge = np.zeros(n + 1, np.int8)
+    edge[starts] += 1
+    edge[ends] -= 1
+    return np.cumsum(edge[:-1], dtype=np.int8) > 0
 
 
 def _among(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
@@ -99,15 +164,21 @@ def _among(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[np.minimum(np.searchsorted(ordered, x), len(ordered) - 1)] == x
 
 
-def _hashes_of(table: pa.Table) -> np.ndarray:
-    blocks = [np.frombuffer(b.as_buffer(), np.uint64) for c in table["hashes"].chunks for b in c]
+def _hashes_of(table: pa.Table, column: str = "hashes") -> np.ndarray:
+    blocks = [
+        np.frombuffer(b.as_buffer(), np.uint64) for c in table[column].chunks for b in c if b.is_valid
+    ]
     return np.sort(np.concatenate([np.zeros(0, np.uint64), *blocks]))
 
 
+def _block_of(hashes: np.ndarray, n_blocks: int) -> np.ndarray:
+    return (mixed(hashes ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(n_blocks)).astype(np.int64)
+
+
 def _blocks(shard: int, hashes: np.ndarray, n_blocks: int) -> pa.Table:
     """Distinct hashes of a shard, a row for each block."""
     hashes = np.unique(hashes)
-    block = (mixed(hashes ^ np.uint64(0x5851F42D4C957F2D)) % np.uint64(n_blocks)).astype(np.int64)
+    block = _block_of(hashes, n_blocks)
     order = np.argsort(block, kind="stable")
     names, first = np.unique(block[order], return_index=True)
     parts = np.split(hashes[order], first[1:]) if len(names) else []
@@ -121,80 +192,129 @@ def _blocks(shard: int, hashes: np.ndarray, n_blocks: int) -> pa.Table:
 
 
 def _shared(table: pa.Table) -> pa.Table:
-    """Of one block of hashes: for each shard, those that another shard has too."""
-    all_hashes = _hashes_of(table)
-    common = np.unique(all_hashes[1:][all_hashes[1:] == all_hashes[:-1]])
-    shards, out = [], []
+    """Of one block of hashes: for each shard, those that another has too, and that many have."""
+    distinct, n = np.unique(_hashes_of(table), return_counts=True)
+    common, busy = distinct[n > 1], distinct[n > BUSY]
+    shards, out, out_busy = [], [], []
     for shard, raw in zip(table["shard"].to_pylist(), table["hashes"].to_pylist(), strict=True):
         own = np.frombuffer(raw, np.uint64)
         own = own[_among(own, common)]
         if len(own):
             shards.append(shard)
             out.append(own.tobytes())
-    return pa.table({"shard": pa.array(shards, pa.int64()), "hashes": pa.array(out, pa.binary())})
+            out_busy.append(own[_among(own, busy)].tobytes())
+    return pa.table(
+        {
+            "shard": pa.array(shards, pa.int64()),
+            "hashes": pa.array(out, pa.binary()),
+            "busy": pa.array(out_busy, pa.binary()),
+        }
+    )
 
 
 def shared_hashes(sent: DataFrame) -> DataFrame:
-    return sent.groupBy("block").applyInArrow(_shared, "shard long, hashes binary")
+    return sent.groupBy("block").applyInArrow(_shared, "shard long, hashes binary, busy binary")
 
 
-def passages(words: Words, starts: np.ndarray, width: int) -> list[np.ndarray]:
-    """Distinct runs of recurring windows, as codes of their words."""
-    if not len(starts):
-        return []
-    doc = words.doc_of()[starts]
-    cut = np.flatnonzero((np.diff(starts) != 1) | (np.diff(doc) != 0)) + 1
-    first, last = starts[np.append(0, cut)], starts[np.append(cut - 1, len(starts) - 1)]
-    found = {}
-    for a, b in zip(first.tolist(), (last + width).tolist(), strict=True):
-        run = words.codes[a:b]
-        found.setdefault(run.tobytes(), run)
-    return list(found.values())
-
-
-def _as_text(codes: np.ndarray) -> str:
-    """A character for each word; surrogates are left out."""
-    return (codes + 1 + 0x800 * (codes + 1 >= 0xD800)).astype("<u4").tobytes().decode("utf-32-le")
+def _packed(name: str, texts: dict[int, Iterable[bytes]]) -> pa.Table:
+    """Texts without line ends, compressed, a row for each number."""
+    raw = [b"\n".join(t) for t in texts.values()]
+    return pa.table(
+        {
+            name: pa.array(texts, pa.int64()),
+            "size": pa.array([len(r) for r in raw], pa.int64()),
+            "texts": pa.array([pa.compress(r, "zstd", asbytes=True) for r in raw], pa.binary()),
+        }
+    )
 
 
-def _automaton(group: list[np.ndarray], as_text: bool) -> ahocorasick.Automaton:
-    kind = ahocorasick.KEY_STRING if as_text else ahocorasick.KEY_SEQUENCE
-    built = ahocorasick.Automaton(ahocorasick.STORE_INTS, kind)
-    for run in group:
-        built.add_word(_as_text(run) if as_text else tuple(run.tolist()), len(run))
-    built.make_automaton()
-    return built
+def _unpacked(table: pa.Table) -> list[list[bytes]]:
+    rows = zip(table["texts"].to_pylist(), table["size"].to_pylist(), strict=True)
+    return [pa.decompress(raw, size, "zstd", asbytes=True).split(b"\n") for raw, size in rows]
+
+
+def candidates(own: Shard, elsewhere: np.ndarray, busy: np.ndarray, n_blocks: int) -> pa.Table:
+    """Pieces of a shard whose windows may recur, a row for each block of owners."""
+    keys = own.minimizers()
+    keys = np.where(_among(keys, busy), mixed(own.windows()), keys)
+    first, end = own.runs(own.recurring(elsewhere), keys, LONGEST)
+    block = _block_of(keys[np.searchsorted(own.inside, first)], n_blocks).tolist()
+    joined, at = own.joined()
+    data, a, b = joined.tobytes(), at[first].tolist(), (at[end] - 1).tolist()
+    counts = Counter((k, data[i:j]) for k, i, j in zip(block, a, b, strict=True))
+    out = defaultdict(list)
+    for (k, text), n in counts.items():
+        out[k] += [text] * min(n, 2)
+    return _packed("block", out)
+
+
+def confirmed(shards: list[int], texts: list[list[bytes]], width: int) -> dict[int, set[bytes]]:
+    """Passages whose windows all occur twice in the pieces, for each shard that sent them."""
+    flat = pa.array([t for own in texts for t in own], pa.large_binary())
+    of = [s for s, own in zip(shards, texts, strict=True) for _ in own]
+    owner = Shard(flat, width)
+    words = owner.words
+    first, end = owner.runs(owner.repeated())
+    piece = words.doc_of()[first].tolist()
+    data = words.data.tobytes()
+    a, b = words.starts[first].tolist(), words.ends[end - 1].tolist()
+    out = defaultdict(set)
+    for k, i, j in zip(piece, a, b, strict=True):
+        out[of[k]].add(data[i:j])
+    return out
+
+
+def passages(words: Words, texts: Iterable[bytes]) -> list[np.ndarray]:
+    """Texts as codes of the words of a shard."""
+    found = words_of(pa.array(sorted(texts), pa.large_binary()))
+    place = pc.index_in(found.vocabulary, words.vocabulary)
+    codes = np.asarray(pc.fill_null(place, -1))[found.codes]
+    runs = np.split(codes, found.offsets[1:-1]) if len(codes) else []
+    return [run for run in runs if (run >= 0).all()]
+
+
+def _spelled(codes: np.ndarray, digits: int) -> str:
+    """Words as characters, ``digits`` for each, and other ones in each place.
+
+    So a node has at most ``BASE`` children, among which automata look one by one, and an
+    occurrence begins where a word does.
+    """
+    place = np.arange(digits)
+    spelled = codes.astype(np.int64)[:, None] // BASE**place % BASE + BASE * place
+    return (spelled + 1).astype("<u4").tobytes().decode("utf-32-le")
 
 
 def occurrences(words: Words, found: list[np.ndarray], limit: int = AUTOMATON_WORDS) -> np.ndarray:
     """Which words lie inside an occurrence of any passage."""
     edge = np.zeros(len(words.codes) + 1, np.int64)
-    as_text = len(words.vocabulary) < 0x10F000
+    digits = 1
+    while BASE**digits < len(words.vocabulary):
+        digits += 1
+    spelled = _spelled(words.codes, digits) if found else ""
     bounds = list(zip(words.offsets[:-1].tolist(), words.offsets[1:].tolist(), strict=True))
-    group, held = [], 0
+    held, automaton = 0, ahocorasick.Automaton(ahocorasick.STORE_INTS)
     for k, run in enumerate(found):
-        group.append(run)
+        automaton.add_word(_spelled(run, digits), len(run))
         held += len(run)
         if held < limit and k + 1 < len(found):
             continue
-        automaton = _automaton(group, as_text)
+        automaton.make_automaton()
+        ends, lengths = [], []
         for a, b in bounds:
-            own = words.codes[a:b]
-            text = _as_text(own) if as_text else tuple(own.tolist())
-            for end, length in automaton.iter(text):
-                edge[a + end + 1 - length] += 1
-                edge[a + end + 1] -= 1
-        group, held = [], 0
+            for last, length in automaton.iter(spelled[a * digits : b * digits]):
+                ends.append(a + (last + 1) // digits)
+                lengths.append(length)
+        end = np.array(ends, np.int64)
+        np.add.at(edge, end - np.array(lengths, np.int64), 1)
+        np.add.at(edge, end, -1)
+        held, automaton = 0, ahocorasick.Automaton(ahocorasick.STORE_INTS)
     return np.cumsum(edge[:-1]) > 0
 
 
 def _kept_text(texts: pa.Array, words: Words, covered: np.ndarray) -> pa.Array:
     stay = ~covered
     places = np.concatenate([[0], np.cumsum(words.ends - words.starts)])
-    edge = np.zeros(len(words.data) + 1, np.int8)
-    edge[words.starts] += 1
-    edge[words.ends] -= 1
-    inside = np.cumsum(edge[:-1], dtype=np.int8) > 0
+    inside = _spans(words.starts, words.ends, len(words.data))
     column = pa.LargeBinaryArray.from_buffers(
         pa.large_binary(),
         len(words.starts),
@@ -232,7 +352,7 @@ def remove_repeats(
         F.pmod(F.xxhash64(*by), F.lit(n)).alias("shard"),
         F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"),
         text.alias("text"),
-    ).repartition(partitions, "shard")  # one exchange, which the three passes share
+    ).repartition(partitions, "shard")  # one exchange, which all passes share
     sent = "block long, shard long, hashes binary"
 
     def shard_of(table: pa.Table) -> Shard:
@@ -246,13 +366,23 @@ def remove_repeats(
         shared = _among(own.minimizers(), _hashes_of(known))
         return _blocks(table["shard"][0].as_py(), own.windows()[shared], n)
 
+    def send_pieces(table: pa.Table, known: pa.Table) -> pa.Table:
+        busy = np.unique(_hashes_of(known, "busy"))
+        out = candidates(shard_of(table), _hashes_of(known), busy, n)
+        shard = pa.array([table["shard"][0].as_py()] * len(out), pa.int64())
+        return out.add_column(1, "shard", shard)
+
+    def confirm(table: pa.Table) -> pa.Table:
+        return _packed("shard", confirmed(table["shard"].to_pylist(), _unpacked(table), width))
+
     new = StructType.fromDDL(FIELDS)
     schema = StructType([dealt.schema["row"], *new.fields])
 
     def locate(table: pa.Table, known: pa.Table) -> pa.Table:
         own = shard_of(table)
         words = own.words
-        covered = occurrences(words, passages(words, own.recurring(_hashes_of(known)), width))
+        found = {text for texts in _unpacked(known) for text in texts}
+        covered = occurrences(words, passages(words, found))
         removed = np.concatenate([[0], np.cumsum(covered)])[words.offsets]
         return pa.Table.from_arrays(
             [
@@ -265,9 +395,13 @@ def remove_repeats(
         )
 
     by_shard = dealt.groupBy("shard")
-    minimizers = shared_hashes(by_shard.applyInArrow(send_minimizers, sent))
+    minimizers = durable(shared_hashes(by_shard.applyInArrow(send_minimizers, sent)))
     windows = shared_hashes(_with(dealt, minimizers, send_windows, sent))
-    out = _with(dealt, windows, locate, schema)
+    none = F.lit(None).cast("binary")
+    known = windows.withColumn("busy", none).union(minimizers.withColumn("hashes", none))
+    pieces = _with(dealt, known, send_pieces, "block long, shard long, size long, texts binary")
+    found = pieces.groupBy("block").applyInArrow(confirm, "shard long, size long, texts binary")
+    out = _with(dealt, found, locate, schema)
     return out.select(*[F.col(f"row.`{c}`") for c in kept if c not in new.names], *new.names)
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -228,6 +231,49 @@ def test_repeated_passages(spark, docs):
     assert passages.remove_repeats(data.no_rows(spark)).count() == 0
 
 
+def test_passages_are_confirmed_by_words(monkeypatch):
+    """With one hash for all windows, and with owners of single windows, all is as before."""
+    rng = np.random.default_rng(5)
+    passage = [f"w{k}" for k in rng.integers(0, 300, 90)]
+    texts = []
+    for k in range(12):
+        own = [f"v{i}" for i in rng.integers(0, 300, 60)]
+        texts.append(" ".join(own[:30] + passage[k : 90 - 3 * k] + own[30:]))
+    texts += [" ".join(["a"] * 700), " ".join(["a", "b"] * 40), "", texts[0]]
+    wanted = [gone for _, gone, _ in data.without_repeats(texts)]
+
+    def removed(busy: bool) -> list[int]:
+        halves = [texts[::2], texts[1::2]]
+        shards = [passages.Shard(pa.array(half, pa.string()), 35) for half in halves]
+        every = np.unique(np.concatenate([s.windows() for s in shards]))
+        keys = np.unique(np.concatenate([s.minimizers() for s in shards]))
+        owners = {}
+        for k, shard in enumerate(shards):
+            sent = passages.candidates(shard, every, keys if busy else keys[:0], 5)
+            for block, own in zip(
+                sent["block"].to_pylist(), passages._unpacked(sent), strict=True
+            ):
+                owners.setdefault(block, []).append((k, own))
+        back = [set(), set()]
+        for rows in owners.values():
+            numbers, pieces = zip(*rows, strict=True)
+            for k, found in passages.confirmed(numbers, pieces, 35).items():
+                back[k] |= found
+        out = [None] * len(texts)
+        for k, shard in enumerate(shards):
+            covered = passages.occurrences(shard.words, passages.passages(shard.words, back[k]))
+            for d, (a, b) in enumerate(itertools.pairwise(shard.words.offsets)):
+                out[2 * d + k] = int(covered[a:b].sum())
+        return out
+
+    assert removed(False) == wanted
+    assert removed(True) == wanted
+    monkeypatch.setattr(
+        passages, "window_hashes", lambda h, w: np.zeros(max(0, len(h) - w + 1), np.uint64)
+    )
+    assert removed(False) == wanted
+
+
 def test_small_automata(docs, monkeypatch):
     wanted = pairs(passages.remove_repeats(docs), "n_removed")
     monkeypatch.setattr(passages.occurrences, "__defaults__", (50,))
