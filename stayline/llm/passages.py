@@ -133,7 +133,8 @@ class Shard:
             cut |= keys[chosen][1:] != keys[chosen][:-1]
         first = np.append(0, np.flatnonzero(cut) + 1)
         if longest:
-            place = np.arange(len(starts)) - np.repeat(first, np.diff(np.append(first, len(starts))))
+            lengths = np.diff(np.append(first, len(starts)))
+            place = np.arange(len(starts)) - np.repeat(first, lengths)
             first = np.flatnonzero(place % longest == 0)
         last = np.append(first[1:] - 1, len(starts) - 1)
         return starts[first], starts[last] + self.width
@@ -165,9 +166,8 @@ def _among(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 
 
 def _hashes_of(table: pa.Table, column: str = "hashes") -> np.ndarray:
-    blocks = [
-        np.frombuffer(b.as_buffer(), np.uint64) for c in table[column].chunks for b in c if b.is_valid
-    ]
+    held = (b.as_buffer() for c in table[column].chunks for b in c if b.is_valid)
+    blocks = [np.frombuffer(b, np.uint64) for b in held]
     return np.sort(np.concatenate([np.zeros(0, np.uint64), *blocks]))
 
 
