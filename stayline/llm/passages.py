@@ -31,8 +31,10 @@ kept whatever their names; new columns replace old ones of the same name.
 
 from __future__ import annotations
 
+import itertools
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterable
+from functools import cached_property
 
 import ahocorasick
 import numpy as np
@@ -42,8 +44,10 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from stayline.llm.words import (
+    Places,
     Words,
     mixed,
+    places_of,
     shards_for,
     ship_package,
     text_bytes,
@@ -57,7 +61,7 @@ GRAM = 8
 SHARD_BYTES = 8 << 20  # of text that is looked at together
 PARTITION_BYTES = 128 << 20  # of text in a task: its shards come one after the other
 AUTOMATON_WORDS = 200_000
-BASE = 64  # characters that spell a word, in each place
+BASE = 63  # of the digits that spell a word
 BUSY = 1024  # shards with the same minimizer
 LONGEST = 256  # windows of a piece
 
@@ -75,13 +79,17 @@ class Shard:
     """The words of a shard's documents and their windows."""
 
     def __init__(self, texts: pa.Array, width: int) -> None:
-        self.words: Words = words_of(texts)
+        self.places: Places = places_of(texts)
         self.width = width
-        self.hashes = self.words.hashes()
-        doc = self.words.doc_of()
+        self.hashes = self.places.hashes()
+        doc = self.places.doc_of()
         n = max(0, len(doc) - width + 1)
         self.inside = np.flatnonzero(doc[:n] == doc[width - 1 :]) if n else np.zeros(0, np.int64)
 
+    @cached_property
+    def words(self) -> Words:
+        return self.places.words()
+
     def minimizers(self) -> np.ndarray:
         """Of each window inside a document."""
         gram = min(GRAM, self.width)
@@ -94,17 +102,20 @@ class Shard:
     def recurring(self, elsewhere: np.ndarray) -> np.ndarray:
         """Which windows another shard has, or this one has twice, as far as hashes tell."""
         own = self.windows()
-        order = np.argsort(own, kind="stable")
-        twice = own[order[1:]] == own[order[:-1]]
-        found = _among(own, elsewhere)
-        found[order[1:][twice]] = True
-        found[order[:-1][twice]] = True
+        order = np.argsort(own)
+        own = own[order]
+        chosen = _among(own, elsewhere)
+        twice = own[1:] == own[:-1]
+        chosen[1:] |= twice
+        chosen[:-1] |= twice
+        found = np.zeros(len(own), bool)
+        found[order[chosen]] = True
         return found
 
     def repeated(self) -> np.ndarray:
         """Which windows occur twice, word by word."""
         own, codes = self.windows(), self.words.codes
-        order = np.argsort(own, kind="stable")
+        order = np.argsort(own)
         new = np.append(True, own[order[1:]] != own[order[:-1]])[: len(own)]
         group = np.cumsum(new) - 1
         at = self.inside[order]
@@ -128,7 +139,7 @@ class Shard:
         if not len(starts):
             return starts, starts
         cut = np.diff(starts) != 1
-        cut |= np.diff(self.words.doc_of()[starts]) != 0
+        cut |= np.diff(self.places.doc_of()[starts]) != 0
         if keys is not None:
             cut |= keys[chosen][1:] != keys[chosen][:-1]
         first = np.append(0, np.flatnonzero(cut) + 1)
@@ -141,12 +152,12 @@ class Shard:
 
     def joined(self) -> tuple[np.ndarray, np.ndarray]:
         """All words with a blank after each, and where each begins."""
-        lengths = self.words.ends - self.words.starts
+        lengths = self.places.ends - self.places.starts
         at = np.concatenate([[0], np.cumsum(lengths + 1)])
+        blank = np.zeros(at[-1], bool)
+        blank[at[1:] - 1] = True
         out = np.full(at[-1], ord(" "), np.uint8)
-        out[_spans(at[:-1], at[:-1] + lengths, len(out))] = self.words.data[
-            _spans(self.words.starts, self.words.ends, len(self.words.data))
-        ]
+        out[~blank] = self.places.data[self.places.inside]
         return out, at
 
 
@@ -165,6 +176,10 @@ def _among(x: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return ordered[np.minimum(np.searchsorted(ordered, x), len(ordered) - 1)] == x
 
 
+def _distinct(ordered: np.ndarray) -> np.ndarray:
+    return ordered[np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)]]
+
+
 def _hashes_of(table: pa.Table, column: str = "hashes") -> np.ndarray:
     held = (b.as_buffer() for c in table[column].chunks for b in c if b.is_valid)
     blocks = [np.frombuffer(b, np.uint64) for b in held]
@@ -177,7 +192,7 @@ def _block_of(hashes: np.ndarray, n_blocks: int) -> np.ndarray:
 
 def _blocks(shard: int, hashes: np.ndarray, n_blocks: int) -> pa.Table:
     """Distinct hashes of a shard, a row for each block."""
-    hashes = np.unique(hashes)
+    hashes = _distinct(np.sort(hashes))
     block = _block_of(hashes, n_blocks)
     order = np.argsort(block, kind="stable")
     names, first = np.unique(block[order], return_index=True)
@@ -266,46 +281,70 @@ def confirmed(shards: list[int], texts: list[list[bytes]], width: int) -> dict[i
 
 def passages(words: Words, texts: Iterable[bytes]) -> list[np.ndarray]:
     """Texts as codes of the words of a shard."""
-    found = words_of(pa.array(sorted(texts), pa.large_binary()))
+    found = words_of(pa.array(list(texts), pa.large_binary()))
     place = pc.index_in(found.vocabulary, words.vocabulary)
     codes = np.asarray(pc.fill_null(place, -1))[found.codes]
     runs = np.split(codes, found.offsets[1:-1]) if len(codes) else []
-    return [run for run in runs if (run >= 0).all()]
+    return [run for run in runs if run.min(initial=0) >= 0]
 
 
-def _spelled(codes: np.ndarray, digits: int) -> str:
-    """Words as characters, ``digits`` for each, and other ones in each place.
+def _spelling(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Characters of each word of a vocabulary, and how many it has, few if it is frequent.
 
-    So a node has at most ``BASE`` children, among which automata look one by one, and an
-    occurrence begins where a word does.
+    A word's rank is written in digits. Characters tell the first place from later ones, and the
+    last digit from others, so an occurrence begins where a word does and ends where one does. A
+    node of an automaton, which looks at its children one by one, has at most ``2 * BASE``. Words
+    with no count are in no passage: one character is enough for all of them.
     """
+    order = np.argsort(-counts, kind="stable")
+    rank = np.empty(len(counts), np.int64)
+    rank[order] = np.arange(len(counts))
+    size, digits = np.ones(len(counts), np.int64), 1
+    while BASE**digits < np.count_nonzero(counts):
+        size += rank >= BASE**digits
+        digits += 1
     place = np.arange(digits)
-    spelled = codes.astype(np.int64)[:, None] // BASE**place % BASE + BASE * place
-    return (spelled + 1).astype("<u4").tobytes().decode("utf-32-le")
+    spelled = rank[:, None] // BASE**place % BASE
+    spelled += BASE * (place < size[:, None] - 1) + 2 * BASE * (place > 0)
+    spelled[counts == 0], size[counts == 0] = 4 * BASE, 1
+    return spelled.astype(np.uint8), size
 
 
 def occurrences(words: Words, found: list[np.ndarray], limit: int = AUTOMATON_WORDS) -> np.ndarray:
     """Which words lie inside an occurrence of any passage."""
+    if not found:
+        return np.zeros(len(words.codes), bool)
+    codes, lengths = np.concatenate(found), [len(run) for run in found]
+    counts = np.bincount(words.codes, minlength=len(words.vocabulary))
+    absent = np.ones(len(counts), bool)
+    absent[codes] = False
+    counts[absent] = 0
+    spelled, size = _spelling(counts)
+
+    def spell(codes: np.ndarray, cuts: np.ndarray) -> tuple[str, np.ndarray, list[int]]:
+        chosen = np.arange(spelled.shape[1]) < size[codes][:, None]
+        at = np.concatenate([[0], np.cumsum(size[codes])])
+        return spelled[codes][chosen].tobytes().decode("latin-1"), at, at[cuts].tolist()
+
+    text, at, bounds = spell(words.codes, words.offsets)
+    passage, _, cuts = spell(codes, np.concatenate([[0], np.cumsum(lengths)]))
     edge = np.zeros(len(words.codes) + 1, np.int64)
-    digits = 1
-    while BASE**digits < len(words.vocabulary):
-        digits += 1
-    spelled = _spelled(words.codes, digits) if found else ""
-    bounds = list(zip(words.offsets[:-1].tolist(), words.offsets[1:].tolist(), strict=True))
     held, automaton = 0, ahocorasick.Automaton(ahocorasick.STORE_INTS)
-    for k, run in enumerate(found):
-        automaton.add_word(_spelled(run, digits), len(run))
-        held += len(run)
-        if held < limit and k + 1 < len(found):
+    texts = (passage[i:j] for i, j in itertools.pairwise(cuts))
+    parts = sorted(zip(texts, lengths, strict=True))
+    for k, (part, n) in enumerate(parts, 1):
+        automaton.add_word(part, n)
+        held += n
+        if held < limit and k < len(parts):
             continue
         automaton.make_automaton()
-        ends, lengths = [], []
-        for a, b in bounds:
-            for last, length in automaton.iter(spelled[a * digits : b * digits]):
-                ends.append(a + (last + 1) // digits)
-                lengths.append(length)
-        end = np.array(ends, np.int64)
-        np.add.at(edge, end - np.array(lengths, np.int64), 1)
+        ends, sizes = [], []
+        for a, b in itertools.pairwise(bounds):
+            for last, n_words in automaton.iter(text[a:b]):
+                ends.append(a + last + 1)
+                sizes.append(n_words)
+        end = np.searchsorted(at, np.array(ends, np.int64))
+        np.add.at(edge, end - np.array(sizes, np.int64), 1)
         np.add.at(edge, end, -1)
         held, automaton = 0, ahocorasick.Automaton(ahocorasick.STORE_INTS)
     return np.cumsum(edge[:-1]) > 0
@@ -367,7 +406,7 @@ def remove_repeats(
         return _blocks(table["shard"][0].as_py(), own.windows()[shared], n)
 
     def send_pieces(table: pa.Table, known: pa.Table) -> pa.Table:
-        busy = np.unique(_hashes_of(known, "busy"))
+        busy = _distinct(_hashes_of(known, "busy"))
         out = candidates(shard_of(table), _hashes_of(known), busy, n)
         shard = pa.array([table["shard"][0].as_py()] * len(out), pa.int64())
         return out.add_column(1, "shard", shard)
@@ -379,8 +418,7 @@ def remove_repeats(
     schema = StructType([dealt.schema["row"], *new.fields])
 
     def locate(table: pa.Table, known: pa.Table) -> pa.Table:
-        own = shard_of(table)
-        words = own.words
+        words = words_of(_whole(table["text"]))
         found = {text for texts in _unpacked(known) for text in texts}
         covered = occurrences(words, passages(words, found))
         removed = np.concatenate([[0], np.cumsum(covered)])[words.offsets]

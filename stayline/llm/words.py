@@ -78,7 +78,49 @@ def text_buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0] : at[-1]], at - at[0]
 
 
-def words_of(texts: pa.Array, separators: np.ndarray = BLANKS, lower: bool = False) -> Words:
+@dataclass
+class Places:
+    """Where the words of documents are in their bytes."""
+
+    data: np.ndarray
+    at: np.ndarray  # document d has the bytes at[d]:at[d + 1]
+    inside: np.ndarray  # which bytes are of words
+    starts: np.ndarray  # bytes of each word in ``data``
+    ends: np.ndarray
+    offsets: np.ndarray  # document d has the words offsets[d]:offsets[d + 1]
+
+    def doc_of(self) -> np.ndarray:
+        return np.repeat(np.arange(len(self.offsets) - 1), np.diff(self.offsets))
+
+    def hashes(self) -> np.ndarray:
+        """A 64-bit hash of each word's bytes, eight at a time, without a list of the words."""
+        lengths = self.ends - self.starts
+        padded = np.concatenate([self.data, np.zeros(8, np.uint8)])
+        eight = np.ndarray(len(self.data) + 1, "<u8", padded, strides=(1,))
+        low = np.uint64(256) ** np.arange(9, dtype=np.uint64) - np.uint64(1)  # 256^8 is 0
+        out = mixed(eight[self.starts] & low[np.minimum(lengths, 8)]) ^ lengths.astype(np.uint64)
+        left = np.flatnonzero(lengths > 8)
+        for k in range(8, int(lengths.max(initial=0)), 8):
+            left = left[lengths[left] > k]
+            part = eight[self.starts[left] + k] & low[np.minimum(lengths[left] - k, 8)]
+            out[left] = mixed(out[left] * np.uint64(0x9E3779B97F4A7C15) ^ part)
+        return out
+
+    def words(self) -> Words:
+        lengths = np.zeros(len(self.starts) + 1, np.int64)
+        np.cumsum(self.ends - self.starts, out=lengths[1:])
+        column = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(),
+            len(self.starts),
+            [None, pa.py_buffer(lengths), pa.py_buffer(self.data[self.inside])],
+        ).dictionary_encode()
+        codes = np.asarray(column.indices)
+        return Words(
+            codes, self.offsets, self.starts, self.ends, column.dictionary, self.data, self.at
+        )
+
+
+def places_of(texts: pa.Array, separators: np.ndarray = BLANKS, lower: bool = False) -> Places:
     data, at = text_buffer(texts)
     if lower:
         data = _LOWER[data]
@@ -91,13 +133,11 @@ def words_of(texts: pa.Array, separators: np.ndarray = BLANKS, lower: bool = Fal
     begins[edges] = inside[edges]
     last[edges - 1] = inside[edges - 1]
     starts, ends = np.flatnonzero(begins), np.flatnonzero(last) + 1
-    places = np.zeros(len(starts) + 1, np.int64)
-    np.cumsum(ends - starts, out=places[1:])
-    column = pa.LargeBinaryArray.from_buffers(
-        pa.large_binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(data[inside])]
-    ).dictionary_encode()
-    codes = np.asarray(column.indices)
-    return Words(codes, np.searchsorted(starts, at), starts, ends, column.dictionary, data, at)
+    return Places(data, at, inside, starts, ends, np.searchsorted(starts, at))
+
+
+def words_of(texts: pa.Array, separators: np.ndarray = BLANKS, lower: bool = False) -> Words:
+    return places_of(texts, separators, lower).words()
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -25,6 +25,7 @@ from stayline.llm import (
     tokenfile,
 )
 from stayline.llm.queries import LIBRARY_TOKENIZER, RANKS
+from stayline.llm.words import places_of
 from tests.llm import data
 
 
@@ -280,6 +281,48 @@ def test_small_automata(docs, monkeypatch):
     assert pairs(passages.remove_repeats(docs, shard_bytes=1000), "n_removed") == wanted
 
 
+def test_automata_read_few_characters(monkeypatch):
+    """Frequent words, and all those that no passage has, are one character each."""
+    rng = np.random.default_rng(7)
+    rare = [f"r{k}" for k in range(5000)]
+    copied = [f"c{k}" for k in np.minimum(rng.geometric(0.1, 400) - 1, 99)]
+    texts = [" ".join(rare[:2500] + copied), " ".join(copied + rare[2500:]), "", " ".join(copied)]
+    read = []
+
+    class Automaton:
+        def __init__(self, store):
+            self.held = ahocorasick_automaton(store)
+            self.add_word, self.make_automaton = self.held.add_word, self.held.make_automaton
+
+        def iter(self, text):
+            read.append(len(text))
+            return self.held.iter(text)
+
+    ahocorasick_automaton = passages.ahocorasick.Automaton
+    monkeypatch.setattr(passages.ahocorasick, "Automaton", Automaton)
+    shard = passages.Shard(pa.array(texts, pa.string()), 35)
+    found = passages.passages(shard.words, [" ".join(copied).encode()])
+    covered = passages.occurrences(shard.words, found)
+    wanted = [w.startswith("c") for text in texts for w in text.split()]
+    assert covered.tolist() == wanted
+    assert sum(read) < 1.1 * len(wanted)  # it was three times as many
+    monkeypatch.setattr(passages, "BASE", 2)
+    assert passages.occurrences(shard.words, found).tolist() == wanted
+
+
+def test_word_hashes():
+    """Equal for equal words only, wherever they are; of lengths around eight bytes, too."""
+    words = ["a" * n for n in range(1, 40)] + ["a" * n + "\0" for n in range(40)]
+    words += ["a" * n + "b" + "a" * (20 - n) for n in range(21)] + ["\xe9", "\u4e2d" * 9]
+    texts = pa.array([" ".join(words), None, "", "\n".join(reversed(words)), words[0]])
+    hashes = places_of(texts).hashes()
+    n = len(words)
+    assert len(set(hashes[:n].tolist())) == n == len(set(words))
+    assert hashes[n : 2 * n].tolist() == hashes[:n][::-1].tolist()
+    assert hashes[2 * n :].tolist() == hashes[:1].tolist()
+    assert len(places_of(pa.array([], pa.string())).hashes()) == 0
+
+
 def test_token_file(spark, docs):
     found = tokenfile.round_trip(docs, LIBRARY_TOKENIZER).orderBy("start").collect()
     assert len(found) == docs.count()
