@@ -30,6 +30,7 @@ from stayline.llm.pretokens import Pretokens, pretokens_of
 from stayline.llm.words import annotate, mixed, text_buffer
 
 CACHED = 400_000  # distinct misses that a Python worker remembers
+PIECE_BYTES = 2 << 20  # of text that is encoded at once: what is made of it takes some 40 times as much
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -229,7 +230,12 @@ def encode(
     """``df`` with ``ids`` (binary) of its texts, by the ranks in the file ``path``."""
     shared = df.sparkSession.sparkContext.broadcast(Vocabulary(read_ranks(path)))
     return annotate(
-        df, "ids binary", lambda texts: [id_column(*shared.value.encode(texts))], keep, column
+        df,
+        "ids binary",
+        lambda texts: [id_column(*shared.value.encode(texts))],
+        keep,
+        column,
+        PIECE_BYTES,
     )
 
 

@@ -192,6 +192,19 @@ def pieces(batch: pa.RecordBatch, column: str, size: int = BATCH_BYTES) -> Itera
             yield batch.slice(a, b - a)
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """From now on Spark sends batches of no more rows than a piece has, and of about its bytes.
+
+    An executor and its worker hold a batch whole, however small the pieces it is cut into. The
+    setting is the session's; one that is there already stays.
+    """
+    own = spark.conf.getAll
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        key = f"spark.sql.execution.arrow.{name}"
+        if key not in own:
+            spark.conf.set(key, str(most))
+
+
 def give_back() -> None:
     """Return freed memory to the system: a worker goes on to other stages, and keeps its heap."""
     pa.default_memory_pool().release_unused()

@@ -116,6 +116,76 @@ def test_sketches_of_many_short_texts():
     assert peak < 64 << 20
 
 
+def test_batches_of_the_pipeline_are_bounded(spark, docs, labels, tmp_path):
+    """No stage has Spark hand over more at once than about a piece; a setting of one's own stays."""
+    from stayline.llm import words
+
+    rows, size = (
+        f"spark.sql.execution.arrow.{name}" for name in ("maxRecordsPerBatch", "maxBytesPerBatch")
+    )
+
+    def batches(n, length):
+        """Rows and bytes of text of the batches of one partition."""
+
+        def measure(found):
+            for b in found:
+                text = b.column("text").cast(pa.large_binary())
+                n_bytes = sum(len(t) for t in text.to_pylist())
+                out = [pa.array([v], pa.int64()) for v in (b.num_rows, n_bytes)]
+                yield pa.RecordBatch.from_arrays(out, ["n", "size"])
+
+        table = spark.range(n).select(F.expr(f"repeat('x', {length})").alias("text")).coalesce(1)
+        return [tuple(r) for r in table.mapInArrow(measure, "n long, size long").collect()]
+
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    items = spark.createDataFrame([("a", "one two three")], "item_id string, text string")
+    items.write.parquet(f"{tmp_path}/benchmark.parquet")
+    kept = {k: spark.conf.getAll[k] for k in (rows, size) if k in spark.conf.getAll}
+    try:
+        for _, stage in corpus_pipeline.STAGES:
+            for k in (rows, size):
+                spark.conf.unset(k)
+            stage(spark, docs, str(tmp_path))
+            short, long = batches(10_000, 1), batches(100, 500_000)
+            assert sum(n for n, _ in short) == 10_000 and sum(n for n, _ in long) == 100
+            assert max(n for n, _ in short) <= words.BATCH_ROWS
+            assert max(size for _, size in long) <= words.BATCH_BYTES + 500_000
+        spark.conf.set(rows, "300")
+        corpus_pipeline.tokens(spark, docs, str(tmp_path))
+        assert spark.conf.get(rows) == "300"
+        assert max(n for n, _ in batches(10_000, 1)) == 300
+    finally:
+        for k in (rows, size):
+            spark.conf.unset(k)
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
+def test_pieces_of_token_ids(spark, monkeypatch):
+    """Texts are encoded in pieces that bound what arrays of their pre-tokens take."""
+    import tracemalloc
+
+    from stayline.llm import words
+
+    given = {}
+
+    def record(df, fields, f, keep=None, column="text", size=words.BATCH_BYTES):
+        given.update(f=f, size=size)
+
+    monkeypatch.setattr(bytepairs, "annotate", record)
+    bytepairs.encode(data.no_rows(spark), RANKS)
+    text = " ".join(f"w{i % 997} and" for i in range(600))
+    batch = pa.RecordBatch.from_arrays([pa.array([text] * 1_700)], ["text"])
+    assert batch.nbytes > 8 << 20
+    given["f"](batch.column("text").slice(0, 1))  # what is made once
+    tracemalloc.start()
+    found = [given["f"](p.column("text"))[0] for p in words.pieces(batch, "text", given["size"])]
+    peak = tracemalloc.get_traced_memory()[1] - sum(f.nbytes for f in found)
+    tracemalloc.stop()
+    assert {f[0] for f in found} == {found[0][0]} and sum(map(len, found)) == 1_700
+    assert peak < 40 << 20
+
+
 def test_chain_of_near_copies_in_blocks(spark, monkeypatch):
     """A chain links end to end, whatever the blocks and the number of pairs in a round."""
     monkeypatch.setattr(oddsketch, "BLOCK", 4)
