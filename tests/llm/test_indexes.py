@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -84,6 +85,116 @@ def test_anchors_are_the_same_everywhere():
     assert suffixes.gram_hashes(np.arange(10, dtype=np.uint8), 16).size == 0
 
 
+def borrowed(length: int) -> list[tuple]:
+    """Random documents with strings of others, of ``length`` bytes or one less, at both ends, too."""
+    rng = np.random.default_rng(11)
+    texts = []
+    for k in range(60):
+        parts = ["".join(rng.choice(list("abcdefgh"), int(rng.integers(0, 90))))]
+        for n in rng.choice([length, length, length - 1, 2 * length], int(rng.integers(0, 5))):
+            old = texts[rng.integers(len(texts))] if texts else ""
+            at = int(rng.integers(0, max(1, len(old) - n)))
+            parts += [old[at : at + n], "".join(rng.choice(list("abcdefgh"), int(rng.integers(0, 40))))]
+        texts.append("".join(parts))
+    texts += [texts[7], texts[9] + "x", "ab" * length, "ab" * length + "a", "a" * (3 * length)]
+    order = rng.permutation(len(texts))
+    return [(int(i), texts[i]) for i in order]
+
+
+def through_parts(rows, length, n_shards, blocks, parts, **options) -> tuple[list[tuple], pa.Table]:
+    """What ``remove_seen`` does, without Spark: the result, and what shards sent to parts."""
+
+    def group(tables, by):
+        table = pa.concat_tables(tables)
+        names = table[by].to_numpy()
+        return {k: table.filter(pa.array(names == k)) for k in np.unique(names).tolist()}
+
+    dealt = [sorted(rows[k::n_shards]) for k in range(n_shards)]
+    shards = [
+        suffixes.Anchors(pa.array([t for _, t in own]), np.ma.masked_array([d for d, _ in own]), length)
+        for own in dealt
+    ]
+    halves = [suffixes._sent_halves(k, a.halves(blocks)) for k, a in enumerate(shards)]
+    known = group([suffixes._shared_halves(t) for t in group(halves, "block").values()], "shard")
+    entries = [
+        a.entries(dict(zip(known[k]["block"].to_pylist(), known[k]["bits"].to_pylist())), blocks, parts)
+        for k, a in enumerate(shards)
+    ]
+    sent = [e.table(k) for k, e in enumerate(entries)]
+    marked = [suffixes.mark(t, length, **options) for t in group(sent, "part").values()]
+    marks = group(marked, "shard") if marked else {}
+    out = []
+    for k, (own, e) in enumerate(zip(dealt, entries, strict=True)):
+        bits = marks.get(k, pa.table({"part": [], "marks": []}))
+        covered = e.covered(dict(zip(bits["part"].to_pylist(), bits["marks"].to_pylist())))
+        made = suffixes._left(pa.array([t for _, t in own]), e.anchors, covered)
+        out += [(d, *r[:3], data.sha(r[3])) for (d, _), *r in zip(own, *map(pa.Array.to_pylist, made))]
+    return sorted(out, key=repr), pa.concat_tables(sent)
+
+
+@pytest.mark.parametrize("length", [1, 5, 8, 16, 17, 20, 33, 50, 300])
+def test_suffix_family_of_borrowed_strings(length):
+    """Strings are found wherever their anchor is, in several families and batches."""
+    rows = borrowed(length)
+    for options in ({}, {"batch": 64, "family": 200}):
+        assert through_parts(rows, length, 7, 3, 5, **options)[0] == seen_before(rows, length)
+
+
+def test_suffix_family_in_spark_of_borrowed_strings(spark):
+    rows = borrowed(50)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for options in ({}, {"shard_bytes": 300, "part_bytes": 500}):
+        assert removed(docs, **options) == seen_before(rows, 50)
+
+
+def test_grams_in_common_alone_send_nothing():
+    """Phrases of a few words are in many documents of a large corpus; no string of them is."""
+    rng = np.random.default_rng(2)
+    phrases = ["".join(rng.choice(list("abcdefgh"), 24)) for _ in range(5)]
+    rows = []
+    for k in range(200):
+        between = ["".join(rng.choice(list("ijklmnop"), 40)) for _ in range(20)]
+        rows.append((k, "".join(x + phrases[j % 5] for j, x in enumerate(between))))
+    found, sent = through_parts(rows, 50, 4, 2, 2)
+    assert found == seen_before(rows, 50)
+    assert sum(map(len, sent["contexts"].to_pylist())) == 0
+
+
+def test_whole_contexts_enter_no_family(monkeypatch):
+    """Copies are marked by their contexts, which have no other to meet."""
+    rng = np.random.default_rng(4)
+    text = "".join(rng.choice(list("abcdefgh"), 5000))
+    rows = [(k, text) for k in range(9)]
+
+    def add(self, strings, docs):
+        raise AssertionError(f"{len(strings)} strings in a family")
+
+    monkeypatch.setattr(suffixes.Family, "add", add)
+    found, sent = through_parts(rows, 50, 3, 2, 2)
+    assert found == seen_before(rows, 50) and sum(map(len, sent["contexts"].to_pylist())) > 0
+
+
+def test_scans_of_a_family_follow_its_batches(monkeypatch):
+    """What scans and merges go over grows with a logarithm of the family, not with its square."""
+    rng = np.random.default_rng(6)
+    over, merge_order = [], suffixes._merge_order
+
+    def counted(a, b):
+        over.append(len(a) + len(b))
+        return merge_order(a, b)
+
+    monkeypatch.setattr(suffixes, "_merge_order", counted)
+    words = np.array([b"%06d" % x for x in rng.integers(0, 200_000, 256 * 100)], "S6")
+    docs, family, first = np.arange(len(words)) // 10, suffixes.Family(), {}
+    for at in range(0, len(words), 100):
+        own, of = words[at : at + 100], docs[at : at + 100]
+        for w, d in zip(own.tolist(), of.tolist(), strict=True):
+            first.setdefault(w, d)
+        found = family.add(own, of).tolist()
+        assert found == [first[w] < d for w, d in zip(own.tolist(), of.tolist(), strict=True)]
+    assert sum(over) < 30 * len(words)
+
+
 def spelled(rows: list[tuple]) -> list[tuple]:
     """word, form, root, n, near words and n of the form, by all pairs."""
     total: Counter = Counter()
