@@ -10,9 +10,9 @@ beside the gram to one side of it, so it holds the anchor's right or its left ha
 that many bytes after or before it (33 or 34 for strings of 50). An anchor's *context*, the bytes of
 its strings that hold a half which another document has too, is what is sent. Documents are dealt
 into shards of bounded size; each sends hashes of its halves (4 bytes each, in blocks), hears by a
-bit for each which of them others have, and sends the contexts of those, each different one once
-with its least doc_id. Grams of a few words are in other documents by chance, the more so the larger
-the corpus is; halves are much less.
+bit for each which of them others have, and sends the contexts of those, compressed, each different
+one once with its least doc_id. Grams of a few words are in other documents by chance, the more so
+the larger the corpus is; halves are much less.
 
 The index. Contexts are dealt into parts by their gram, so all strings that could be equal meet in
 one part. What has the whole context of a smaller doc_id goes by that, and a gram with one context
@@ -60,7 +60,7 @@ LONGER = 8  # times a batch: levels of that length are looked up instead of merg
 
 
 def _run_hashes(data: np.ndarray, width: int, at: np.ndarray | None = None) -> np.ndarray:
-    """A 64-bit hash of the ``width`` bytes from each of the places ``at``, from all if not given."""
+    """A 64-bit hash of ``width`` bytes from each of the places ``at``, from all if not given."""
     n = max(0, len(data) - width + 1)
     if not n:
         return np.zeros(0, np.uint64)
@@ -216,11 +216,16 @@ class Entries:
 
     def table(self, shard: int) -> pa.Table:
         small = np.min_scalar_type(self.anchors.length)
+
+        def packed(own: np.ndarray) -> bytes:
+            joined = b"".join([self.contexts[i] for i in own.tolist()])
+            return pa.compress(joined, "zstd", asbytes=True)
+
         rows = [
             (
                 part,
                 shard,
-                b"".join([self.contexts[i] for i in own.tolist()]),
+                packed(own),
                 self.strings[own].astype(small).tobytes(),
                 self.offset[own].astype(small).tobytes(),
                 self.doc[own].tobytes(),
@@ -363,16 +368,17 @@ def mark(table: pa.Table, length: int, batch: int = BATCH, family: int = FAMILY)
     table = table.sort_by("shard")
     small = np.min_scalar_type(length)
 
-    def joined(name: str, kind: type) -> tuple[np.ndarray, list[int]]:
-        runs = [np.frombuffer(b.as_buffer(), kind) for b in _whole(table[name])]
-        return np.concatenate(runs), [len(r) for r in runs]
+    def runs(name: str, kind: type) -> list[np.ndarray]:
+        return [np.frombuffer(b.as_buffer(), kind).astype(np.int64) for b in _whole(table[name])]
 
-    data, _ = joined("contexts", np.uint8)
-    counts, of_shard = joined("strings", small)
-    strings = counts.astype(np.int64)
-    offsets = joined("offsets", small)[0].astype(np.int64)
-    docs, _ = joined("docs", np.int64)
+    counts = runs("strings", small)
+    strings, offsets = np.concatenate(counts), np.concatenate(runs("offsets", small))
+    docs = np.concatenate(runs("docs", np.int64))
     size = strings + length - 1
+    sent = [int(n.sum()) + len(n) * (length - 1) for n in counts]
+    packed = zip(_whole(table["contexts"]), sent, strict=True)
+    data = [np.frombuffer(pa.decompress(b.as_buffer(), n, "zstd"), np.uint8) for b, n in packed]
+    data = np.concatenate(data)
     at = np.cumsum(size) - size
     begin = np.cumsum(strings) - strings
     # Each different context is looked at once, with its least doc_id.
@@ -401,8 +407,7 @@ def mark(table: pa.Table, length: int, batch: int = BATCH, family: int = FAMILY)
             marked[_ranges(begin[own], n)] = index.add(suffixes, np.repeat(docs[own], n))
     found = marked[_ranges(begin[first], strings)]
     found |= np.repeat(docs > docs[first], strings)  # what the smaller doc_id has as it is
-    shards = np.repeat(np.arange(len(of_shard)), of_shard)
-    ends = np.cumsum(np.bincount(shards, strings, len(of_shard)).astype(np.int64))[:-1]
+    ends = np.cumsum([int(n.sum()) for n in counts])[:-1]
     marks = [np.packbits(bits).tobytes() for bits in np.split(found, ends)]
     return pa.table(
         {"shard": table["shard"], "part": table["part"], "marks": pa.array(marks, pa.binary())}

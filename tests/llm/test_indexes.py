@@ -156,8 +156,7 @@ def test_grams_in_common_alone_send_nothing():
         between = ["".join(rng.choice(list("ijklmnop"), 40)) for _ in range(20)]
         rows.append((k, "".join(x + phrases[j % 5] for j, x in enumerate(between))))
     found, sent = through_parts(rows, 50, 4, 2, 2)
-    assert found == seen_before(rows, 50)
-    assert sum(map(len, sent["contexts"].to_pylist())) == 0
+    assert found == seen_before(rows, 50) and len(sent) == 0
 
 
 def test_whole_contexts_enter_no_family(monkeypatch):
@@ -171,7 +170,18 @@ def test_whole_contexts_enter_no_family(monkeypatch):
 
     monkeypatch.setattr(suffixes.Family, "add", add)
     found, sent = through_parts(rows, 50, 3, 2, 2)
-    assert found == seen_before(rows, 50) and sum(map(len, sent["contexts"].to_pylist())) > 0
+    assert found == seen_before(rows, 50) and len(sent) > 0
+
+
+def test_contexts_are_sent_compressed():
+    """What neighbours share isn't stored for each: a text sent whole takes less than its contexts."""
+    rng = np.random.default_rng(8)
+    text = "".join(rng.choice(list("abcdefgh"), 200_000))
+    found, sent = through_parts([(0, text), (1, text)], 50, 2, 1, 1)
+    assert found == seen_before([(0, text), (1, text)], 50)
+    strings = sum(sum(map(int, b)) for b in sent["strings"].to_pylist())
+    assert strings > 1.9 * len(text)
+    assert sum(map(len, sent["contexts"].to_pylist())) < 0.5 * 66 / 17 * strings
 
 
 def test_scans_of_a_family_follow_its_batches(monkeypatch):
